@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import decontaminate, mixing
 
 QUERIES = {
+    "op8_benchmark_decontamination": decontaminate.op8_benchmark_decontamination,
     "op9_mix_sources": mixing.op9_mix_sources,
 }
 ORACLE_SQL: dict[str, str] = {}
