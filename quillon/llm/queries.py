@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, quality_rules
+from . import decontaminate, mixing, quality_rules, simhash
 
 QUERIES = {
+    "op4_simhash_near_dedup": simhash.op4_simhash_near_dedup,
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op8_benchmark_decontamination": decontaminate.op8_benchmark_decontamination,
     "op9_mix_sources": mixing.op9_mix_sources,
