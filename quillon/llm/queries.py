@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, quality_rules, simhash
+from . import decontaminate, mixing, quality_rules, simhash, substring
 
 QUERIES = {
+    "op3_substring_dedup": substring.op3_substring_dedup,
     "op4_simhash_near_dedup": simhash.op4_simhash_near_dedup,
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op8_benchmark_decontamination": decontaminate.op8_benchmark_decontamination,
