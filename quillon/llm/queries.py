@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, quality_rules, simhash, substring
+from . import decontaminate, mixing, quality_rules, secrets, simhash, substring, urlfilter
 
 QUERIES = {
+    "op1_secret_scans": secrets.op1_secret_scans,
+    "op7_url_filters": urlfilter.op7_url_filters,
     "op3_substring_dedup": substring.op3_substring_dedup,
     "op4_simhash_near_dedup": simhash.op4_simhash_near_dedup,
     "op2_quality_rules": quality_rules.op2_quality_rules,
