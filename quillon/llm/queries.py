@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing, quality_rules, secrets, simhash, substring, urlfilter
+from . import crf, decontaminate, mixing, quality_rules, secrets, simhash, substring, urlfilter
 
 QUERIES = {
+    "op10_quality_classifier": crf.op10_quality_classifier,
     "op1_secret_scans": secrets.op1_secret_scans,
     "op7_url_filters": urlfilter.op7_url_filters,
     "op3_substring_dedup": substring.op3_substring_dedup,
