@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import crf, decontaminate, langmodel, mixing, quality_rules, secrets, simhash, substring, urlfilter
+from . import crf, decontaminate, langmodel, linedup, mixing, quality_rules, secrets, simhash, substring, urlfilter
 
 QUERIES = {
+    "op6_line_dedup": linedup.op6_line_dedup,
     "op5_lm_scoring": langmodel.op5_lm_scoring,
     "op10_quality_classifier": crf.op10_quality_classifier,
     "op1_secret_scans": secrets.op1_secret_scans,
