@@ -26,7 +26,7 @@ VIEWS = {
         select o_orderkey as doc_id, cast(o_orderkey % 2 as int) as section,
           case o_orderstatus when 'F' then 'III' when 'O' then 'II' else null end as class,
           case when o_orderkey % 3 = 0 then 'USD' else 'BRL' end as currency,
-          cast(o_totalprice / 6 as decimal(18,2)) as total,
+          cast(floor(o_totalprice / 6) as decimal(18,2)) as total,
           case when o_orderpriority = '1-URGENT' then cast(1 as bigint) else null end as count
         from {orders}""",
     "docs": """
