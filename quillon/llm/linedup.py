@@ -41,7 +41,8 @@ RANK_BITS, HASH_BITS = 18, 29
 ID_BITS = RANK_BITS + HASH_BITS
 #: Lines with more tokens than this use both words of the bitmap.
 WIDE = 70
-SMALL_RUN, PAIR_BLOCK = 256, 1 << 21
+#: Groups of one token up to this size are joined in blocks of pairs at once.
+SMALL_RUN, VERIFY_RUN, PAIR_BLOCK = 4096, 64, 1 << 20
 BYTES_A_KEY = 36
 
 
@@ -269,19 +270,24 @@ def _partners(rows: pa.Table) -> pa.Table:
     new = np.concatenate([[True], e.token[1:] != e.token[:-1]])
     run = np.cumsum(new) - 1
     key = (run << 32) | e.n
-    low = np.searchsorted(key, (run << 32) | ((4 * e.n + 4) // 5))
-    at = np.arange(size)
+    # the smaller set of a pair shares a token early on; only such entries are partners
+    index = np.flatnonzero(e.place <= e.n - overlap(e.n, e.n))
+    keys = key[index]
+    low = np.searchsorted(keys, (run << 32) | ((4 * e.n + 4) // 5))
+    # the place of the shared token bounds the partner's size from above
+    most = np.minimum(e.n, 9 * (e.n - e.place) // 4 - e.n)
+    high = np.searchsorted(keys, (run << 32) | np.maximum(most, 0), side="right")
     flagged = np.zeros(size, bool)
     sizes = np.bincount(run)
     small = (sizes <= SMALL_RUN)[run]
-    count = np.where(small, at - low, 0)
+    count = np.where(small, np.maximum(high - low, 0), 0)
     total = np.cumsum(count)
     begin = 0
     while begin < size:
         end = max(begin + 1, int(np.searchsorted(total, (total[begin - 1] if begin else 0) + PAIR_BLOCK, side="right")))
         c = count[begin:end]
-        a = np.repeat(at[begin:end], c)
-        b = np.arange(len(a)) - np.repeat(np.cumsum(c) - c, c) + np.repeat(low[begin:end], c)
+        a = np.repeat(np.arange(begin, end), c)
+        b = index[np.arange(len(a)) - np.repeat(np.cumsum(c) - c, c) + np.repeat(low[begin:end], c)]
         ok = e.pass_filters(a, b)
         flagged[a[ok]] = flagged[b[ok]] = True
         begin = end
@@ -373,7 +379,7 @@ def _verify(rows: pa.Table) -> pa.Table:
     sizes = np.diff(np.append(starts, len(order)))
     gone = np.zeros(len(order), bool)
     at = np.arange(len(order))
-    back = np.where((sizes <= SMALL_RUN // 4)[np.repeat(np.arange(len(sizes)), sizes)], at - np.repeat(starts, sizes), 0)
+    back = np.where((sizes <= VERIFY_RUN)[np.repeat(np.arange(len(sizes)), sizes)], at - np.repeat(starts, sizes), 0)
     begin, total = 0, np.cumsum(back * (n[order] + 1))
     while begin < len(order):
         end = max(begin + 1, int(np.searchsorted(total, (total[begin - 1] if begin else 0) + PAIR_BLOCK, side="right")))
@@ -385,7 +391,7 @@ def _verify(rows: pa.Table) -> pa.Table:
         a, b = a[fit], b[fit]
         gone[a[_common(flat, first, a, b) >= overlap(n[a], n[b])]] = True
         begin = end
-    for r in np.flatnonzero(sizes > SMALL_RUN // 4):
+    for r in np.flatnonzero(sizes > VERIFY_RUN):
         own = order[starts[r] : starts[r] + sizes[r]]
         left = np.arange(1, len(own))  # later lines not yet removed
         for i in range(len(own)):

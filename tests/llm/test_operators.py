@@ -240,6 +240,7 @@ def test_long_runs_of_one_token(monkeypatch):
 
     one = removed()
     monkeypatch.setattr(linedup, "SMALL_RUN", 8)
+    monkeypatch.setattr(linedup, "VERIFY_RUN", 8)
     assert removed() == one
     assert one == [r[2] for r in brute.lines(list(enumerate(texts)))]
 
