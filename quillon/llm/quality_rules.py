@@ -27,7 +27,9 @@ from .textcore import PLAIN_WORD, U64, Block, blocks, covered, mix, per_doc_sum,
 
 NGRAM = 4
 CELLS = 1 << 16
-SMOOTHING = 1.0
+#: Pseudo-count of a cell as a share of the raw corpus's mean cell (1 at least), so
+#: that wordings too rare to be judged weigh little at every corpus size.
+SMOOTHING = 0.05
 #: Mean log-likelihood ratio (nats per n-gram) from which a document is kept.
 THRESHOLD = -0.5
 MIN_WORDS = 50
@@ -75,7 +77,8 @@ def log_ratio(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     target, raw = counts[:CELLS], counts[CELLS:]
     if not target.sum():
         target = raw
-    p, q = ((c + SMOOTHING) / (c.sum() + SMOOTHING * CELLS) for c in (target, raw))
+    prior = max(1.0, SMOOTHING * raw.sum() / CELLS)
+    p, q = ((c + prior) / (c.sum() + prior * CELLS) for c in (target, raw))
     return np.log(p) - np.log(q)
 
 
