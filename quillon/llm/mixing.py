@@ -3,7 +3,9 @@
 Tokens are summed per source, targets come from weights capped at a multiple of
 the source (capped excess is shared again by weight), and each document is
 emitted floor(rate) times plus one Bernoulli copy whose probability is the
-fraction.  The draw is a seeded hash of the document, so reruns agree.
+fraction.  The draw is a seeded hash of the document, so reruns agree.  Each
+source takes, of ``CHOICES`` seeds, the one whose drawn words come nearest its
+target: a source of few or very uneven documents is then not left to one draw.
 
 Cases: a null text has size 0; a null source is a source of its own and ranks
 last; a source of size 0 has target 0 and rate 0, so its documents take no
@@ -21,7 +23,7 @@ from .clusterio import checkpointed, read, small_side
 
 WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3.0
-SEED = 20240229
+SEED, CHOICES = 20240229, 32
 #: Copies a source with no words gets in the mix.
 EMPTY_SOURCE_COPIES = 1
 
@@ -62,19 +64,35 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, cap: float = CAP) -> DataF
     return per.select("source", "source_size", target.alias("target"), F.least(rate, F.lit(cap)).alias("rate"))
 
 
-def copies(rate: Column, doc_id: Column, seed: int = SEED) -> Column:
-    whole = F.floor(rate + 1e-12)
-    # 53 bits of a seeded hash as a number in [0, 1)
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), doc_id), 11) / F.lit(float(1 << 53))
-    return (whole + F.when(draw < rate - whole, 1).otherwise(0)).cast("int")
+def drawn(seed: Column, doc_id: Column) -> Column:
+    """A number in [0, 1): 53 bits of a seeded hash of the document."""
+    return F.shiftrightunsigned(F.xxhash64(seed, doc_id), 11) / F.lit(float(1 << 53))
+
+
+def whole(rate: Column) -> Column:
+    return F.floor(rate + 1e-12)
+
+
+def source_plan(sizes: DataFrame, seed: int = SEED) -> DataFrame:
+    """source_targets plus the seed of each source, one row per source."""
+    targets = checkpointed(source_targets(sizes))
+    keyed = small_side(targets.select(F.col("source").alias("_source"), "rate"))
+    rows = sizes.join(keyed, F.col("source").eqNullSafe(F.col("_source")), "left")
+    share = F.col("rate") - whole(F.col("rate"))
+    taken = [F.sum(F.when(drawn(F.lit(seed + k), F.col("doc_id")) < share, F.col("size")).otherwise(0)).alias(f"taken_{k}") for k in range(CHOICES)]
+    sums = rows.groupBy("source").agg(*taken).withColumnRenamed("source", "_source")
+    joined = targets.join(sums, F.col("source").eqNullSafe(F.col("_source")))
+    off = [F.struct(F.abs(F.col(f"taken_{k}") - share * F.col("source_size")).alias("off"), F.lit(seed + k).alias("seed")) for k in range(CHOICES)]
+    return joined.select("source", "source_size", "target", "rate", F.array_min(F.array(*off))["seed"].alias("seed"))
 
 
 def with_copies(docs: DataFrame, sizes: DataFrame, seed: int = SEED) -> DataFrame:
     """``docs`` plus source_size, target and n_copies."""
-    targets = checkpointed(source_targets(sizes)).withColumnRenamed("source", "_source")
-    on = F.col("source").eqNullSafe(F.col("_source"))
-    joined = docs.join(small_side(targets), on, "left").drop("_source")
-    return joined.withColumn("n_copies", copies(F.col("rate"), F.col("doc_id"), seed)).drop("rate")
+    plan = checkpointed(source_plan(sizes, seed)).withColumnRenamed("source", "_source")
+    joined = docs.join(small_side(plan), F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
+    rate = F.col("rate")
+    extra = F.when(drawn(F.col("seed"), F.col("doc_id")) < rate - whole(rate), 1).otherwise(0)
+    return joined.withColumn("n_copies", (whole(rate) + extra).cast("int")).drop("rate", "seed")
 
 
 def mix_plan(docs: DataFrame) -> DataFrame:
@@ -87,7 +105,7 @@ def mix_plan(docs: DataFrame) -> DataFrame:
 def mix(docs: DataFrame) -> DataFrame:
     """The mixed corpus: every document as often as it is taken, with copy_no."""
     base = docs.select("doc_id", "text", "lang", "source", "n_chars")
-    out = with_copies(base, sized(docs)).drop("source_size", "target")
+    out = with_copies(base, checkpointed(sized(docs))).drop("source_size", "target")
     copy = F.explode(F.sequence(F.lit(1), F.col("n_copies")))
     return out.filter("n_copies > 0").select("doc_id", "text", "lang", "source", "n_chars", copy.alias("copy_no"))
 
