@@ -10,7 +10,8 @@ whole corpus, then by hash.  The order is total and the same for every line,
 which is all that exactness needs.  The first n - ceil(0.8 n) + 1 tokens of a
 line are its prefix; similar lines share one.  Round one deals prefix tokens to
 shards, where length and positional filters and a parity bitmap of the tokens
-discard pairs, and tells which lines have a partner left (not which pairs).
+discard pairs, and tells which lines have a partner left (not which pairs).  A
+pair counts only at the first of several tokens that it shares in a row.
 Round two sends the whole token sets of those lines only, and verifies.  Equal
 sets are joined apart, by their hash.  Nothing but a line's own verdict leaves a
 shard, so a group of many similar lines makes no pairs.  Tokens are compared by
@@ -184,6 +185,8 @@ def _ask_first(ranks, bits: int):
         line, place, token, shard = line[order], place[order], token[order], shard[order]
         one, two = x.bitmaps()
         n, check = x.n[line], (x.sign[line] >> U64(32)).astype(np.uint32)
+        before = x.flat[np.maximum(x.first[line] + place - 1, 0)]
+        before = np.where(place > 0, (mix(before) >> U64(32)).astype(np.uint32) | np.uint32(1), np.uint32(0)).astype(np.uint32)
 
         def row(s: int, e: int) -> dict[str, bytes]:
             own = line[s:e]
@@ -192,7 +195,7 @@ def _ask_first(ranks, bits: int):
                 "data": sized_pack(place[s:e]),
                 "lines": sized_pack(own),
                 "sizes": sized_pack(n[s:e]),
-                "more": one[own].tobytes() + check[s:e].tobytes() + two[wide].tobytes(),
+                "more": one[own].tobytes() + check[s:e].tobytes() + before[s:e].tobytes() + two[wide].tobytes(),
             }
 
         return pa.concat_tables([same, _as_table(_shard_rows(number, shard + (1 << bits), token, row))])
@@ -242,12 +245,12 @@ class Entries:
             token, n = _tokens(first, gaps), sized_unpack(sizes)
             size = len(token)
             two = np.zeros(size, U64)
-            two[n > WIDE] = np.frombuffer(more[12 * size :], U64)
-            parts.append((token, n, sized_unpack(data), sized_unpack(lines), np.frombuffer(more, U64, size), np.frombuffer(more, np.uint32, size, 8 * size), two, np.full(size, chunk, np.int32)))
+            two[n > WIDE] = np.frombuffer(more[16 * size :], U64)
+            parts.append((token, n, sized_unpack(data), sized_unpack(lines), np.frombuffer(more, U64, size), np.frombuffer(more, np.uint32, size, 8 * size), np.frombuffer(more, np.uint32, size, 12 * size), two, np.full(size, chunk, np.int32)))
         token, n, *rest = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.lexsort((n, token))
         self.token, self.n = token[order], n[order]
-        self.place, self.line, self.one, self.check, self.two, self.chunk = (x[order] for x in rest)
+        self.place, self.line, self.one, self.check, self.before, self.two, self.chunk = (x[order] for x in rest)
 
     def pass_filters(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Which pairs of entries of one token may be similar and not equal."""
@@ -260,7 +263,9 @@ class Entries:
         wide = (self.n[a] > WIDE) & (self.n[b] > WIDE)
         apart = np.where(wide, np.bitwise_count(ones).astype(np.int64) + np.bitwise_count(twos), np.bitwise_count(ones ^ twos))
         equal = (ones == 0) & (twos == 0) & (self.check[a] == self.check[b]) & (self.n[a] == self.n[b])
-        return ok[(apart <= most) & ~equal]
+        # a pair that shares the token before, too, was found there
+        earlier = (self.before[a] == self.before[b]) & (self.before[a] != 0)
+        return ok[(apart <= most) & ~equal & ~earlier]
 
 
 def _partners(rows: pa.Table) -> pa.Table:
