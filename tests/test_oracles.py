@@ -3,7 +3,7 @@
 import pytest
 from oracle import connect, rows
 
-from quillon.plans import business, catalog, relational, scalars  # noqa: F401
+from quillon.plans import business, catalog, relational, resolution, scalars  # noqa: F401
 
 
 @pytest.fixture(scope="module")
