@@ -208,14 +208,14 @@ def revive_inactive(d: Domain):
 
 
 # --- text to claims ------------------------------------------------------------------
-_ENTRY = f"""{oracle_with("claims")}, {_VALID_DOC}, k as (select doc_id, page, document_number as n14, value_brl, row_number() over (partition by doc_id order by page, row_index, seen_on, root, coalesce(value_brl, 0)) as seq from c2 where value_brl is not null and row_index % 10 <> 0)"""
+_ENTRY = f"""{oracle_with("claims")}, {_VALID_DOC}, k as (select doc_id, page, b13 || {duck_digit('b13', _MORE)} as n14, value_brl, row_number() over (partition by doc_id order by page, row_index, seen_on, root, coalesce(value_brl, 0)) as seq from c1 where value_brl is not null)"""
 
 
 @query(f"""{_ENTRY} select doc_id, 1 as section, cast(seq - 1 as int) as seq, 'III' as class, 'CREDOR ' || seq as name, n14 as document, value_brl as value, case when seq % 3 = 0 then 'USD' else 'BRL' end as currency, case when seq % 3 = 0 then 'FOREIGN_CURRENCY' else '' end as flags from k""")
 def prose_entries(d: Domain):
     full = ids.with_check_digits(F.col("base12"))
     w = Window.partitionBy("doc_id").orderBy("page", "row_index", "seen_on", "root", F.coalesce("value_brl", F.lit(0)))
-    k = d.view("claims").filter("value_brl is not null and row_index % 10 <> 0").select("doc_id", full.alias("n"), "value_brl", F.row_number().over(w).alias("seq"))
+    k = d.view("claims").filter("value_brl is not null").select("doc_id", full.alias("n"), "value_brl", F.row_number().over(w).alias("seq"))
     money = F.concat(F.when(F.col("seq") % 3 == 0, "US$ ").otherwise("R$ "), F.translate(F.format_number("value_brl", 2), ",.", ".,"))
     entry = F.concat(F.lit(" Credor "), F.col("seq").cast("string"), F.lit(" - "), ids.masked(F.col("n")), F.lit(", "), money)
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", entry.alias("e")))), lambda x: x["e"]), ";")
@@ -260,10 +260,11 @@ def json_flatten(d: Domain):
     return flat.select(F.substring("case_number", 1, 7).cast("bigint").alias("event_id"), "case_number", "stage", "grant_signal", "n_movements", "last_movement", F.size("movements").alias("n_kept"))
 
 
-@query("""with recursive l as (select page_id as src, page_id * 2 + 1 as dst from pages where page_id < 125 union all select page_id, page_id * 2 + 2 from pages where page_id < 124), f(url, depth) as (select cast(0 as bigint), 0 union select l.dst, depth + 1 from f join l on l.src = f.url where depth < 3) select url, min(depth) as depth from f group by url""")
+@query("""with recursive l as (select p.page_id as src, q.page_id as dst from pages p join pages q on q.page_id = p.page_id * 2 + 1 or q.page_id = p.page_id * 2 + 2), f(url, depth) as (select cast(0 as bigint), 0 union select l.dst, depth + 1 from f join l on l.src = f.url where depth < 3) select url, min(depth) as depth from f group by url""")
 def crawl_frontier(d: Domain):
     p = d.table("pages").select(F.col("page_id").alias("src"))
-    links = p.filter("src < 125").select("src", (F.col("src") * 2 + 1).alias("dst")).union(p.filter("src < 124").select("src", (F.col("src") * 2 + 2).alias("dst")))
+    child = F.explode(F.array(F.col("src") * 2 + 1, F.col("src") * 2 + 2)).alias("dst")
+    links = p.select("src", child).join(p.select(F.col("src").alias("dst")), "dst", "left_semi")
     return pages.crawl_frontier(links, p.filter("src = 0").select(F.col("src").alias("url")), 3)
 
 
@@ -299,9 +300,9 @@ def markdown_scan(d: Domain):
     return out.select(F.regexp_extract("creditor_name", "([0-9]+)$", 1).cast("bigint").alias("o_orderkey"), "creditor_name", "company", "case_number", "amount")
 
 
-@query("select sha1(substr(text, 1, 200)) as sha1, min(doc_id) as first_doc, count(*) as n_aliases from documents group by 1")
+@query("select sha1(text) as sha1, min(doc_id) as first_doc, count(*) as n_aliases from documents group by 1")
 def content_dedupe(d: Domain):
-    docs = d.table("documents").select("doc_id", F.sha1(F.substring("text", 1, 200).cast("binary")).alias("sha1"))
+    docs = d.table("documents").select("doc_id", F.sha1(F.col("text").cast("binary")).alias("sha1"))
     return docs.groupBy("sha1").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("n_aliases"))
 
 

@@ -10,7 +10,7 @@ from .domain import Domain, oracle_with
 
 
 @query(f"""{oracle_with("docs")} select doc_id, case when doc_id % 3 = 0 then case_number when doc_id % 3 = 1 then 'portal' end as case_number, case when doc_id % 3 = 0 and case_number is not null then '' when doc_id % 3 = 1 then 'CASE_FROM_PAGE' else 'CASE_NUMBER_MISSING' end as case_flag,
-  publication_date, 'QGC' as doc_type, case when doc_id % 2 = 0 then 'ALFA ' || doc_id || ' LTDA' else 'title' end as debtor_hint from docs where publication_date >= date '2000-01-01'""")
+  case when publication_date >= date '2000-01-01' then publication_date end as publication_date, 'QGC' as doc_type, case when doc_id % 2 = 0 then 'ALFA ' || doc_id || ' LTDA' else 'title' end as debtor_hint from docs""")
 def header_resolution(d: Domain):
     k = F.col("doc_id") % 3
     other = F.lit(" 0000001-11.2011.8.26.0001 ")
@@ -18,7 +18,7 @@ def header_resolution(d: Domain):
     debtor = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit(" Recuperação Judicial de Alfa "), F.col("doc_id").cast("string"), F.lit(" Ltda, "))).otherwise("")
     text = F.concat(F.lit("Quadro Geral "), F.date_format("publication_date", "dd/MM/yyyy"), case, debtor)
     h = resolve.header(text, F.when(k == 1, "portal,second"), F.lit("title"))
-    return d.view("docs").filter("publication_date >= date '2000-01-01'").select("doc_id", h.alias("h")).select("doc_id", "h.*")
+    return d.view("docs").select("doc_id", h.alias("h")).select("doc_id", "h.*")
 
 
 _HINTS = ["Alfa Indústria Ltda", "Recuperação Judicial de Beta S.A.", "Silva Advogados | Gama Têxtil", "Administração Judicial XYZ", "0000001-11.2011.8.26.0001", "Delta Comércio - em Recuperação Judicial", "ab"]

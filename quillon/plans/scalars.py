@@ -56,11 +56,11 @@ def id_format_root(d):
 
 
 @query(f"""{NUMBERED}, tries as (select root, substr(id, 1, i - 1) || c || substr(id, i + 1) as id, substr(id, i, 1) as was, cast(c as varchar) as now_
-     from damaged, unnest(range(1, 15)) t(i), (select cast(unnest(range(0, 10)) as varchar) as c) where k = 1)
+     from damaged, unnest(range(1, 15)) t(i), (select cast(unnest(range(0, 10)) as varchar) as c) where length(id) = 14)
   select root, count(*) as n_repairs, min(id) as first_repair from tries where was <> now_ and {_DUCK_VALID} group by root""")
 def id_single_digit_repair(d):
     r = ids.single_digit_repairs(F.col("id"))
-    out = _numbered(d).filter("k = 1").select("root", r.alias("r")).filter(F.size("r") > 0)
+    out = _numbered(d).select("root", r.alias("r")).filter(F.size("r") > 0)
     return out.select("root", F.size("r").cast("bigint").alias("n_repairs"), F.array_min("r").alias("first_repair"))
 
 
@@ -94,13 +94,11 @@ def dedouble_text(d):
 _DUCK_NORM = "trim(regexp_replace(upper(regexp_replace(strip_accents(coalesce({x}, '')), '[^\\x00-\\x7F]', '', 'g')), '[^A-Z0-9]+', ' ', 'g'))"
 
 
-@query(f"""with n as (select doc_id, {_DUCK_NORM.format(x="substr(text, 1, 300)")} as normal from documents)
-  select doc_id, md5(normal) as normal, cast(len(list_filter(string_split(normal, ' '), lambda t: (length(t) >= 3 or (length(t) = 2 and regexp_matches(t, '[0-9]'))) and not regexp_full_match(t, '[0-9]+'))) as bigint) as n_tokens from n
-  where doc_id not in (select doc_id from documents where regexp_matches(substr(text, 1, 300), '[^\\x00-\\x{{24F}}]'))""")
+@query(f"""with n as (select doc_id, {_DUCK_NORM.format(x="text")} as normal from documents)
+  select doc_id, md5(normal) as normal, cast(len(list_filter(string_split(normal, ' '), lambda t: (length(t) >= 3 or (length(t) = 2 and regexp_matches(t, '[0-9]'))) and not regexp_full_match(t, '[0-9]+'))) as bigint) as n_tokens from n""")
 def norm_tokens(d):
-    head = F.substring("text", 1, 300)
-    docs = d.table("documents").filter(~head.rlike(r"[^\x00-\x{24F}]"))
-    return docs.select("doc_id", F.md5(text.norm(head)).alias("normal"), F.size(text.tokens(head)).cast("bigint").alias("n_tokens"))
+    t = F.col("text")
+    return d.table("documents").select("doc_id", F.md5(text.norm(t)).alias("normal"), F.size(text.tokens(t)).cast("bigint").alias("n_tokens"))
 
 
 @query(f"""with n as (select s_suppkey, {_DUCK_NORM.format(x="s_name || ' de Comercio e Servicos x y'")} as normal from supplier)
