@@ -101,3 +101,16 @@ def test_class_is_carried_over_pages(spark):
 def test_positions_and_bands(spark):
     for share, want in ((2 / 3, "BLOCKING"), (0.5, "CONTROL"), (0.34, "SWING"), (0.2, None), (1.01, None)):
         assert one(spark, pricing.position(F.lit(share)), x="") == want
+
+
+def test_kin_and_names(spark):
+    from quillon.operators import resolve
+
+    df = spark.createDataFrame([(["b", "a", "b", "a", "c"],), ([],)], "v array<string>")
+    assert [r[0] for r in df.select(resolve.most_common(F.col("v"))).collect()] == ["b", None]
+    people = spark.createDataFrame([([("José da Silva",), ("ACME LTDA",), ("Ana",)],)], "p array<struct<nome:string>>")
+    assert people.select(resolve.partner_names(F.col("p"))).first()[0] == ["JOSE DA SILVA"]
+    names = spark.createDataFrame([(f"ALFA {k} TEXTIL",) for k in ("UM", "DOIS", "TRES", "SETE", "OITO", "NOVE")] + [("BETA UNICA",)], "n string")
+    assert {r["token"] for r in resolve.frequent_tokens(names, "n").collect()} == {"ALFA", "TEXTIL"}
+    assert one(spark, resolve.needs_check(F.lit("Acme do Brasil"), F.lit("BETA TEXTIL")), x="")
+    assert not one(spark, resolve.needs_check(F.lit("Beta"), F.lit("BETA TEXTIL")), x="")
