@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 from collections.abc import Callable
 
@@ -99,5 +100,41 @@ def unpack(data: bytes, dtype) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(item, size // item).T).view(dtype).ravel()
 
 
+def _give_back() -> None:
+    """Returns freed memory of a Python worker to the system.
+
+    Workers are reused from task to task; without this each keeps the largest
+    chunk it has ever held.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def lean(of_chunk: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """The function of a group, giving back its memory when it is done."""
+
+    def run(chunk: pa.Table) -> pa.Table:
+        try:
+            return of_chunk(chunk)
+        finally:
+            _give_back()
+
+    return run
+
+
+def lean_pair(of_chunks: Callable[[pa.Table, pa.Table], pa.Table]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The same for a function of two cogroups."""
+
+    def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        try:
+            return of_chunks(chunk, answers)
+        finally:
+            _give_back()
+
+    return run
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

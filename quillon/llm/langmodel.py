@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .clusterio import chunk_count, chunk_of, pack, read, text_bytes, unpack
+from .clusterio import chunk_count, chunk_of, lean, lean_pair, pack, read, text_bytes, unpack
 from .exchange import bucket_bits, pack48, received, send, sized_pack, sized_unpack, unpack48
 from .textcore import LOWER, U64, Block, blocks, mix, slice_hashes, words_of
 from .trie import Trie
@@ -228,10 +228,10 @@ def lm_scores(docs: DataFrame, mu: float = MU) -> DataFrame:
     docs = docs.select("doc_id", "text", (~is_held_out()).alias("train"))
     total, kinds = vocabulary_size(docs, bits)
     base = docs.withColumn("chunk", chunk_of(chunk_count(size), "doc_id", "text"))
-    asked = base.groupBy("chunk").applyInArrow(_ask(bits), _REQUEST)
-    answers = asked.groupBy("shard").applyInArrow(_answer, "chunk int, shard int, found binary")
+    asked = base.groupBy("chunk").applyInArrow(lean(_ask(bits)), _REQUEST)
+    answers = asked.groupBy("shard").applyInArrow(lean(_answer), "chunk int, shard int, found binary")
     schema = "doc_id long, n_tokens long, n_known long, base_score double, score double"
-    out = base.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_score(bits, total, kinds, mu), schema)
+    out = base.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(lean_pair(_score(bits, total, kinds, mu)), schema)
     return out.select("doc_id", is_held_out().alias("held_out"), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .clusterio import chunk_count, read, summed_vectors, text_bytes
+from .clusterio import chunk_count, lean, lean_pair, read, summed_vectors, text_bytes
 from .exchange import bucket_bits, pack48, received, send, sized_pack, sized_unpack, unpack48
 from .textcore import U64, blocks, mix, slice_hashes, words_of
 
@@ -463,13 +463,13 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     # all rows of one id in one chunk, so that chunks differ in their ids
     owner = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
     base = docs.withColumn("chunk", F.pmod(owner, F.lit(chunk_count(size))).cast("int"))
-    asked = base.groupBy("chunk").applyInArrow(_ask_first(ranks, bits), _ASK)
-    told = asked.groupBy("shard").applyInArrow(_answer_first(bits), _TELL)
-    again = base.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_ask_second(ranks, bits), _ASK)
-    final = again.groupBy("shard").applyInArrow(_verify, "chunk int, docs binary, lines binary")
+    asked = base.groupBy("chunk").applyInArrow(lean(_ask_first(ranks, bits)), _ASK)
+    told = asked.groupBy("shard").applyInArrow(lean(_answer_first(bits)), _TELL)
+    again = base.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(lean_pair(_ask_second(ranks, bits)), _ASK)
+    final = again.groupBy("shard").applyInArrow(lean(_verify), "chunk int, docs binary, lines binary")
     names = [f.name for f in docs.schema.fields if f.name != "text"]
     schema = T.StructType([*(docs.schema[k] for k in names), *(T.StructField(k, t) for k, t in _ADDED)])
-    return base.groupBy("chunk").cogroup(final.groupBy("chunk")).applyInArrow(_cut(names), schema)
+    return base.groupBy("chunk").cogroup(final.groupBy("chunk")).applyInArrow(lean_pair(_cut(names)), schema)
 
 
 def dedup_documents(docs: DataFrame) -> DataFrame:

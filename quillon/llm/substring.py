@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .clusterio import chunk_count, chunk_of, read, text_bytes
+from .clusterio import chunk_count, chunk_of, lean, lean_pair, read, text_bytes
 from .exchange import SCHEMA, bucket_bits, received, send
 from .textcore import U64, blocks, covered, slice_hashes, window_hashes, words_of
 
@@ -146,10 +146,10 @@ def substring_dedup(docs: DataFrame, width: int = WINDOW, texts: bool = False) -
     """
     size = text_bytes(docs)
     base = docs.select("doc_id", "text").withColumn("chunk", chunk_of(chunk_count(size), "doc_id", "text"))
-    sent = base.groupBy("chunk").applyInArrow(_send(width, bucket_bits(size // BYTES_A_WORD)), SCHEMA)
-    answers = sent.groupBy("bucket").applyInArrow(_least, "chunk int, keys binary")
+    sent = base.groupBy("chunk").applyInArrow(lean(_send(width, bucket_bits(size // BYTES_A_WORD))), SCHEMA)
+    answers = sent.groupBy("bucket").applyInArrow(lean(_least), "chunk int, keys binary")
     schema = _RESULT + (", kept_text string" if texts else "")
-    return base.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_remove(width, texts), schema)
+    return base.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(lean_pair(_remove(width, texts)), schema)
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
