@@ -353,3 +353,17 @@ def test_empty_tables(spark, small):
     assert mixing.mix_plan(none).count() == 0
     assert crf.scored(none, crf.train(none, labels)).count() == 0
     assert urlfilter.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
+
+
+@pytest.mark.parametrize("name", ["op3_substring_dedup", "op6_line_dedup", "op8_benchmark_decontamination"])
+def test_query_equals_its_sql(name, spark, small):
+    import duckdb
+
+    from quillon.llm import queries
+
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.sql(f"create view {t} as select * from '{small}/{t}.parquet'")
+    got, want = queries.QUERIES[name](spark, small), con.sql(queries.ORACLE_SQL[name])
+    assert got.columns == want.columns
+    assert rows_of(got) == sorted(want.fetchall(), key=brute.NULLS_LAST)
