@@ -16,8 +16,9 @@ further columns are ignored.
 
 from __future__ import annotations
 
-import math
+import json
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,22 +105,21 @@ def train(table: DataFrame) -> list[float]:
     got = [(r["cells"], r["y"]) for r in rows.limit(MAX_LABELLED + 1).collect()]
     if len(got) > MAX_LABELLED:
         raise ValueError(f"the labelled table has more than {MAX_LABELLED} rows")
-    weights = [0.0] * (CELLS + 1)
+    weights, bias = np.zeros(CELLS), 0.0
+    x, y = np.zeros((len(got), CELLS)), np.array([y for _, y in got], dtype=float)
+    for row, (own, _) in zip(x, got, strict=True):
+        np.add.at(row, own, 1 / np.sqrt(max(len(own), 1)))
     for _ in range(ROUNDS if got else 0):
-        step = [DECAY * w for w in weights]
-        for own, y in got:
-            unit = 1 / math.sqrt(max(len(own), 1))
-            error = (1 / (1 + math.exp(-sum(weights[c] for c in own) * unit - weights[-1])) - y) / len(got)
-            for c in own:
-                step[c] += error * unit
-            step[-1] += error
-        weights = [w - RATE * s for w, s in zip(weights, step, strict=True)]
-    return weights
+        error = (1 / (1 + np.exp(-(x @ weights + bias))) - y) / len(got)
+        weights -= RATE * (x.T @ error + DECAY * weights)
+        bias -= RATE * float(error.sum())
+    return [*weights.tolist(), bias]
 
 
 def score(host: Column, path: Column, weights: list[float]) -> Column:
     own = cells(host, path)
-    table = F.array(*[F.lit(w) for w in weights[:-1]])
+    # one foldable expression, which the optimiser turns into a literal array
+    table = F.from_json(F.lit(json.dumps(weights[:-1])), "array<double>")
     total = F.aggregate(own, F.lit(0.0), lambda acc, c: acc + F.element_at(table, c + 1))
     return 1 / (1 + F.exp(-(total / F.sqrt(F.greatest(F.size(own), F.lit(1))) + F.lit(weights[-1]))))
 
