@@ -2,9 +2,11 @@
 
 Byte n-grams are hashed into a fixed number of cells.  Two smoothed multinomials
 are counted over all rows: one over the trusted target (documents labelled of
-quality 1), one over the raw corpus.  A document's score is the mean, per
-n-gram, of log p(target) - log p(raw); it is kept if that reaches the
-threshold, the same for every document.  Simple counted rules reject first.
+quality 1), one over the raw corpus.  The target is first brought to the raw
+corpus's size, so that its share of the corpus does not matter.  A document's
+score is the mean, per n-gram, of log p(target) - log p(raw); it is kept if that
+reaches the threshold, the same for every document.  Simple counted rules reject
+first.
 
 Cases: a null or empty text has no words and fails the base rules; a text
 shorter than an n-gram scores 0; without any labelled document the target equals
@@ -30,6 +32,9 @@ CELLS = 1 << 16
 #: Pseudo-count of a cell as a share of the raw corpus's mean cell (1 at least), so
 #: that wordings too rare to be judged weigh little at every corpus size.
 SMOOTHING = 0.05
+#: n-grams of the raw distribution that are added to the target, so that a target of
+#: few labelled texts comes near the raw corpus and little is rejected on its word.
+EVIDENCE = CELLS // 2
 #: Mean log-likelihood ratio (nats per n-gram) from which a document is kept.
 THRESHOLD = -0.5
 MIN_WORDS = 50
@@ -77,9 +82,11 @@ def log_ratio(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     target, raw = counts[:CELLS], counts[CELLS:]
     if not target.sum():
         target = raw
-    prior = max(1.0, SMOOTHING * raw.sum() / CELLS)
-    p, q = ((c + prior) / (c.sum() + prior * CELLS) for c in (target, raw))
-    return np.log(p) - np.log(q)
+    size = max(1, raw.sum())
+    prior = max(1.0, SMOOTHING * size / CELLS)
+    # both add up to the size of the raw corpus
+    scaled = raw if target is raw else (target * (size / EVIDENCE) + raw) / (target.sum() / EVIDENCE + 1)
+    return np.log(scaled + prior) - np.log(raw + prior)
 
 
 def measures(b: Block) -> dict[str, np.ndarray]:

@@ -103,6 +103,19 @@ def test_quality_rules(spark, docs, small):
     assert quality_rules.filter_quality(df, labels).columns == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+@pytest.mark.parametrize("share", [0.05, 0.01, 0.001])
+def test_few_labels_reject_no_clean_documents(spark, share):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    good = labels.filter("quality = 1")
+    thin = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max(1, round(share * good.count())))
+    out = quality_rules.judged(docs.select("doc_id", "text"), thin).join(labels, "doc_id").filter("not base_failed")
+    kept = {r["quality"]: r["k"] for r in out.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("k")).collect()}
+    # of a language with a single labelled document some go
+    assert kept[1] > 0.9
+    if share == 0.05:
+        assert kept[0] < 0.1
+
+
 def test_ngram_ratio_matches_a_plain_count():
     import pyarrow as pa
 
