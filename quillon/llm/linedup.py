@@ -1,9 +1,10 @@
 """Operator 6: line dedup by an exact set-similarity join.
 
-A line is the set of its words; lines of at least ``MIN_TOKENS`` different words
-are joined where their Jaccard similarity reaches 0.8, and of every such pair
-the later line (by doc_id, then line) is removed.  Pairs are judged on the
-input, so a removed line still removes later ones.
+A line is the set of its words; lines of at least ``least`` different words are
+joined where their Jaccard similarity reaches 0.8, and of every such pair the later
+line (by doc_id, then line) is removed.  Pairs are judged on the input, so a
+removed line still removes later ones.  The query's SQL asks for ``MIN_TOKENS``
+words; ``dedup_documents`` joins all lines that have a word.
 
 Tokens are ordered by rarity: by their count in a table of fixed length over the
 whole corpus, then by hash.  The order is total and the same for every line,
@@ -13,7 +14,8 @@ shards, where length and positional filters and a parity bitmap of the tokens
 discard pairs, and tells which lines have a partner left (not which pairs).  A
 pair counts only at the first of several tokens that it shares in a row.
 Round two sends the whole token sets of those lines only, and verifies.  Equal
-sets are joined apart, by their hash.  Nothing but a line's own verdict leaves a
+sets are joined apart, by their hash; sets of fewer than ``JOINED`` words have no
+other partners.  Nothing but a line's own verdict leaves a
 shard, so a group of many similar lines makes no pairs.  Tokens are compared by
 47-bit hashes.
 
@@ -38,6 +40,8 @@ from .exchange import bucket_bits, pack48, received, send, sized_pack, sized_unp
 from .textcore import U64, blocks, mix, slice_hashes, words_of
 
 MIN_TOKENS = 5
+#: Least size of a set that can be similar to another: 4 of 5 words are Jaccard 0.8.
+JOINED = 4
 RANK_BITS, HASH_BITS = 18, 29
 ID_BITS = RANK_BITS + HASH_BITS
 #: Lines with more tokens than this use both words of the bitmap.
@@ -82,7 +86,7 @@ def ordered(chunk: pa.Table) -> pa.Table:
 class Lines:
     """Distinct token sets of a chunk's lines, each with its first line."""
 
-    def __init__(self, rows: pa.Table, ranks: np.ndarray):
+    def __init__(self, rows: pa.Table, ranks: np.ndarray, least: int):
         known = len(rows) - rows["doc_id"].null_count
         sets, sizes, docs, numbers = [], [], [], []
         for b in blocks(rows["text"]):
@@ -106,7 +110,7 @@ class Lines:
                 n = np.diff(np.append(at, len(own)))
                 number = own[at] + low
                 doc = np.searchsorted(first_line, number, side="right") - 1
-                keep = (n >= MIN_TOKENS) & (doc + b.first_row < known)
+                keep = (n >= least) & (doc + b.first_row < known)
                 sets.append((key & U64((1 << ID_BITS) - 1))[np.repeat(keep, n)])
                 sizes.append(n[keep])
                 docs.append(doc[keep] + b.first_row)
@@ -166,17 +170,17 @@ def _spread(token: np.ndarray, bits: int) -> np.ndarray:
     return ((token & U64((1 << HASH_BITS) - 1)) >> U64(HASH_BITS - bits)).astype(np.int64)
 
 
-def _ask_first(ranks, bits: int):
+def _ask_first(ranks, bits: int, least: int = MIN_TOKENS):
     """Round one: set hashes (shards below 2**bits) and prefix tokens (above)."""
 
     def run(chunk: pa.Table) -> pa.Table:
         rows, number = ordered(chunk), chunk["chunk"][0].as_py()
-        x = Lines(rows, ranks.value)
+        x = Lines(rows, ranks.value, least)
         ids = rows["doc_id"].fill_null(0).to_numpy()
         same = send(number, x.sign, ids[x.doc[x.lead]], bits)
         out = {"shard": same["bucket"].to_pylist()} | {k: same[k].to_pylist() for k in ("chunk", "first", "gaps", "data")}
         same = _as_table(out | {k: [] for k in ("lines", "sizes", "more")})
-        p = prefix(x.n)
+        p = np.where(x.n >= JOINED, prefix(x.n), 0)
         line = np.repeat(np.arange(len(x.n)), p)
         place = np.arange(int(p.sum())) - np.repeat(np.cumsum(p) - p, p)
         token = x.flat[x.first[line] + place]
@@ -322,7 +326,7 @@ def _answer_first(bits: int):
     return run
 
 
-def _ask_second(ranks, bits: int):
+def _ask_second(ranks, bits: int, least: int = MIN_TOKENS):
     """Round two: token sets of lines with partners, and what is settled."""
 
     def run(chunk: pa.Table, told: pa.Table) -> pa.Table:
@@ -330,7 +334,7 @@ def _ask_second(ranks, bits: int):
         if not len(rows):
             return _as_table({k: [] for k in _ASK_NAMES})
         number = chunk["chunk"][0].as_py()
-        x = Lines(rows, ranks.value)
+        x = Lines(rows, ranks.value, least)
         ids = rows["doc_id"].fill_null(0).to_numpy()
         kinds = told["kind"].to_numpy()
         pick = lambda name, kind, dtype: np.concatenate([np.zeros(0, dtype), *(np.frombuffer(v.as_py(), dtype) for v, k in zip(told[name], kinds, strict=True) if k == kind)])
@@ -454,7 +458,7 @@ def _cut(names: list[str]):
     return run
 
 
-def line_dedup(docs: DataFrame) -> DataFrame:
+def line_dedup(docs: DataFrame, least: int = MIN_TOKENS) -> DataFrame:
     """``docs`` without text, plus n_lines, n_removed, kept_text, kept_sha256."""
     docs = docs.drop("chunk", *(k for k, _ in _ADDED))
     size = text_bytes(docs)
@@ -463,9 +467,9 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     # all rows of one id in one chunk, so that chunks differ in their ids
     owner = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
     base = docs.withColumn("chunk", F.pmod(owner, F.lit(chunk_count(size))).cast("int"))
-    asked = base.groupBy("chunk").applyInArrow(lean(_ask_first(ranks, bits)), _ASK)
+    asked = base.groupBy("chunk").applyInArrow(lean(_ask_first(ranks, bits, least)), _ASK)
     told = asked.groupBy("shard").applyInArrow(lean(_answer_first(bits)), _TELL)
-    again = base.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(lean_pair(_ask_second(ranks, bits)), _ASK)
+    again = base.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(lean_pair(_ask_second(ranks, bits, least)), _ASK)
     final = again.groupBy("shard").applyInArrow(lean(_verify), "chunk int, docs binary, lines binary")
     names = [f.name for f in docs.schema.fields if f.name != "text"]
     schema = T.StructType([*(docs.schema[k] for k in names), *(T.StructField(k, t) for k, t in _ADDED)])
@@ -474,7 +478,7 @@ def line_dedup(docs: DataFrame) -> DataFrame:
 
 def dedup_documents(docs: DataFrame) -> DataFrame:
     """Documents with their repeated lines taken out; every document stays."""
-    out = line_dedup(docs.select("doc_id", "text", "lang", "source", "n_chars"))
+    out = line_dedup(docs.select("doc_id", "text", "lang", "source", "n_chars"), least=1)
     chars = F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))
     return out.select("doc_id", F.col("kept_text").alias("text"), "lang", "source", chars.alias("n_chars"))
 

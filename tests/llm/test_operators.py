@@ -223,6 +223,17 @@ def test_line_dedup(spark, docs):
     assert got == brute.lines(many)
 
 
+def test_short_lines_are_joined(spark, docs):
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(7)]
+    short = [(rng.choice([None, *range(60)]), "\n".join(" ".join(rng.choice(words) for _ in range(rng.randint(0, 6))) for _ in range(rng.randint(0, 3)))) for _ in range(90)]
+    # four words of five, the order of words, repeats of a word and a line without blanks
+    short += [(100, "All rights reserved.\nq1 q2 q3 q4"), (101, "reserved. All rights\nq4 q2 q9 q3 q1"), (102, "a b a b\n日本語のとても長い行"), (103, "b a\n\n日本語のとても長い行\nAll rights")]
+    for rows in (short, docs):
+        got = rows_of(linedup.dedup_documents(frame(spark, rows)).select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256)))
+        assert got == sorted(((d, sha) for d, _, _, sha in brute.lines(rows, least=1)), key=brute.NULLS_LAST)
+
+
 def test_long_runs_of_one_token(monkeypatch):
     """The searches of large token groups agree with those of small ones."""
     import pyarrow as pa
