@@ -2,22 +2,23 @@
 
 Strong patterns are reported wherever they stand.  Weak candidates (short or
 loosely named secrets, account names, endpoints) are reported only where the
-parts that complete a credential stand in the same scope: starts at most
-``SCOPE`` code points apart.  Candidates become rows; scopes are joined by cells
-of ``SCOPE`` code points, each reduced first to the least and greatest start of
-each part, so a text of many candidates makes no pairs.  DataFrame and SQL
-functions only.
+parts that complete a credential stand in the same scope: at most ``SCOPE`` code
+points from the end of one to the start of the other, or overlapping.  A bare
+string (hex or access) doesn't complete a candidate that it overlaps, as it is
+the same piece of text.  Candidates become rows; one sweep over the positions of a
+text keeps the farthest end and start of each part, so a text of many candidates
+makes no pairs.  DataFrame and SQL functions only.
 
 Cases: a null text is an empty one; positions are code points, ends exclusive;
 matches of one kind don't overlap, kinds may; a weak candidate that overlaps a
-strong span is dropped; rows that repeat a document get equal results; rows of a
+strong span of the same part is dropped; rows that repeat a document get equal results; rows of a
 null doc_id are scanned as well; an empty table gives no rows; further columns
 are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .clusterio import checkpointed, read, small_side
@@ -38,6 +39,8 @@ WEAK = [
 KINDS = [k[0] for k in [*BASE, *WEAK]]
 #: The part of a credential that each kind is, and the parts that complete it.
 PART = {"assign": "secret", "hex": "secret", "access": "id", "weak_secret": "secret", "weak_id": "id", "endpoint": "endpoint"}
+#: Kinds without a name or scheme beside them.
+BARE = ("access", "hex")
 NEEDS = {"weak_secret": ("id", "endpoint"), "weak_id": ("secret",), "endpoint": ("secret",)}
 _SPAN = "struct<start:int,kind:int,end:int>"
 #: A cheap test whether a kind can occur at all.
@@ -67,6 +70,10 @@ def spans(text: Column, kind: str, pattern: str, group: int, least: int) -> Colu
     return F.when(F.rlike(text, F.lit(_HINT.get(kind, pattern))), found).otherwise(empty)
 
 
+def _part(kind: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(PART[k]) for k in KINDS]), kind + 1)
+
+
 def _listed(found: Column) -> Column:
     names = F.array(*map(F.lit, KINDS))
     one = lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))
@@ -80,23 +87,34 @@ def candidates(docs: DataFrame) -> DataFrame:
     base = F.concat(*[spans(F.col("text"), *k) for k in BASE])
     weak = F.concat(*[spans(F.col("text"), *k) for k in WEAK])
     out = rows.select("doc_id", F.xxhash64("doc_id", "text").alias("r1"), F.hash("text", "doc_id").alias("r2"), base.alias("base"), weak.alias("loose"))
-    alone = F.filter("loose", lambda w: ~F.exists("base", lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
+    alone = F.filter("loose", lambda w: ~F.exists("base", lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"]) & (_part(b["kind"]) == _part(w["kind"]))))
     return out.select("doc_id", "r1", "r2", "base", alone.alias("weak"))
 
 
 def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     """(r1, r2, added): the weak spans that complementary parts support."""
-    part = F.element_at(F.array(*[F.lit(PART[k]) for k in KINDS]), F.col("s.kind") + 1)
-    rows = found.filter(F.size("weak") > 0).select("r1", "r2", F.explode(F.concat("base", "weak")).alias("s"))
-    rows = rows.distinct().select("r1", "r2", "s", part.alias("part"), F.floor(F.col("s.start") / scope).cast("int").alias("cell"))
-    held = rows.groupBy("r1", "r2", "cell", "part").agg(F.min("s.start").alias("low"), F.max("s.start").alias("high"))
-    near = rows.filter(F.col("s.kind") >= len(BASE)).withColumn("cell", F.explode(F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1)))
-    pairs = near.drop("part").join(held, ["r1", "r2", "cell"])
-    wants = F.coalesce(*[F.when(F.col("s.kind") == KINDS.index(k), F.array(*map(F.lit, v))) for k, v in NEEDS.items()])
-    at = F.col("s.start")
-    # a cell is as wide as the scope: its nearest start is its least or its greatest
-    close = F.col("low").between(at - scope, at + scope) | F.col("high").between(at - scope, at + scope)
-    good = pairs.filter(close & F.array_contains(wants, F.col("part")))
+    rows = found.filter(F.size("weak") > 0).select("r1", "r2", F.explode(F.concat("base", "weak")).alias("s")).distinct()
+    bare = F.col("s.kind").isin([KINDS.index(k) for k in BARE])
+    weak = F.col("s.kind") >= len(BASE)
+    start, end, turn = F.col("s.start"), F.col("s.end"), F.col("e.turn")
+    # a span opens (0), a bare one shuts (1), a candidate asks at the far end of its scope (2) and at its start (3)
+    events = [(start, 0, F.lit(True)), (end, 1, bare), (end + scope, 2, weak), (start, 3, weak)]
+    listed = F.array(*[F.when(when, F.struct(at.alias("at"), F.lit(n).alias("turn"))) for at, n, when in events])
+    swept = rows.withColumn("e", F.explode(F.filter(listed, lambda e: e.isNotNull())))
+    so_far = Window.partitionBy("r1", "r2").orderBy("e.at", "e.turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    near = {}
+    for p in sorted(set(PART.values())):
+        own = _part(F.col("s.kind")) == p
+        swept = swept.withColumn(f"reach_{p}", F.max(F.when((turn == 0) & ~bare & own, end)).over(so_far))
+        swept = swept.withColumn(f"open_{p}", F.max(F.when((turn == 0) & bare & own, start)).over(so_far))
+        swept = swept.withColumn(f"shut_{p}", F.max(F.when((turn == 1) & own, end)).over(so_far))
+        ahead = F.coalesce(F.col(f"reach_{p}") >= start - scope, F.lit(False)) | F.coalesce(F.col(f"open_{p}") >= end, F.lit(False))
+        near[p] = F.when(turn == 2, ahead).otherwise(F.coalesce(F.col(f"shut_{p}") >= start - scope, F.lit(False)))
+    met = F.lit(False)
+    for k, parts in NEEDS.items():
+        for p in parts:
+            met = met | ((F.col("s.kind") == KINDS.index(k)) & near[p])
+    good = swept.filter((turn >= 2) & met)
     return good.groupBy("r1", "r2").agg(F.collect_set("s").alias("added"))
 
 
