@@ -6,9 +6,8 @@ lines before and after it; a document's label is the label of all its lines in
 training.  Forward-backward gives each line's marginal, and the marginals,
 weighted by the lines' lengths, average into the document's quality.
 
-The model is fitted on a bounded sample: at most ``SAMPLE`` labelled documents,
-those of the least seeded hash of their id, and at most ``SAMPLE_LINES`` lines
-of each.  Scoring reads every line of every document.
+The model is fitted on a sample: all lines of at most ``SAMPLE`` labelled
+documents, those of the least seeded hash of their id.  Scoring reads every line of every document.
 
 Cases: a null or empty text has no line and gets the base rate of label 1 in the
 sample; without any label the score is 0.5 everywhere; a doc_id labelled twice
@@ -28,7 +27,7 @@ from pyspark.sql import functions as F
 from .clusterio import checkpointed, read
 from .textcore import PLAIN_WORD, U64, Block, blocks, mix, slice_hashes, words_of
 
-SAMPLE, SAMPLE_LINES, SEED = 3_000, 200, 17
+SAMPLE, SEED = 3_000, 17
 HELD_OUT_FOLDS, HELD_OUT_FOLD = 5, 0
 THRESHOLD = 0.3
 STEPS, RATE, DECAY = 250, 0.1, 1e-4
@@ -217,7 +216,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain | N
                 x = lines_of(b)
                 first = np.searchsorted(x.doc, np.arange(b.n + 1))
                 for i in range(b.n):
-                    own = slice(int(first[i]), int(min(first[i + 1], first[i] + SAMPLE_LINES)))
+                    own = slice(int(first[i]), int(first[i + 1]))
                     yield pa.RecordBatch.from_pydict(
                         {
                             "doc_id": pa.array([ids[b.first_row + i]], pa.int64()),

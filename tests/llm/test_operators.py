@@ -377,6 +377,15 @@ def test_classifier(spark, small):
     assert {r["score"] for r in crf.scored(extra.limit(3), crf.train(docs, labels.limit(0))).collect()} == {0.5}
 
 
+def test_classifier_trains_on_all_lines(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(crf, "fit", lambda x, first, quality, length: seen.append((len(x), first.tolist(), len(length))))
+    free = [r["doc_id"] for r in spark.range(20).withColumnRenamed("id", "doc_id").filter(~crf.held_out()).collect()][:2]
+    docs = spark.createDataFrame([(free[0], "a plain line\n" * 250 + "spam $$$ tail"), (free[1], "one line")], "doc_id long, text string")
+    crf.train(docs, spark.createDataFrame([(free[0], 0), (free[1], 1)], "doc_id long, quality int"))
+    assert seen == [(252, [0, 251, 252], 252)]
+
+
 def test_forward_backward_equals_enumeration():
     rng = np.random.default_rng(4)
     chain = crf.Chain(rng.normal(size=3), rng.normal(size=(2, 2)), np.zeros(3), np.ones(3), 0.5)
