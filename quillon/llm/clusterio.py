@@ -8,11 +8,17 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-#: Rows up to which a side of a join may be broadcast (about 16 bytes a row).
-BROADCAST_ROWS = 1_000_000
+from pyspark.sql import types as T
+
+#: Bytes up to which a side of a join may be broadcast, as rows of a hash table.
+BROADCAST_BYTES = 64 << 20
+#: What a row takes beside its values, and what a value of fixed length takes.
+ROW_BYTES, VALUE_BYTES = 48, 8
+#: Partial sums that one task adds up.
+FAN_IN = 64
 CHUNK_BYTES = 8 << 20
 MIN_CHUNKS = 64
 
@@ -21,21 +27,51 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder, its lineage cut.
 
     The folder is the session's ``spark.checkpoint.dir``; one of our own is set
-    only where that is unset, as in local tests.
+    only where that is unset and all runs in this process, as in local tests.
     """
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         where = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if where is None and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all nodes share")
         sc.setCheckpointDir(where or tempfile.mkdtemp(prefix="quillon-checkpoint-"))
     return df.checkpoint()
 
 
-def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if a count shows at most ``limit`` rows.
+def _value_bytes(value: Column, kind: T.DataType) -> Column:
+    """Bytes of a value, long strings and arrays included."""
+    if isinstance(kind, T.StringType | T.BinaryType):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + F.lit(VALUE_BYTES)
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, T.StringType | T.BinaryType | T.ArrayType):
+            return F.aggregate(F.coalesce(value, F.array().cast(kind)), F.lit(0).cast("long"), lambda n, x: n + _value_bytes(x, kind.elementType))
+        width = len(kind.elementType.fields) + 2 if isinstance(kind.elementType, T.StructType) else 1
+        return F.coalesce(F.size(value), F.lit(0)) * F.lit(VALUE_BYTES * width) + F.lit(16)
+    return F.lit(VALUE_BYTES)
+
+
+def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if a sum shows at most ``limit`` bytes.
+
+    Above the limit the plain frame comes back and the join is by shuffle.  The
+    frame is read for the sum: hand over what is checkpointed or cheap.
+    """
+    size = F.lit(ROW_BYTES).cast("long")
+    for f in df.schema.fields:
+        size = size + _value_bytes(F.col(f"`{f.name}`"), f.dataType)
+    total = df.agg(F.sum(size).alias("n")).first()["n"] or 0
+    return F.broadcast(df) if total <= limit else df
+
+
+def shielded(docs: DataFrame, used: tuple[str, ...], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work`` on ``docs`` whose further columns bear neutral names meanwhile.
 
-    Above the limit the plain frame comes back and the join is by shuffle.
+    Columns that the work adds can then clash with none; those it drops stay
+    away, and the columns of ``docs`` keep their order and names.
     """
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    plain = {c: c if c in used else f"_further_{i}" for i, c in enumerate(docs.columns)}
+    out = work(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in plain.items()]))
+    return out.select(*[F.col(n).alias(c) for c, n in plain.items() if n in out.columns])
 
 
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
@@ -58,27 +94,37 @@ def summed_vectors(df: DataFrame, batch_vectors: Callable, length: int, slices:
     """Element-wise sum over all partitions of an int64 vector of ``length``.
 
     ``batch_vectors(batches)`` folds one partition into its vector.  Each
-    partition sends ``slices`` compressed pieces; they are added slice by slice
-    on the executors, and the driver gets ``8 * length`` bytes.
+    partition sends ``slices`` compressed pieces; they are added on the
+    executors slice by slice, ``FAN_IN`` partitions at a time, then as many of
+    those sums, then the rest (a million partitions leave 245), and the driver
+    gets ``8 * length`` bytes.
     """
     step = -(-length // slices)
 
     def send(batches):
         total = batch_vectors(batches)
+        lot = TaskContext.get().partitionId() // FAN_IN
         yield pa.RecordBatch.from_pydict(
-            {"slice": pa.array(range(slices), pa.int32()), "data": pa.array([pack(total[i * step : (i + 1) * step]) for i in range(slices)], pa.binary())}
+            {
+                "slice": pa.array(range(slices), pa.int32()),
+                "lot": pa.array([lot] * slices, pa.int32()),
+                "data": pa.array([pack(total[i * step : (i + 1) * step]) for i in range(slices)], pa.binary()),
+            }
         )
 
     def add(group: pa.Table) -> pa.Table:
         total = 0
         for x in group["data"]:
             total = total + unpack(x.as_py(), np.int64)
-        return pa.table({"slice": group["slice"][:1], "data": pa.array([pack(total)], pa.binary())})
+        lot = group["lot"][0].as_py() // FAN_IN
+        return pa.table({"slice": group["slice"][:1], "lot": pa.array([lot], pa.int32()), "data": pa.array([pack(total)], pa.binary())})
 
-    schema = "slice int, data binary"
-    rows = df.mapInArrow(send, schema).groupBy("slice").applyInArrow(add, schema).collect()
+    schema = "slice int, lot int, data binary"
+    sent = df.mapInArrow(send, schema)
+    for keys in (("slice", "lot"), ("slice", "lot"), ("slice",)):
+        sent = sent.groupBy(*keys).applyInArrow(add, schema)
     out = np.zeros(length, np.int64)
-    for r in rows:
+    for r in sent.collect():
         part = unpack(bytes(r["data"]), np.int64)
         out[r["slice"] * step : r["slice"] * step + len(part)] = part
     return out

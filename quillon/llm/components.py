@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .clusterio import checkpointed, small_side
 
-#: Rounds are logarithmic in the longest path; this only stops a broken loop.
+#: Rounds are logarithmic in the longest path; a loop that goes on longer is an error.
 MAX_ROUNDS = 60
 
 
@@ -38,5 +38,7 @@ def components(links: DataFrame) -> DataFrame:
         if state == before:
             break
         before = state
+    else:
+        raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
     roots = pairs.select(F.col("v").alias("node")).distinct().join(pairs.select(F.col("u").alias("node")), "node", "left_anti")
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots.select("node", F.col("node").alias("root")))

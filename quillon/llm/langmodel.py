@@ -1,21 +1,29 @@
 """Operator 5: language-model scoring with an Elias-Fano n-gram trie.
 
-A bigram model over all training documents (those whose crc32 of the id is not
+A trigram model over all training documents (those whose crc32 of the id is not
 in the held-out residue).  Tokens are the words with A-Z lower-cased and one end
-per text.  The model is spread over shards: documents are dealt into bounded
-chunks, each chunk sends each shard its distinct n-grams with their training
-counts, the shard adds the counts of all chunks into its trie and answers each
-chunk, and the chunk scores its documents.  N-grams are dealt by a hash of the
-whole n-gram, so a common word or pair is no hot key.
-
-p(w | v) = (c(vw) + MU * p1(w)) / (c(v) + MU), p1(w) = (c(w) + 1) / (N + V + 1);
-an unknown word has c(w) = 0, and the start of a text is a context of its own.
-The trie keeps c(vw) as a 16-bit quantised logarithm; word counts stay exact.
+per text; the start of a text is a context.  Each order is smoothed with the one
+below:
+
+    p(w) = (c(w) + 1) / (N + V + 1)
+    p(w | v) = (c(vw) + MU_2 p(w)) / (c(v) + MU_2)
+    p(w | uv) = (c(uvw) + MU_3 p(w | v)) / (c(uv) + MU_3)
+
+Documents are dealt into bounded chunks.  A chunk learns the counts of its words
+and of those bigrams and trigrams that other chunks may hold (see ``exchange``);
+of the others its own counts are all there are.  N-grams are dealt by a hash of
+the whole n-gram, so a common word or pair is no hot key.  The chunk then builds
+the trie of the n-grams that its texts can ask for: words, bigrams and trigrams
+of a count above 0, each with its quantised smoothed log-probability, contexts
+with their back-off.  An n-gram that the trie has not backs off to the order
+below, which is what the formulas say for a count of 0.
 
 Cases: a null or empty text has the one token end; rows of a null doc_id train;
 rows that repeat a document count each time; without any training token N = V =
-0 and every token has probability 1; an empty table gives no rows; further
-columns are ignored.
+0 and every token has probability 1; a very long text is a chunk's largest part
+and takes memory in proportion to its length; no result depends on ties; an
+empty table gives no rows; further columns are ignored.  Words and n-grams are
+told apart by 64-bit hashes; log-probabilities are exact to 1 / 8000 a level.
 """
 
 from __future__ import annotations
@@ -25,17 +33,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .clusterio import chunk_count, chunk_of, lean, lean_pair, pack, read, text_bytes, unpack
-from .exchange import bucket_bits, pack48, received, send, sized_pack, sized_unpack, unpack48
+from .clusterio import chunk_count, chunk_of, lean, lean_pair, read, text_bytes
+from .exchange import ANSWER, SCHEMA, bucket_bits, flags_for, offer, offer_bits, received, send, shared, sums, values_for
 from .textcore import LOWER, U64, Block, blocks, mix, slice_hashes, words_of
 from .trie import Trie
 
 HELD_OUT_MOD, HELD_OUT_REST = 7, 2
-MU = 200.0
+MU_2, MU_3 = 1000.0, 20.0
 BYTES_A_WORD = 6
 #: Tokens that no word hash is: end and start of a text.
 END, START = U64(0x5EED0E4D00000001), U64(0x5EED57A470000002)
-CONTEXT_BITS, SUCCESSOR_BITS = 48, 32
+#: Kinds of rows: words, offered bigrams and trigrams, counted bigrams and trigrams.
+WORDS, OFFERED, COUNTED = 0, (1, 2), (3, 4)
 
 
 def is_held_out():
@@ -89,149 +98,182 @@ def vocabulary_size(docs: DataFrame, bits: int) -> tuple[int, int]:
         keys, counts, _ = received(rows)
         return pa.table({"total": pa.array([int(counts.sum())]), "kinds": pa.array([len(np.unique(keys))])})
 
-    rows = docs.select("text", "train").mapInArrow(count, "bucket int, chunk int, first long, gaps binary, data binary")
+    rows = docs.select("text", "train").mapInArrow(count, SCHEMA)
     sums = rows.groupBy("bucket").applyInArrow(merge, "total long, kinds long").agg(F.sum("total"), F.sum("kinds")).first()
     return sums[0] or 0, sums[1] or 0
 
 
 class Grams:
-    """Distinct words and bigrams of a chunk, in a fixed order."""
+    """Distinct words, bigrams and trigrams of a chunk, each in trie order."""
 
     def __init__(self, chunk: pa.Table):
-        chunk = chunk.combine_chunks()
-        self.rows = chunk
-        train = chunk["train"].to_numpy(zero_copy_only=False) if len(chunk) else np.zeros(0, bool)
-        tokens, firsts, base = [], [np.zeros(1, np.int64)], 0
-        for b in blocks(chunk["text"]):
-            t, first = block_tokens(b)
-            tokens.append(t)
-            firsts.append(first[1:] + base)
-            base += int(first[-1])
-        self.tokens, self.first = np.concatenate(tokens), np.concatenate(firsts)
-        weight = np.repeat(train, np.diff(self.first)).astype(np.int64)
-        self.words, at = np.unique(self.tokens, return_inverse=True)
-        self.word_at = at
-        self.word_count = np.bincount(at, weights=weight, minlength=len(self.words)).astype(np.int64)
-        # contexts: the word before, START (number 0) at the head of a text
-        before = np.empty(len(at), np.int64)
-        before[1:] = at[:-1] + 1
-        before[self.first[:-1]] = 0
-        self.before = before
-        pair = before * (len(self.words) + 1) + at
-        own, self.pair_at = np.unique(pair, return_inverse=True)
-        self.pair_count = np.bincount(self.pair_at, weights=weight, minlength=len(own)).astype(np.int64)
-        names = np.concatenate([[START], self.words])
-        self.context = names[own // (len(self.words) + 1)]
-        self.successor = self.words[own % (len(self.words) + 1)]
-        del pair, own
-
-    def dealt(self, bits: int):
-        """Order of the bigrams by (shard, context, successor), and the shards."""
-        spread = mix(self.context * U64(3) + self.successor)
-        shard = (spread >> U64(64 - bits)).astype(np.int64)
-        context = self.context >> U64(64 - CONTEXT_BITS)
-        successor = (self.successor >> U64(64 - SUCCESSOR_BITS)).astype(np.uint32)
-        order = np.lexsort((successor, context, shard))
-        return order, shard[order], context[order], successor[order]
-
-
-_REQUEST = "shard int, chunk int, first long, gaps binary, data binary, runs binary, successors binary"
-
-
-def _ask(bits: int):
+        self.rows = chunk.combine_chunks()
+        train = self.rows["train"].to_numpy(zero_copy_only=False)
+        parts, sizes = [], []
+        for b in blocks(self.rows["text"]):
+            tokens, first = block_tokens(b)
+            parts.append(np.insert(tokens, first[:-1], START))
+            sizes.append(np.diff(first) + 1)
+        sequence, size = np.concatenate(parts), np.concatenate(sizes)
+        self.first = np.concatenate([[0], np.cumsum(size)])
+        weight = np.repeat(train, size).astype(np.int64)
+        place = np.arange(len(sequence)) - np.repeat(self.first[:-1], size)
+        self.names, at = np.unique(sequence, return_inverse=True)
+        self.at = [at]
+        self.counts = [self._counted(at, weight, len(self.names))]
+        self.parent, self.word, self.hash = [], [], []
+        for order in (2, 3):
+            # where an n-gram of this order ends; others have the number -1
+            ends = np.flatnonzero(place >= order - 1)
+            before = self.at[-1][ends - 1]
+            own, inverse = np.unique(before * len(self.names) + at[ends], return_inverse=True)
+            numbers = np.full(len(sequence), -1)
+            numbers[ends] = inverse
+            self.at.append(numbers)
+            self.counts.append(self._counted(inverse, weight[ends], len(own)))
+            self.parent.append(own // len(self.names))
+            self.word.append(own % len(self.names))
+            above = self.hash[-1] if self.hash else self.names
+            self.hash.append(mix(above[self.parent[-1]] * U64(2 * order + 1) + self.names[self.word[-1]]))
+
+    def find_shorter(self) -> None:
+        """Of each trigram, the number of the bigram of its last two words."""
+        self.shorter = np.zeros(len(self.hash[1]), np.int64)
+        ends = np.flatnonzero(self.at[2] >= 0)
+        self.shorter[self.at[2][ends]] = self.at[1][ends]
+
+    @staticmethod
+    def _counted(at: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+        return np.bincount(at, weights=weight, minlength=n).astype(np.int64)
+
+    def offered(self, k: int, wide: int) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct cut hashes of an order and the place of each n-gram among them."""
+        return np.unique(self.hash[k] >> U64(64 - wide), return_inverse=True)
+
+    def held_elsewhere(self, k: int, wide: int, answers: pa.Table, bits: int) -> np.ndarray:
+        """N-grams of an order that other chunks may hold, by their hash."""
+        keys, at = self.offered(k, wide)
+        own = np.flatnonzero(flags_for(keys, wide, answers, OFFERED[k] << bits, bits)[at])
+        return own[np.argsort(self.hash[k][own], kind="stable")]
+
+
+def _offer(bits: int, wide: int):
     def run(chunk: pa.Table) -> pa.Table:
-        g = Grams(chunk)
-        number = chunk["chunk"][0].as_py()
-        words = send(number, g.words, g.word_count, bits)
-        n = len(words)
-        words = words.rename_columns(["shard", "chunk", "first", "gaps", "data"])
-        words = words.append_column("runs", pa.nulls(n, pa.binary())).append_column("successors", pa.nulls(n, pa.binary()))
-        order, shard, context, successor = g.dealt(bits)
-        count = g.pair_count[order]
-        bounds = np.append(np.flatnonzero(np.diff(shard, prepend=-1)), len(shard))
-        out: dict[str, list] = {k: [] for k in ("shard", "first", "gaps", "data", "runs", "successors")}
-        for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            own, runs = np.unique(context[s:e], return_counts=True)
-            out["shard"].append((1 << bits) + int(shard[s]))
-            out["first"].append(int(own[0]))
-            out["gaps"].append(pack48(np.diff(own)))
-            out["data"].append(sized_pack(count[s:e]))
-            out["runs"].append(sized_pack(runs))
-            out["successors"].append(successor[s:e].tobytes())
-        out["chunk"] = [number] * len(out["shard"])
-        return pa.concat_tables([words, pa.table({f.name: pa.array(out[f.name], f.type) for f in words.schema})])
+        g, number = Grams(chunk), chunk["chunk"][0].as_py()
+        out = [send(number, g.names, g.counts[0], bits)]
+        for k in (0, 1):
+            keys, _ = g.offered(k, wide)
+            out.append(offer(number, keys, np.zeros(len(keys)), bits, wide, base=OFFERED[k] << bits))
+        return pa.concat_tables(out)
+
+    return run
+
+
+def _count(bits: int, wide: int):
+    def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        if not len(chunk):
+            return send(0, np.zeros(0, U64), np.zeros(0, np.int64), bits)
+        g, number = Grams(chunk), chunk["chunk"][0].as_py()
+        out = []
+        for k in (0, 1):
+            own = g.held_elsewhere(k, wide, answers, bits)
+            out.append(send(number, g.hash[k][own], g.counts[k + 1][own], bits, base=COUNTED[k] << bits))
+        return pa.concat_tables(out)
+
+    return run
+
+
+def _answer(bits: int):
+    def run(rows: pa.Table) -> pa.Table:
+        return shared(rows) if rows["bucket"][0].as_py() >> bits in OFFERED else sums(rows)
 
     return run
 
 
-def _answer(rows: pa.Table) -> pa.Table:
-    """Counts of words, or codes of bigrams, for each chunk that asked."""
-    if rows["runs"][0].as_py() is None:
-        keys, counts, origin = received(rows)
-        _, at = np.unique(keys, return_inverse=True)
-        sums = np.bincount(at, weights=counts).astype(np.int64)[at]
-        cut = np.flatnonzero(np.diff(origin)) + 1
-        found = [sized_pack(x) for x in np.split(sums, cut)]
-    else:
-        contexts, successors, counts, sizes = [], [], [], []
-        for first, gaps, data, runs, own in zip(*(rows[k] for k in ("first", "gaps", "data", "runs", "successors")), strict=True):
-            start = np.array([first.as_py()], np.int64).view(U64)
-            names = np.cumsum(np.concatenate([start, unpack48(gaps.as_py())]), dtype=U64)
-            contexts.append(np.repeat(names, sized_unpack(runs.as_py())))
-            successors.append(np.frombuffer(own.as_py(), np.uint32))
-            counts.append(sized_unpack(data.as_py()))
-            sizes.append(len(successors[-1]))
-        context, successor, count = map(np.concatenate, (contexts, successors, counts))
-        some = np.flatnonzero(count)
-        names, rank = np.unique(context[some], return_inverse=True)
-        key, total = _added((rank.astype(U64) << U64(32)) | successor[some], count[some])
-        trie = Trie(names[(key >> U64(32)).astype(np.int64)], key & U64(0xFFFFFFFF), np.log10(total))
-        codes = trie.codes_of(context, successor)
-        found = [pack(x) for x in np.split(codes, np.cumsum(sizes)[:-1])]
-    return pa.table({"chunk": rows["chunk"], "shard": rows["shard"], "found": pa.array(found, pa.binary())})
-
-
-def _score(bits: int, total: int, kinds: int, mu: float):
+def chunk_trie(g: Grams, total: int, kinds: int, mu: tuple[float, float]) -> Trie:
+    """The trie of a chunk whose counts are those of the whole corpus."""
+    # every word ends nowhere or is a context as often as it occurs
+    p = (g.counts[0] + 1) / (total + kinds + 1)
+    backoff = lambda k, m: np.log10(m / (g.counts[k] + m))
+    kept = np.flatnonzero(g.counts[0])
+    number = np.cumsum(g.counts[0] > 0) - 1
+    words = number
+    trie = Trie(g.names[kept], np.minimum(np.log10(p[kept]), 0), backoff(0, mu[0])[kept])
+    for k in (0, 1):
+        context = g.counts[k][g.parent[k]]
+        # of a longer n-gram, the order below is the n-gram without its first word
+        below = p[g.word[k]] if k == 0 else p[g.shorter]
+        p = (g.counts[k + 1] + mu[k] * below) / (context + mu[k])
+        kept = np.flatnonzero(g.counts[k + 1])
+        more = backoff(1, mu[1])[kept] if k == 0 else None
+        trie.add_level(number[g.parent[k][kept]], words[g.word[k][kept]], np.log10(p[kept]), more)
+        number = np.cumsum(g.counts[k + 1] > 0) - 1
+    return trie
+
+
+def token_scores(g: Grams, trie: Trie, unknown: float) -> np.ndarray:
+    """log10 p of each token of the chunk; 0 at the starts of texts."""
+    found = [trie.words.find(g.names)]
+    for k in (0, 1):
+        found.append(trie.levels[k].child(found[k][g.parent[k]], found[0][g.word[k]]))
+    # a number of -1 (no n-gram ends here) picks the last entry; it is masked below
+    place = [np.where(at >= 0, f[at] if len(f) else -1, -1) for f, at in zip(found, g.at, strict=True)]
+    score = np.where(place[0] >= 0, trie.log_p[np.maximum(place[0], 0)] if len(trie.words) else 0.0, unknown)
+    for k, level in enumerate(trie.levels):
+        values = level.log_p if len(level.successors) else None
+        weights = trie.log_backoff if k == 0 else trie.levels[0].log_backoff
+        context = np.concatenate([[-1], place[k][:-1]])
+        ends = g.at[k + 1] >= 0
+        back = np.where(context >= 0, weights[np.maximum(context, 0)], 0.0) if len(weights.codes) else 0.0
+        lower = score + back
+        seen = values[np.maximum(place[k + 1], 0)] if values is not None else lower
+        score = np.where(ends, np.where(place[k + 1] >= 0, seen, lower), score)
+    score[g.first[:-1]] = 0
+    return score
+
+
+def _score(bits: int, wide: int, total: int, kinds: int, mu: tuple[float, float]):
     def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
         g = Grams(chunk)
-        own = sorted(zip(answers["shard"].to_pylist(), answers["found"], strict=True), key=lambda x: x[0])
-        counts = np.concatenate([sized_unpack(x.as_py()) for s, x in own if s < 1 << bits])
-        codes = np.concatenate([unpack(x.as_py(), "<u2") for s, x in own if s >= 1 << bits])
-        order, *_ = g.dealt(bits)
-        pair = np.empty(len(codes))
-        pair[order] = Trie.decoded(codes)
-        single = np.log10(counts + 1)
-        texts = counts[np.searchsorted(g.words, END)] if len(g.words) else 0
-        context = np.concatenate([[texts], counts])[g.before]
-        p1 = (counts + 1) / (total + kinds + 1)
-        p = (pair[g.pair_at] + mu * p1[g.word_at]) / (context + mu)
-        n = np.diff(g.first)
-        sums = lambda x: np.add.reduceat(x, g.first[:-1])  # noqa: E731  every text has a token
-        base = sums(single[g.word_at]) - n * np.log10(total + kinds + 1)
+        g.counts[0] = values_for(answers, WORDS, bits)
+        for k in (0, 1):
+            own = g.held_elsewhere(k, wide, answers, bits)
+            g.counts[k + 1][own] = values_for(answers, COUNTED[k] << bits, bits)
+        g.find_shorter()
+        n = np.diff(g.first) - 1
+        sums_of = lambda x: np.add.reduceat(x, g.first[:-1])  # noqa: E731  every text has a start
+        starts = g.first[:-1]
+        single, known = np.log10(g.counts[0] + 1)[g.at[0]], (g.counts[0] > 0)[g.at[0]].astype(np.int64)
+        single[starts] = known[starts] = 0
+        score = token_scores(g, chunk_trie(g, total, kinds, mu), -np.log10(total + kinds + 1))
         return pa.table(
             {
                 "doc_id": g.rows["doc_id"],
                 "n_tokens": pa.array(n),
-                "n_known": pa.array(sums((counts > 0)[g.word_at].astype(np.int64))),
-                "base_score": pa.array(base),
-                "score": pa.array(sums(np.log10(np.maximum(p, 1e-300)))),
+                "n_known": pa.array(sums_of(known)),
+                "base_score": pa.array(sums_of(single) - n * np.log10(total + kinds + 1)),
+                "score": pa.array(sums_of(score)),
             }
         )
 
     return run
 
 
-def lm_scores(docs: DataFrame, mu: float = MU) -> DataFrame:
+def lm_scores(docs: DataFrame, mu: tuple[float, float] = (MU_2, MU_3)) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     size = text_bytes(docs)
-    bits = bucket_bits(size // BYTES_A_WORD)
+    grams = size // BYTES_A_WORD
+    bits, wide = bucket_bits(grams), offer_bits(grams)
     docs = docs.select("doc_id", "text", (~is_held_out()).alias("train"))
     total, kinds = vocabulary_size(docs, bits)
     base = docs.withColumn("chunk", chunk_of(chunk_count(size), "doc_id", "text"))
-    asked = base.groupBy("chunk").applyInArrow(lean(_ask(bits)), _REQUEST)
-    answers = asked.groupBy("shard").applyInArrow(lean(_answer), "chunk int, shard int, found binary")
+    offered = base.groupBy("chunk").applyInArrow(lean(_offer(bits, wide)), SCHEMA)
+    known = offered.groupBy("bucket").applyInArrow(lean(_answer(bits)), ANSWER)
+    asked = base.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(lean_pair(_count(bits, wide)), SCHEMA)
+    counted = asked.groupBy("bucket").applyInArrow(lean(_answer(bits)), ANSWER)
     schema = "doc_id long, n_tokens long, n_known long, base_score double, score double"
-    out = base.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(lean_pair(_score(bits, total, kinds, mu)), schema)
+    answers = known.union(counted).groupBy("chunk")
+    out = base.groupBy("chunk").cogroup(answers).applyInArrow(lean_pair(_score(bits, wide, total, kinds, mu)), schema)
     return out.select("doc_id", is_held_out().alias("held_out"), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 

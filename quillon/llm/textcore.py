@@ -20,6 +20,9 @@ import pyarrow.compute as pc
 BLOCK_BYTES = 1 << 20
 WORD_BASE = 0x9E3779B97F4A7C15
 ROLL_BASE = 0xD6E8FEB86659FD93
+#: Bases of a second hash, independent of the first; both together make 128 bits.
+WORD_BASE_2 = 0xA24BAED4963EE407
+ROLL_BASE_2 = 0x9FB21C651E98DF25
 U64 = np.uint64
 MASK64 = (1 << 64) - 1
 
@@ -48,6 +51,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 BYTE_CODE = mix(np.arange(1, 257, dtype=U64) * U64(WORD_BASE)) | U64(1)
+BYTE_CODE_2 = mix(np.arange(1, 257, dtype=U64) * U64(WORD_BASE_2)) | U64(1)
 
 
 class Powers:
@@ -67,7 +71,8 @@ class Powers:
         return self.up, self.down
 
 
-_WORD_POWERS, _ROLL_POWERS = Powers(WORD_BASE), Powers(ROLL_BASE)
+FIRST = Powers(WORD_BASE), Powers(ROLL_BASE), BYTE_CODE, U64(ROLL_BASE)
+SECOND = Powers(WORD_BASE_2), Powers(ROLL_BASE_2), BYTE_CODE_2, U64(ROLL_BASE_2)
 
 
 @dataclass
@@ -153,17 +158,18 @@ def words_of(block: Block, is_word: np.ndarray = PLAIN_WORD) -> Words:
     return Words(starts, ends, np.searchsorted(starts, offs))
 
 
-def slice_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def slice_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, family=FIRST) -> np.ndarray:
     """64-bit hash of each byte slice; equal slices have equal hashes."""
     n = len(data)
-    up, down = _WORD_POWERS.get(n + 1)
+    powers, _, code, salt = family
+    up, down = powers.get(n + 1)
     sums = np.zeros(n + 1, U64)
-    np.cumsum(BYTE_CODE[data] * up[:n], out=sums[1:])
+    np.cumsum(code[data] * up[:n], out=sums[1:])
     h = (sums[ends] - sums[starts]) * down[starts]
-    return mix(h + (ends - starts).astype(U64) * U64(ROLL_BASE))
+    return mix(h + (ends - starts).astype(U64) * salt)
 
 
-def window_hashes(tokens: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+def window_hashes(tokens: np.ndarray, first: np.ndarray, width: int, family=FIRST) -> tuple[np.ndarray, np.ndarray]:
     """Rolling hash of every ``width``-token window that stays in one document.
 
     Returns the start tokens and the hashes.
@@ -171,7 +177,7 @@ def window_hashes(tokens: np.ndarray, first: np.ndarray, width: int) -> tuple[np
     n = len(tokens)
     if n < width:
         return np.zeros(0, np.int64), np.zeros(0, U64)
-    up, down = _ROLL_POWERS.get(n + 1)
+    up, down = family[1].get(n + 1)
     sums = np.zeros(n + 1, U64)
     np.cumsum(tokens * up[:n], out=sums[1:])
     h = (sums[width:] - sums[:-width]) * down[: n - width + 1]

@@ -1,24 +1,47 @@
-"""Elias-Fano n-gram trie: compact levels in anonymous memory maps."""
+"""Elias-Fano n-gram trie: compact levels in memory-mapped scratch files.
+
+Every level is searched in its coded form: select on the unary high bits finds
+the run of values that share the sought one's high bits, and a binary search over
+the packed low bits of that run finds the successor.
+"""
 
 from __future__ import annotations
 
 import mmap
+import os
+import tempfile
 
 import numpy as np
 
 from .textcore import U64
 
 
-def _mapped(data: bytes) -> mmap.mmap | None:
-    if not data:
-        return None
-    m = mmap.mmap(-1, len(data))
-    m.write(data)
-    return m
-
+def _mapped(values: np.ndarray) -> np.ndarray:
+    """``values`` in a memory-mapped file.
 
-def _view(m: mmap.mmap | None) -> np.ndarray:
-    return np.frombuffer(m, np.uint8) if m is not None else np.zeros(0, np.uint8)
+    The file is scratch of the task in Spark's own local folder, like a spill
+    file: it has no name, nobody else reads it, and it goes with the array.
+    """
+    if not len(values):
+        return values
+    folder = os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0]
+    with tempfile.TemporaryFile(dir=folder if os.path.isdir(folder) else None) as f:
+        f.write(np.ascontiguousarray(values).data)
+        f.flush()
+        return np.frombuffer(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ), values.dtype)
+
+
+def _nth_bit(words: np.ndarray, nth: np.ndarray) -> np.ndarray:
+    """Place of the nth set bit (from 0) of each word."""
+    place = np.zeros(len(words), np.int64)
+    left = nth.copy()
+    for width in (32, 16, 8, 4, 2, 1):
+        below = np.bitwise_count(words & U64((1 << width) - 1)).astype(np.int64)
+        skip = left >= below
+        left -= below * skip
+        words = np.where(skip, words >> U64(width), words)
+        place += width * skip
+    return place
 
 
 class EliasFano:
@@ -27,72 +50,135 @@ class EliasFano:
     def __init__(self, values: np.ndarray):
         values = values.astype(U64, copy=False)
         self.n = len(values)
-        top = int(values[-1]) + 1 if self.n else 1
-        self.low_bits = max(0, (top // max(self.n, 1)).bit_length() - 1)
-        low = values & U64((1 << self.low_bits) - 1)
-        bits = np.unpackbits(low.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, count=self.low_bits, bitorder="little") if self.low_bits else np.zeros(0, np.uint8)
-        self.low = _mapped(np.packbits(bits.ravel(), bitorder="little").tobytes())
+        top = int(values[-1]) if self.n else 0
+        self.low_bits = max(0, ((top + 1) // max(self.n, 1)).bit_length() - 1)
+        self.last = top >> self.low_bits
         place = (values >> U64(self.low_bits)).astype(np.int64) + np.arange(self.n)
-        high = np.zeros(int(place[-1]) + 1 if self.n else 0, np.uint8)
-        high[place] = 1
-        self.high = _mapped(np.packbits(high, bitorder="little").tobytes())
-
-    def values(self) -> np.ndarray:
-        """The sequence, decoded in one sweep over both parts."""
-        place = np.flatnonzero(np.unpackbits(_view(self.high), bitorder="little"))
-        high = (place - np.arange(self.n)).astype(U64) << U64(self.low_bits)
+        # a zero ends the last run, too
+        bits = np.zeros((self.last + self.n + 2 + 63) // 64 * 64, np.uint8)
+        bits[place] = 1
+        words = np.packbits(bits, bitorder="little").view("<u8")
+        ones = np.concatenate([[0], np.cumsum(np.bitwise_count(words).astype(np.int64))])
+        self.high = _mapped(words)
+        self.ones, self.zeros = _mapped(ones), _mapped(64 * np.arange(len(ones)) - ones)
+        self.low = _mapped(self._packed(values & U64((1 << self.low_bits) - 1)))
+
+    def _packed(self, low: np.ndarray) -> np.ndarray:
+        at = np.arange(self.n, dtype=np.int64) * self.low_bits
+        out = np.zeros((self.n * self.low_bits >> 6) + 2, U64)
+        if self.n and self.low_bits:
+            word, shift = at >> 6, (at & 63).astype(U64)
+            new = np.flatnonzero(np.diff(word, prepend=-1))
+            out[word[new]] = np.bitwise_or.reduceat(low << shift, new)
+            over = np.flatnonzero((at & 63) + self.low_bits > 64)
+            out[word[over] + 1] |= low[over] >> (U64(64) - shift[over])
+        return out
+
+    def _select(self, nth: np.ndarray, ones: bool) -> np.ndarray:
+        before = self.ones if ones else self.zeros
+        word = np.searchsorted(before, nth, side="right") - 1
+        bits = self.high[word]
+        return 64 * word + _nth_bit(bits if ones else ~bits, nth - before[word])
+
+    def _low(self, at: np.ndarray) -> np.ndarray:
         if not self.low_bits:
-            return high
-        bits = np.unpackbits(_view(self.low), count=self.n * self.low_bits, bitorder="little").reshape(self.n, self.low_bits)
-        wide = np.zeros((self.n, 8), np.uint8)
-        packed = np.packbits(bits, axis=1, bitorder="little")
-        wide[:, : packed.shape[1]] = packed
-        return high | wide.view("<u8").ravel()
+            return np.zeros(len(at), U64)
+        bit = at * self.low_bits
+        word, shift = bit >> 6, (bit & 63).astype(U64)
+        part = self.low[word] >> shift
+        over = (bit & 63) + self.low_bits > 64
+        part = np.where(over, part | (self.low[word + 1] << ((U64(64) - shift) & U64(63))), part)
+        return part & U64((1 << self.low_bits) - 1)
+
+    def at(self, index: np.ndarray) -> np.ndarray:
+        """Values at these places."""
+        index = np.asarray(index, np.int64)
+        return ((self._select(index, True) - index).astype(U64) << U64(self.low_bits)) | self._low(index)
+
+    def find(self, sought: np.ndarray, floor: np.ndarray | int = 0) -> np.ndarray:
+        """Place of the least value from ``floor`` on that is not below the
+        sought one, if it equals it; else -1."""
+        out = np.full(len(sought), -1)
+        run = (sought >> U64(self.low_bits)).astype(np.int64)
+        ok = np.flatnonzero((sought >> U64(self.low_bits) <= U64(self.last)) & (self.n > 0))
+        run, low = run[ok], sought[ok] & U64((1 << self.low_bits) - 1)
+        end = self._select(run, False) - run
+        begin = np.where(run > 0, self._select(np.maximum(run - 1, 0), False) - run + 1, 0)
+        begin = np.maximum(begin, np.broadcast_to(floor, out.shape)[ok])
+        left, right = begin, end
+        open_ = np.flatnonzero(left < right)
+        left, right = left.copy(), right.copy()
+        while len(open_):
+            middle = (left[open_] + right[open_]) >> 1
+            less = self._low(middle) < low[open_]
+            left[open_] = np.where(less, middle + 1, left[open_])
+            right[open_] = np.where(less, right[open_], middle)
+            open_ = open_[left[open_] < right[open_]]
+        there = np.flatnonzero(left < end)
+        there = there[self._low(left[there]) == low[there]]
+        out[ok[there]] = left[there]
+        return out
 
     def __len__(self) -> int:
         return self.n
 
 
-class Trie:
-    """Contexts, pointers into their successors, and a quantised value of each.
-
-    Successors are stored relative to their context: the second level is the
-    sequence ``rank of the context * 2**32 + successor``, which only grows.
-    """
+class Codes:
+    """Logarithms of probabilities (at most 0), quantised to 16 bits."""
 
     SCALE = 4000.0
 
-    def __init__(self, contexts: np.ndarray, successors: np.ndarray, log_values: np.ndarray):
-        """Sorted by (context, successor), without repeats; successors < 2**32."""
-        own, first = np.unique(contexts, return_index=True)
-        self.contexts = EliasFano(own)
-        self.pointers = EliasFano(np.append(first, len(contexts)).astype(U64))
-        rank = np.repeat(np.arange(len(own)), np.diff(np.append(first, len(contexts)))).astype(U64)
-        self.successors = EliasFano((rank << U64(32)) | successors.astype(U64))
-        self.codes = _mapped(np.clip(np.rint(log_values * self.SCALE) + 1, 1, 65535).astype("<u2").tobytes())
-
-    def codes_of(self, contexts: np.ndarray, successors: np.ndarray) -> np.ndarray:
-        """Quantised code of each (context, successor), 0 where it is absent.
-
-        The context is found in its level, its pointers bound its successors,
-        and the least successor not below the sought one is taken from there.
-        """
-        out = np.zeros(len(contexts), np.uint16)
-        if not len(self.successors):
+    def __init__(self, log_values: np.ndarray):
+        self.codes = _mapped(np.clip(np.rint(-log_values * self.SCALE), 0, 65535).astype("<u2"))
+
+    def __getitem__(self, index: np.ndarray) -> np.ndarray:
+        return self.codes[index] / -self.SCALE
+
+
+class Level:
+    """Successors of the entries of the level above, and a value of each.
+
+    A successor is stored as its rank plus the last value stored for the
+    contexts before, so the sequence never falls; pointers bound each context.
+    """
+
+    def __init__(self, parents: int, parent: np.ndarray, word: np.ndarray, log_p: np.ndarray, log_backoff: np.ndarray | None):
+        """Sorted by (parent, word), without repeats."""
+        first = np.searchsorted(parent, np.arange(parents + 1))
+        self.pointers = EliasFano(first)
+        own = np.flatnonzero(np.diff(first))
+        last = np.zeros(parents + 1, np.int64)
+        last[own + 1] = word[first[own + 1] - 1]
+        base = np.cumsum(last)
+        self.successors = EliasFano(word + base[parent])
+        self.log_p = Codes(log_p)
+        self.log_backoff = Codes(log_backoff) if log_backoff is not None else None
+
+    def child(self, parent: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Place of each (parent, word), or -1; a parent or word of -1 has none."""
+        out = np.full(len(parent), -1)
+        ok = np.flatnonzero((parent >= 0) & (word >= 0))
+        if not len(self.successors) or not len(ok):
             return out
-        known = self.contexts.values()
-        rank = np.minimum(np.searchsorted(known, contexts), len(known) - 1)
-        hit = np.flatnonzero(known[rank] == contexts)
-        rank = rank[hit].astype(U64)
-        end = self.pointers.values()[rank + U64(1)].astype(np.int64)
-        sought = (rank << U64(32)) | successors[hit].astype(U64)
-        level = self.successors.values()
-        at = np.searchsorted(level, sought)
-        there = np.flatnonzero((at < end) & (level[np.minimum(at, len(level) - 1)] == sought))
-        out[hit[there]] = np.frombuffer(self.codes, "<u2")[at[there]]
+        low, high = (self.pointers.at(parent[ok] + k).astype(np.int64) for k in (0, 1))
+        some = low < high
+        ok, low, high = ok[some], low[some], high[some]
+        base = np.where(low > 0, self.successors.at(np.maximum(low - 1, 0)), U64(0))
+        found = self.successors.find(base + word[ok].astype(U64), low)
+        inside = (found >= 0) & (found < high)
+        out[ok[inside]] = found[inside]
         return out
 
-    @classmethod
-    def decoded(cls, codes: np.ndarray) -> np.ndarray:
-        """Values of codes; an absent one (0) gives 0."""
-        return np.where(codes > 0, 10.0 ** ((codes.astype(float) - 1) / cls.SCALE), 0.0)
+
+class Trie:
+    """Words, bigrams and trigrams; p of each and the back-off of contexts."""
+
+    def __init__(self, names: np.ndarray, log_p: np.ndarray, log_backoff: np.ndarray):
+        """Names: sorted 64-bit hashes of the words."""
+        self.words = EliasFano(names)
+        self.log_p, self.log_backoff = Codes(log_p), Codes(log_backoff)
+        self.levels: list[Level] = []
+
+    def add_level(self, parent: np.ndarray, word: np.ndarray, log_p: np.ndarray, log_backoff: np.ndarray | None = None) -> None:
+        above = len(self.levels[-1].successors) if self.levels else len(self.words)
+        self.levels.append(Level(above, parent, word, log_p, log_backoff))

@@ -96,19 +96,27 @@ def component_roots(prints, bits=4):
 def language_model(docs, mu):
     tokens = lambda t: [*WORD.findall((t or "").translate(LOWER)), None]
     held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 7 == 2
-    one, two = Counter(), Counter()
+    one, grams = Counter(), Counter()
     for d, t in docs:
         if not held(d):
-            w = tokens(t)
-            one.update(w)
-            two.update(zip(["<s>", *w[:-1]], w, strict=True))
+            w = ["<s>", *tokens(t)]
+            one.update(w[1:])
+            grams[("<s>",)] += 1
+            grams.update((x,) for x in w[1:])
+            grams.update(zip(w, w[1:], strict=False))
+            grams.update(zip(w, w[1:], w[2:], strict=False))
     total, kinds = sum(one.values()), len(one)
     out = []
     for d, t in docs:
-        w = tokens(t)
-        p1 = [(one[x] + 1) / (total + kinds + 1) for x in w]
-        score = sum(math.log10((two[v, x] + mu * p) / (one[None if v == "<s>" else v] + mu)) for v, x, p in zip(["<s>", *w[:-1]], w, p1, strict=True))
-        out.append((d, held(d), len(w), sum(one[x] > 0 for x in w), total, sum(map(math.log10, p1)), score))
+        w = ["<s>", *tokens(t)]
+        p1 = [(one[x] + 1) / (total + kinds + 1) for x in w[1:]]
+        score = 0.0
+        for i, p in enumerate(p1, 1):
+            p = (grams[w[i - 1], w[i]] + mu[0] * p) / (grams[w[i - 1],] + mu[0])
+            if i > 1:
+                p = (grams[tuple(w[i - 2 : i + 1])] + mu[1] * p) / (grams[w[i - 2], w[i - 1]] + mu[1])
+            score += math.log10(p)
+        out.append((d, held(d), len(p1), sum(one[x] > 0 for x in w[1:]), total, sum(map(math.log10, p1)), score))
     return sorted(out, key=NULLS_LAST)
 
 

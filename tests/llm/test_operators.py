@@ -58,17 +58,46 @@ def test_exchange_round_trip():
     assert (k == keys).all() and (v == values).all() and origin.max() == 15
 
 
+def test_offers_tell_what_others_hold():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(0)
+    for n, bits, width in ((20_000, 4, 64), (300, 8, 40), (0, 4, 40)):
+        chunks = [np.unique(rng.integers(0, 1 << min(width, 62), n, dtype=np.uint64)) for _ in range(3)]
+        chunks[1] = np.unique(np.concatenate([chunks[1], chunks[0][:50]]))
+        marks = [np.arange(len(c)) % 97 == 5 for c in chunks]
+        sent = pa.concat_tables([exchange.offer(i, c, m, bits, width, base=7 << bits) for i, (c, m) in enumerate(zip(chunks, marks, strict=True))])
+        got = [exchange.shared(sent.filter(pa.compute.equal(sent["bucket"], b))) for b in set(sent["bucket"].to_pylist())]
+        if not got:
+            continue
+        answers = pa.concat_tables(got)
+        for i, c in enumerate(chunks):
+            others = np.concatenate([x for k, x in enumerate(chunks) if k != i])
+            marked = np.concatenate([x[m] for x, m in zip(chunks, marks, strict=True)])
+            flags = exchange.flags_for(c, width, answers.filter(pa.compute.equal(answers["chunk"], i)), 7 << bits, bits)
+            assert (flags == (np.isin(c, others) | np.isin(c, marked))).all()
+
+
 def test_elias_fano_and_trie():
     rng = np.random.default_rng(1)
-    for top in (1, 50, 1 << 40):
-        x = np.sort(rng.integers(0, top, 300)).astype(U64)
-        assert (trie.EliasFano(x).values() == x).all()
-    ctx, suc = rng.integers(0, 50, 4000).astype(U64), rng.integers(0, 1 << 32, 4000).astype(U64)
-    own = np.unique((ctx << U64(32)) | suc)
-    t = trie.Trie(own >> U64(32), own & U64(0xFFFFFFFF), np.log10(np.arange(len(own)) % 90 + 1))
-    codes = t.codes_of(np.append(own >> U64(32), U64(99)), np.append(own & U64(0xFFFFFFFF), U64(1)))
-    assert codes[-1] == 0
-    assert np.allclose(trie.Trie.decoded(codes[:-1]), np.arange(len(own)) % 90 + 1, rtol=1e-3)
+    for top in (1, 50, 1 << 40, 1 << 63):
+        x = np.sort(rng.integers(0, top, 300, dtype=np.uint64))
+        coded = trie.EliasFano(x)
+        assert (coded.at(np.arange(300)) == x).all()
+        sought = np.concatenate([x, x + U64(1), np.zeros(1, U64), np.full(1, U64(2**64 - 1))])
+        found = coded.find(sought)
+        first = np.searchsorted(x, sought)
+        want = np.where((first < 300) & (x[np.minimum(first, 299)] == sought), first, -1)
+        assert (found == want).all()
+    assert (trie.EliasFano(np.zeros(0, U64)).find(np.arange(3, dtype=np.uint64)) == -1).all()
+    key = np.unique(rng.integers(0, 60 * 500, 4000))
+    level = trie.Level(60, key // 500, key % 500, -(np.arange(len(key)) % 90) / 10.0, None)
+    parent, word = np.divmod(np.arange(60 * 500), 500)
+    want = np.full(60 * 500, -1)
+    want[key] = np.arange(len(key))
+    assert (level.child(parent, word) == want).all()
+    assert (level.child(np.array([-1, 3]), np.array([3, -1])) == -1).all()
+    assert np.allclose(level.log_p[np.arange(len(key))], -(np.arange(len(key)) % 90) / 10.0, atol=2e-4)
 
 
 def test_secrets(spark, docs):
@@ -222,7 +251,7 @@ def test_components(spark):
 
 def test_language_model(spark, docs):
     got = rows_of(langmodel.lm_scores(frame(spark, docs)))
-    want = brute.language_model(docs, langmodel.MU)
+    want = brute.language_model(docs, (langmodel.MU_2, langmodel.MU_3))
     assert [g[:5] for g in got] == [w[:5] for w in want]
     for g, w in zip(got, want, strict=True):
         assert g[5] == pytest.approx(w[5], rel=1e-9) and abs(g[6] - w[6]) < 2e-3 * w[2]
