@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,15 +64,17 @@ def small_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if total <= limit else df
 
 
-def shielded(docs: DataFrame, used: tuple[str, ...], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def shielded(docs: DataFrame, used: tuple[str, ...], work: Callable[[DataFrame], DataFrame], added: tuple[str, ...] = ()) -> DataFrame:
     """``work`` on ``docs`` whose further columns bear neutral names meanwhile.
 
-    Columns that the work adds can then clash with none; those it drops stay
-    away, and the columns of ``docs`` keep their order and names.
+    Columns that the work makes can then clash with none; those in ``added`` are
+    kept after the columns of ``docs``, which keep their order and names.  An
+    added name that ``docs`` has already gets an underscore.
     """
     plain = {c: c if c in used else f"_further_{i}" for i, c in enumerate(docs.columns)}
     out = work(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in plain.items()]))
-    return out.select(*[F.col(n).alias(c) for c, n in plain.items() if n in out.columns])
+    own = [F.col(n).alias(c) for c, n in plain.items()]
+    return out.select(*own, *[F.col(c).alias(c if c not in plain else f"{c}_") for c in added])
 
 
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
@@ -82,8 +85,52 @@ def chunk_count(total_bytes: int, chunk_bytes: int = CHUNK_BYTES) -> int:
     return max(MIN_CHUNKS, -(-total_bytes // chunk_bytes))
 
 
-def chunk_of(n: int, *columns: str) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int")
+def dealt(docs: DataFrame, text: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """(chunk, rows): runs of rows with about ``chunk_bytes`` of text, packed.
+
+    Chunks are cut as the rows come, so none depends on a value that many rows
+    share, and a third of equal rows spread like all others; a longer text is a
+    chunk of its own.  A chunk's number is its partition's and its own there.
+    What is asked of a chunk must fit what it is told later: rows have to come in
+    the same order when they are read again (a table or a checkpoint does so).
+    """
+
+    def deal(batches):
+        held, size, number = [], 0, 0
+        part = TaskContext.get().partitionId()
+
+        def packed():
+            sink = pa.BufferOutputStream()
+            options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=1))
+            with pa.ipc.new_stream(sink, held[0].schema, options=options) as out:
+                for x in held:
+                    out.write_batch(x)
+            chunk = pa.array([(part << 32) | number], pa.int64())
+            return pa.RecordBatch.from_pydict({"chunk": chunk, "rows": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
+
+        for batch in batches:
+            lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0).to_numpy()
+            start = 0
+            while start < batch.num_rows:
+                total = size + np.cumsum(lengths[start:])
+                n = max(int(np.searchsorted(total, chunk_bytes, side="right")), 0 if held else 1)
+                if n:
+                    held.append(batch.slice(start, n))
+                    size = int(total[n - 1])
+                    start += n
+                if start < batch.num_rows:
+                    yield packed()
+                    held, size, number = [], 0, number + 1
+        if held:
+            yield packed()
+
+    return docs.mapInArrow(deal, "chunk long, rows binary")
+
+
+def unpacked(chunk: pa.Table) -> pa.Table:
+    """The rows of a packed chunk."""
+    with pa.ipc.open_stream(pa.py_buffer(chunk["rows"][0].as_py())) as stream:
+        return stream.read_all()
 
 
 def table(fields: dict[str, object], schema: pa.Schema) -> pa.Table:

@@ -28,8 +28,8 @@ MIN_BUCKETS = 64
 DENSE = 16
 #: Bits of an offered key beyond those that number all keys: one in 2**6 is sent in vain.
 SPARE_BITS = 6
-SCHEMA = "bucket int, chunk int, first long, gaps binary, data binary, more binary"
-ANSWER = "chunk int, bucket int, found binary"
+SCHEMA = "bucket int, chunk long, first long, gaps binary, data binary, more binary"
+ANSWER = "chunk long, bucket int, found binary"
 _RECORD = np.dtype([("key", "<u8"), ("value", "<i8")])
 
 
@@ -74,7 +74,7 @@ def send(chunk: int, keys: np.ndarray, values: np.ndarray, bits: int, width: int
     return pa.table(
         {
             "bucket": pa.array(bucket[starts] + np.int32(base), pa.int32()),
-            "chunk": pa.array(np.full(len(starts), chunk), pa.int32()),
+            "chunk": pa.array(np.full(len(starts), chunk), pa.int64()),
             "first": pa.array(keys[starts].view(np.int64)),
             "gaps": gaps,
             "data": data,

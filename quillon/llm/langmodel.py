@@ -9,7 +9,7 @@ below:
     p(w | v) = (c(vw) + MU_2 p(w)) / (c(v) + MU_2)
     p(w | uv) = (c(uvw) + MU_3 p(w | v)) / (c(uv) + MU_3)
 
-Documents are dealt into bounded chunks.  A chunk learns the counts of its words
+Documents are dealt into bounded chunks as they come.  A chunk learns the counts of its words
 and of those bigrams and trigrams that other chunks may hold (see ``exchange``);
 of the others its own counts are all there are.  N-grams are dealt by a hash of
 the whole n-gram, so a common word or pair is no hot key.  The chunk then builds
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .clusterio import chunk_count, chunk_of, lean, lean_pair, read, text_bytes
+from .clusterio import dealt, lean, lean_pair, read, text_bytes, unpacked
 from .exchange import ANSWER, SCHEMA, bucket_bits, flags_for, offer, offer_bits, received, send, shared, sums, values_for
 from .textcore import LOWER, U64, Block, blocks, mix, slice_hashes, words_of
 from .trie import Trie
@@ -107,7 +107,7 @@ class Grams:
     """Distinct words, bigrams and trigrams of a chunk, each in trie order."""
 
     def __init__(self, chunk: pa.Table):
-        self.rows = chunk.combine_chunks()
+        self.rows = unpacked(chunk).combine_chunks()
         train = self.rows["train"].to_numpy(zero_copy_only=False)
         parts, sizes = [], []
         for b in blocks(self.rows["text"]):
@@ -146,15 +146,17 @@ class Grams:
     def _counted(at: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
         return np.bincount(at, weights=weight, minlength=n).astype(np.int64)
 
-    def offered(self, k: int, wide: int) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct cut hashes of an order and the place of each n-gram among them."""
-        return np.unique(self.hash[k] >> U64(64 - wide), return_inverse=True)
+    def offered(self, k: int, wide: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """N-grams of an order by their hash, the distinct cut hashes, and which begin one."""
+        order = np.argsort(self.hash[k])
+        keys = self.hash[k][order] >> U64(64 - wide)
+        new = np.diff(keys, prepend=~keys[:1]) != 0
+        return order, keys[new], new
 
     def held_elsewhere(self, k: int, wide: int, answers: pa.Table, bits: int) -> np.ndarray:
         """N-grams of an order that other chunks may hold, by their hash."""
-        keys, at = self.offered(k, wide)
-        own = np.flatnonzero(flags_for(keys, wide, answers, OFFERED[k] << bits, bits)[at])
-        return own[np.argsort(self.hash[k][own], kind="stable")]
+        order, keys, new = self.offered(k, wide)
+        return order[flags_for(keys, wide, answers, OFFERED[k] << bits, bits)[np.cumsum(new) - 1]]
 
 
 def _offer(bits: int, wide: int):
@@ -162,7 +164,7 @@ def _offer(bits: int, wide: int):
         g, number = Grams(chunk), chunk["chunk"][0].as_py()
         out = [send(number, g.names, g.counts[0], bits)]
         for k in (0, 1):
-            keys, _ = g.offered(k, wide)
+            _, keys, _ = g.offered(k, wide)
             out.append(offer(number, keys, np.zeros(len(keys)), bits, wide, base=OFFERED[k] << bits))
         return pa.concat_tables(out)
 
@@ -266,7 +268,7 @@ def lm_scores(docs: DataFrame, mu: tuple[float, float] = (MU_2, MU_3)) -> DataFr
     bits, wide = bucket_bits(grams), offer_bits(grams)
     docs = docs.select("doc_id", "text", (~is_held_out()).alias("train"))
     total, kinds = vocabulary_size(docs, bits)
-    base = docs.withColumn("chunk", chunk_of(chunk_count(size), "doc_id", "text"))
+    base = dealt(docs)
     offered = base.groupBy("chunk").applyInArrow(lean(_offer(bits, wide)), SCHEMA)
     known = offered.groupBy("bucket").applyInArrow(lean(_answer(bits)), ANSWER)
     asked = base.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(lean_pair(_count(bits, wide)), SCHEMA)

@@ -31,7 +31,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 
-from .clusterio import chunk_count, chunk_of, lean, lean_pair, read, text_bytes
+from .clusterio import dealt, lean, lean_pair, read, text_bytes, unpacked
 from .exchange import ANSWER, SCHEMA, answered, bits_of, bucket_bits, flags_for, offer, offer_bits, received, send, shared
 from .textcore import SECOND, U64, blocks, covered, slice_hashes, window_hashes, words_of
 
@@ -43,7 +43,7 @@ class Windows:
     """Windows of a chunk: documents by doc_id, nulls aside."""
 
     def __init__(self, chunk: pa.Table, width: int, both: bool):
-        self.rows = chunk.sort_by([("doc_id", "ascending")]).combine_chunks()
+        self.rows = unpacked(chunk).sort_by([("doc_id", "ascending")]).combine_chunks()
         ids = self.rows["doc_id"]
         self.known = len(ids) - ids.null_count  # nulls sort last
         self.ids = ids.slice(0, self.known).to_numpy()
@@ -185,7 +185,7 @@ def substring_dedup(docs: DataFrame, width: int = WINDOW, texts: bool = False) -
     size = text_bytes(docs)
     windows = size // BYTES_A_WORD
     bits, wide = bucket_bits(windows), offer_bits(windows)
-    base = docs.select("doc_id", "text").withColumn("chunk", chunk_of(chunk_count(size), "doc_id", "text"))
+    base = dealt(docs.select("doc_id", "text"))
     offered = base.groupBy("chunk").applyInArrow(lean(_offer(width, bits, wide)), SCHEMA)
     held = offered.groupBy("bucket").applyInArrow(lean(shared), ANSWER)
     claimed = base.groupBy("chunk").cogroup(held.groupBy("chunk")).applyInArrow(lean_pair(_claim(width, bits, wide)), SCHEMA)
