@@ -12,8 +12,9 @@ makes no pairs.  DataFrame and SQL functions only.
 Cases: a null text is an empty one; positions are code points, ends exclusive;
 matches of one kind don't overlap, kinds may; a weak candidate that overlaps a
 strong span of the same part is dropped; rows that repeat a document get equal results; rows of a
-null doc_id are scanned as well; an empty table gives no rows; further columns
-are ignored.
+null doc_id are scanned as well; a very long text is one row, whose matches are
+summed up run by run; no result depends on ties; an empty table gives no rows;
+further columns are ignored.
 """
 
 from __future__ import annotations
@@ -44,7 +45,16 @@ BARE = ("access", "hex")
 NEEDS = {"weak_secret": ("id", "endpoint"), "weak_id": ("secret",), "endpoint": ("secret",)}
 _SPAN = "struct<start:int,kind:int,end:int>"
 #: A cheap test whether a kind can occur at all.
-_HINT = {"access": "AKIA", "hex": r"[0-9a-f]{16}", "endpoint": "://"}
+_HINT = {
+    "assign": r"""[:=]\x20*["']?[A-Za-z0-9+/_.=-]{12}""",
+    "access": "AKIA",
+    "hex": r"[0-9a-f]{16}",
+    "weak_secret": r"""[:=]\x20*["']?[A-Za-z0-9+/_.=-]{6}""",
+    "weak_id": r"""[:=]\x20*["']?[A-Za-z0-9@+_.-]{3}""",
+    "endpoint": "://",
+}
+#: Matches that are summed up at once.
+RUN = 64
 
 
 def spans(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
@@ -65,9 +75,16 @@ def spans(text: Column, kind: str, pattern: str, group: int, least: int) -> Colu
         own = F.array(F.struct(start.alias("start"), F.lit(number).alias("kind"), end.alias("end")))
         return F.struct(end.alias("at"), F.when(x["g"] >= least, F.concat(acc["found"], own)).otherwise(acc["found"]).alias("found"))
 
+    def run(acc, first):
+        inner = F.aggregate(F.slice(parts, first, RUN), F.struct(acc["at"].alias("at"), empty.alias("found")), step)
+        return F.struct(inner["at"].alias("at"), F.concat(acc["runs"], F.array(inner["found"])).alias("runs"))
+
+    # positions are running sums; run by run, so that a text of many matches copies no long array at each
     empty = F.array().cast(f"array<{_SPAN}>")
-    found = F.aggregate(parts, F.struct(F.lit(0).alias("at"), empty.alias("found")), step, lambda acc: acc["found"])
-    return F.when(F.rlike(text, F.lit(_HINT.get(kind, pattern))), found).otherwise(empty)
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{_SPAN}>>").alias("runs"))
+    found = F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(parts), F.lit(1)), F.lit(RUN)), begin, run, lambda acc: F.flatten(acc["runs"]))
+    hit = F.rlike(text, F.lit(_HINT[kind])) & F.rlike(text, F.lit(pattern))
+    return F.when(hit, found).otherwise(empty)
 
 
 def _part(kind: Column) -> Column:
