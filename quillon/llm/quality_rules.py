@@ -12,8 +12,10 @@ Cases: a null or empty text has no words and fails the base rules; a text
 shorter than an n-gram scores 0; without any labelled document the target equals
 the raw corpus and every score is 0, so only the base rules decide; a doc_id
 labelled twice is trusted once if any of its rows says 1; null ids are never
-trusted; repeated rows get equal results; an empty table gives no rows; further
-columns are carried by ``filter_quality`` by name and otherwise ignored.
+trusted; repeated rows get equal results; a very long text is judged whole, in
+memory in proportion to its length; no result depends on ties; an empty table
+gives no rows; ``filter_quality`` carries further columns unchanged, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .clusterio import read, small_side, summed_vectors
+from .clusterio import read, shielded, small_side, summed_vectors
 from .textcore import PLAIN_WORD, U64, Block, blocks, covered, mix, per_doc_sum, slice_hashes, window_hashes, words_of
 
 NGRAM = 4
@@ -171,9 +173,8 @@ def judged(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
 
 
 def filter_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the rules keep, unchanged."""
-    base = docs.select("doc_id", "text", "lang", "source", "n_chars")
-    return judged(base, labels).filter("kept").select(*base.columns)
+    """The documents that the rules keep, unchanged, with all their columns."""
+    return shielded(docs, ("doc_id", "text"), lambda plain: judged(plain, labels).filter("kept"))
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
