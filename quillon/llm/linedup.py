@@ -16,13 +16,19 @@ pair counts only at the first of several tokens that it shares in a row.
 Round two sends the whole token sets of those lines only, and verifies.  Equal
 sets are joined apart, by their hash; sets of fewer than ``JOINED`` words have no
 other partners.  Nothing but a line's own verdict leaves a
-shard, so a group of many similar lines makes no pairs.  Tokens are compared by
-47-bit hashes.
+shard, so a group of many similar lines makes no pairs.
 
-Cases: a null text has no lines; lines of fewer different words always stay, as
+Sets are verified on 64-bit hashes of their words, equal sets by 96 bits: two
+different lines of 25 words would have to meet in a word's hash (probability
+about 3e-17 a pair), or in 96 bits.  The rank order needs 47 bits only; words that
+fall together there are ordered by the rest.
+
+Cases: a null text has no lines; a very long text or line takes memory in
+proportion to its length; lines of fewer different words always stay, as
 do rows of a null doc_id; of rows that repeat a doc_id the second counts as the
 later one; a document may lose all its lines and then has an empty text; an
-empty table gives no rows; further columns are ignored or carried by name.
+empty table gives no rows; ``dedup_documents`` carries further columns unchanged,
+the query ignores them.
 """
 
 from __future__ import annotations
@@ -35,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .clusterio import chunk_count, lean, lean_pair, read, summed_vectors, text_bytes
+from .clusterio import chunk_count, lean, lean_pair, read, shielded, summed_vectors, text_bytes
 from .exchange import bucket_bits, pack48, received, send, sized_pack, sized_unpack, unpack48
 from .textcore import U64, blocks, mix, slice_hashes, words_of
 
@@ -88,7 +94,7 @@ class Lines:
 
     def __init__(self, rows: pa.Table, ranks: np.ndarray, least: int):
         known = len(rows) - rows["doc_id"].null_count
-        sets, sizes, docs, numbers = [], [], [], []
+        sets, words, sizes, docs, numbers = [], [], [], [], []
         for b in blocks(rows["text"]):
             w = words_of(b)
             if not len(w.starts):
@@ -103,8 +109,16 @@ class Lines:
                 s, e = np.searchsorted(line, [low, low + (1 << (64 - ID_BITS))])
                 if s == e:
                     continue
-                key = np.sort(((line[s:e] - low).astype(U64) << U64(ID_BITS)) | ids[s:e])
-                key = key[np.concatenate([[True], key[1:] != key[:-1]])]
+                key = ((line[s:e] - low).astype(U64) << U64(ID_BITS)) | ids[s:e]
+                order = np.argsort(key)
+                key, word = key[order], h[s:e][order]
+                same = key[1:] == key[:-1]
+                if (word[1:][same] != word[:-1][same]).any():  # two words of one rank and 29 equal bits
+                    order = np.lexsort((word, key))
+                    key, word = key[order], word[order]
+                    same = key[1:] == key[:-1]
+                new = np.concatenate([[True], ~same | (word[1:] != word[:-1])])
+                key, word = key[new], word[new]
                 own = (key >> U64(ID_BITS)).astype(np.int64)
                 at = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
                 n = np.diff(np.append(at, len(own)))
@@ -112,22 +126,29 @@ class Lines:
                 doc = np.searchsorted(first_line, number, side="right") - 1
                 keep = (n >= least) & (doc + b.first_row < known)
                 sets.append((key & U64((1 << ID_BITS) - 1))[np.repeat(keep, n)])
+                words.append(word[np.repeat(keep, n)])
                 sizes.append(n[keep])
                 docs.append(doc[keep] + b.first_row)
                 numbers.append((number - first_line[doc])[keep])
         join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
-        flat, n = join(sets, U64), join(sizes, np.int64)
+        flat, word, n = join(sets, U64), join(words, U64), join(sizes, np.int64)
         self.doc, self.number = join(docs, np.int64), join(numbers, np.int64)
         first = np.concatenate([[0], np.cumsum(n)])
-        total = np.concatenate([np.zeros(1, U64), np.cumsum(mix(flat + U64(1)), dtype=U64)])
-        sign = mix(total[first[1:]] - total[first[:-1]] + n.astype(U64))
+        sign, check = (self._of_sets(mix(word ^ U64(salt)), first, n) for salt in (1, 0x5851F42D4C957F2D))
         # lines come in order, so the first of equal sets is the earliest
         self.sign, self.lead, inverse = np.unique(sign, return_index=True, return_inverse=True)
         self.repeats = np.flatnonzero(self.lead[inverse] != np.arange(len(sign)))
         self.n = n[self.lead]
         self.first = np.concatenate([[0], np.cumsum(self.n)])
         pick = np.repeat(first[self.lead] - self.first[:-1], self.n) + np.arange(self.first[-1])
-        self.flat = flat[pick]
+        self.flat, self.word = flat[pick], word[pick]
+        self.check = (check[self.lead] >> U64(32)).astype(np.uint32)
+
+    @staticmethod
+    def _of_sets(values: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """A hash of each set, whatever the order of its members."""
+        total = np.concatenate([np.zeros(1, U64), np.cumsum(values, dtype=U64)])
+        return mix(total[first[1:]] - total[first[:-1]] + n.astype(U64))
 
     def bitmaps(self) -> tuple[np.ndarray, np.ndarray]:
         """Parity of the tokens per bit of 128; small sets fold both words."""
@@ -177,9 +198,9 @@ def _ask_first(ranks, bits: int, least: int = MIN_TOKENS):
         rows, number = ordered(chunk), chunk["chunk"][0].as_py()
         x = Lines(rows, ranks.value, least)
         ids = rows["doc_id"].fill_null(0).to_numpy()
-        same = send(number, x.sign, ids[x.doc[x.lead]], bits)
-        out = {"shard": same["bucket"].to_pylist()} | {k: same[k].to_pylist() for k in ("chunk", "first", "gaps", "data")}
-        same = _as_table(out | {k: [] for k in ("lines", "sizes", "more")})
+        same = send(number, x.sign, ids[x.doc[x.lead]], bits, more=x.check)
+        out = {"shard": same["bucket"].to_pylist()} | {k: same[k].to_pylist() for k in ("chunk", "first", "gaps", "data", "more")}
+        same = _as_table(out | {k: [] for k in ("lines", "sizes")})
         p = np.where(x.n >= JOINED, prefix(x.n), 0)
         line = np.repeat(np.arange(len(x.n)), p)
         place = np.arange(int(p.sum())) - np.repeat(np.cumsum(p) - p, p)
@@ -233,10 +254,11 @@ def _told(chunk: np.ndarray, kind: int, keys: np.ndarray, lines: np.ndarray) ->
 def _equal_sets(rows: pa.Table) -> pa.Table:
     """Set hashes whose first line lies in an earlier document elsewhere."""
     keys, ids, origin = received(rows)
-    names, at = np.unique(keys, return_inverse=True)
-    least = np.full(len(names), np.iinfo(np.int64).max)
-    np.minimum.at(least, at, ids)
-    late = np.flatnonzero(ids > least[at])
+    check = np.frombuffer(b"".join(rows["more"].to_pylist()), np.uint32)
+    order = np.lexsort((ids, check, keys))
+    k, c = keys[order], check[order]
+    new = np.concatenate([[True], (k[1:] != k[:-1]) | (c[1:] != c[:-1])])
+    late = order[ids[order][np.flatnonzero(new)][np.cumsum(new) - 1] < ids[order]]
     return _told(rows["chunk"].to_numpy()[origin[late]], 0, keys[late], np.zeros(len(late), np.int64))
 
 
@@ -354,14 +376,13 @@ def _ask_second(ranks, bits: int, least: int = MIN_TOKENS):
 
         def row(s: int, e: int) -> dict[str, bytes]:
             own = line[s:e]
-            tokens = np.concatenate([x.flat[x.first[i] : x.first[i + 1]] for i in own])
-            five = np.ascontiguousarray((tokens & U64((1 << 40) - 1)).view(np.uint8).reshape(-1, 8)[:, :5])
+            words = np.concatenate([x.word[x.first[i] : x.first[i + 1]] for i in own])
             docs, numbers = sized_pack(doc[own]), sized_pack(no[own])
             return {
                 "data": sized_pack(ids[doc[own]]),
                 "lines": len(docs).to_bytes(4, "little") + docs + numbers,
                 "sizes": sized_pack(x.n[own]),
-                "more": five.tobytes(),
+                "more": words.tobytes(),
             }
 
         return pa.concat_tables([settled, _as_table(_shard_rows(number, shard, token, row))])
@@ -377,12 +398,12 @@ def _verify(rows: pa.Table) -> pa.Table:
     for chunk, first, gaps, data, lines, sizes, more in zip(*(rows[k].to_pylist() for k in ("chunk", "first", "gaps", "data", "lines", "sizes", "more")), strict=True):
         token = _tokens(first, gaps)
         cut = 4 + int.from_bytes(lines[:4], "little")
-        wide = np.zeros((len(more) // 5, 8), np.uint8)
-        wide[:, :5] = np.frombuffer(more, np.uint8).reshape(-1, 5)
-        parts.append((token, sized_unpack(data), sized_unpack(lines[4:cut]), sized_unpack(lines[cut:]), sized_unpack(sizes), np.full(len(token), chunk, np.int32), wide.view("<u8").ravel()))
+        parts.append((token, sized_unpack(data), sized_unpack(lines[4:cut]), sized_unpack(lines[cut:]), sized_unpack(sizes), np.full(len(token), chunk, np.int32), np.frombuffer(more, U64)))
     *cols, flat = (np.concatenate(x) for x in zip(*parts, strict=True))
     token, ids, doc, no, n, chunk = cols
     first = np.concatenate([[0], np.cumsum(n)])
+    # words by number: a pair of lines and a word then fit one key
+    flat = np.unique(flat, return_inverse=True)[1].astype(U64)
     order = np.lexsort((no, doc, ids, token))
     starts = np.flatnonzero(np.concatenate([[True], token[order][1:] != token[order][:-1]]))
     sizes = np.diff(np.append(starts, len(order)))
@@ -427,8 +448,8 @@ def _common(flat: np.ndarray, first: np.ndarray, a: np.ndarray, b: np.ndarray) -
         n = first[both + 1] - first[both]
         pick = np.repeat(first[both] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
         pair = np.repeat(np.concatenate([np.arange(len(both) // 2)] * 2), n)
-        key = np.sort((pair.astype(U64) << U64(40)) | flat[pick])
-        twice = key[1:][key[1:] == key[:-1]] >> U64(40)
+        key = np.sort((pair.astype(U64) << U64(48)) | flat[pick])
+        twice = key[1:][key[1:] == key[:-1]] >> U64(48)
         out[s : s + step] = np.bincount(twice.astype(np.int64), minlength=len(both) // 2)
     return out
 
@@ -477,10 +498,18 @@ def line_dedup(docs: DataFrame, least: int = MIN_TOKENS) -> DataFrame:
 
 
 def dedup_documents(docs: DataFrame) -> DataFrame:
-    """Documents with their repeated lines taken out; every document stays."""
-    out = line_dedup(docs.select("doc_id", "text", "lang", "source", "n_chars"), least=1)
-    chars = F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))
-    return out.select("doc_id", F.col("kept_text").alias("text"), "lang", "source", chars.alias("n_chars"))
+    """``docs`` with repeated lines taken out; every document and column stays.
+
+    ``n_chars``, where there is one, follows the text.
+    """
+
+    def cut(plain: DataFrame) -> DataFrame:
+        out = line_dedup(plain, least=1).withColumn("text", F.col("kept_text"))
+        if "n_chars" in plain.columns:
+            out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("kept_text").cast(plain.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        return out
+
+    return shielded(docs, ("doc_id", "text", "n_chars"), cut)
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
