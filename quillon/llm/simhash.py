@@ -5,9 +5,11 @@ fingerprints differ in at most 4 bits, some segment starts a chain in which any
 run of l segments differs in at most floor(l * 4 / 16) bits (the strong form of
 the pigeonhole principle on a ring).  So from that start 3 segments are equal
 and the next 4 differ in at most one bit, so that 3 of these 4 are equal too:
-each start and choice of 3 gives one 24-bit key, 64 keys a fingerprint.  Within
-a key the cumulative differences of the whole chain are checked against their
-budgets before the full Hamming distance.
+each start and choice of 3 gives one 24-bit key, 64 keys a fingerprint.  Of more
+than ``SHORT_KEYS`` fingerprints too many would share a key by chance; there 11
+segments with at most two touched give 352 keys of 36 bits.  Within a key the
+cumulative differences of the whole chain are checked against their budgets
+before the full Hamming distance.
 
 Only distinct fingerprints are keyed.  A bucket of one key is searched for a
 spanning forest of its links (never for all pairs): a found fingerprint leaves
@@ -16,8 +18,10 @@ split into parts, and each pair of parts is searched by a task of its own.
 
 Cases: a null or empty text has fingerprint 0, linked like any other; rows of a
 null doc_id have a fingerprint and the least id of their component (null if it
-has none); repeated rows and exact copies share a fingerprint; an empty table
-gives no rows; further columns are ignored or carried by name.
+has none); repeated rows and exact copies share a fingerprint; a bit that half of
+the shingles set is 0; a very long text is hashed in a block of its own, in memory
+in proportion to its length; an empty table gives no rows;
+``drop_near_duplicates`` carries further columns unchanged.
 """
 
 from __future__ import annotations
@@ -30,16 +34,19 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .clusterio import checkpointed, read, small_side
+from .clusterio import checkpointed, read, shielded, small_side, summed_vectors
 from .components import components
-from .textcore import LOWER, U64, Block, blocks, words_of
+from .textcore import LOWER, U64, Block, blocks, mix, words_of
 
 SHINGLE = 4
 SEED = 42
 MAX_BITS = 4
 SEGMENTS, WIDTH = 16, 4
-EXACT, NEAR = 3, 4
+#: Fingerprints up to which keys take 7 segments of the ring (24 bits); beyond, 11 (36 bits).
+SHORT_KEYS = 1 << 26
 BUCKET_ROWS = 20_000
+#: Cells of the count that shows whether a bucket can be large.
+CELLS = 1 << 20
 SMALL_RUN = 16
 
 
@@ -93,15 +100,41 @@ def _ring(values: np.ndarray, start: np.ndarray | int) -> np.ndarray:
     return (values >> k) | (values << ((U64(64) - k) & U64(63)))
 
 
-def _keys() -> list[tuple[int, int]]:
-    """(start, mask over the turned fingerprint) of each kind of key."""
-    segment = (1 << WIDTH) - 1
-    exact = (1 << (WIDTH * EXACT)) - 1
-    masks = [exact | sum(segment << (WIDTH * (EXACT + s)) for s in kept) for kept in combinations(range(NEAR), NEAR - 1)]
-    return [(start, m) for start in range(SEGMENTS) for m in masks]
+class Keys:
+    """The kinds of keys: a start on the ring and the segments that must be equal.
+
+    In the chain from some start, any first l of its segments differ in at most
+    l * MAX_BITS // SEGMENTS bits, so no more of them are touched.  Over
+    ``4 * touched + 3`` segments at most ``touched`` are; each way to touch as many
+    leaves the others equal, and these are a key.
+    """
+
+    def __init__(self, touched: int):
+        per = SEGMENTS // MAX_BITS
+        length = per * touched + per - 1
+        allowed = [t for t in combinations(range(length), touched) if all(sum(x < n for x in t) <= n // per for n in range(length))]
+        kept = [[s for s in range(length) if s not in t] for t in allowed]
+        self.kinds = [(start, k) for start in range(SEGMENTS) for k in kept]
+        self.bits = WIDTH * (length - touched)
+        self.starts = np.array([start for start, _ in self.kinds])
+
+    def of(self, prints: np.ndarray) -> np.ndarray:
+        """Keys of all kinds, kind by kind."""
+        turned = [_ring(prints, s) for s in range(SEGMENTS)]
+        return np.concatenate([self._packed(turned[start], kept, number) for number, (start, kept) in enumerate(self.kinds)])
+
+    def _packed(self, turned: np.ndarray, kept: list[int], number: int) -> np.ndarray:
+        out = np.full(len(turned), number << self.bits, U64)
+        for at, s in enumerate(kept):
+            out |= ((turned >> U64(WIDTH * s)) & U64((1 << WIDTH) - 1)) << U64(WIDTH * at)
+        return out.view(np.int64)
+
+
+def keys_for(count: int) -> Keys:
+    """Keys whose length follows the number of fingerprints, so that buckets stay small."""
+    return Keys(1 if count <= SHORT_KEYS else 2)
 
 
-KEYS = _keys()
 #: (bits of the chain's first l segments, budget) where the budget is about to grow
 CHAIN = [((1 << (WIDTH * n)) - 1, n * MAX_BITS // SEGMENTS) for n in range(1, SEGMENTS) if (n + 1) * MAX_BITS // SEGMENTS > n * MAX_BITS // SEGMENTS]
 
@@ -142,52 +175,42 @@ def forest(left: np.ndarray, right: np.ndarray, start: int) -> list[tuple[int, i
     return edges
 
 
-def links(prints: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def links(prints: DataFrame, bucket_rows: int = BUCKET_ROWS, keys: Keys | None = None) -> DataFrame:
     """(a, b): links among distinct fingerprints ``fp`` that join all that link."""
+    keys = keys or keys_for(prints.count())
 
     def key(batches):
         for batch in batches:
             fp = batch.column("fp").to_numpy().view(U64)
             for at in range(0, len(fp), 2000):
                 own = fp[at : at + 2000]
-                turned = {s: _ring(own, s) for s in range(SEGMENTS)}
-                k = np.concatenate([_compact(turned[s], mask, i) for i, (s, mask) in enumerate(KEYS)])
-                yield pa.RecordBatch.from_pydict({"key": pa.array(k), "fp": pa.array(np.tile(own, len(KEYS)).view(np.int64))})
+                yield pa.RecordBatch.from_pydict({"key": pa.array(keys.of(own)), "fp": pa.array(np.tile(own, len(keys.kinds)).view(np.int64))})
+
+    def cells(batches):
+        total = np.zeros(CELLS, np.int64)
+        for batch in batches:
+            fp = batch.column("fp").to_numpy().view(U64)
+            for at in range(0, len(fp), 2000):
+                cell = mix(keys.of(fp[at : at + 2000]).view(U64)) & U64(CELLS - 1)
+                total += np.bincount(cell.astype(np.int64), minlength=CELLS)
+        return total
 
     tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = prints.repartition(tasks).mapInArrow(key, "key long, fp long")
-    gathered = keyed.groupBy("key").agg(F.count("*").alias("n"))
-    large = checkpointed(gathered.filter(F.col("n") > bucket_rows))
-    if large.isEmpty():
-        parts = keyed.select("key", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("part"), "fp")
-    else:
-        sized = keyed.join(large, "key", "left")
-        n = F.ceil(F.coalesce("n", F.lit(1)) / F.lit(bucket_rows)).cast("int")
-        part = F.pmod(F.xxhash64("fp"), n).cast("int")
-        sized = sized.select("key", "fp", n.alias("k"), part.alias("part"))
-        pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda o: F.struct(F.least("part", o).alias("i"), F.greatest("part", o).alias("j"))))
-        parts = sized.select("key", "fp", "part", pair.alias("p")).select("key", "p.i", "p.j", "part", "fp")
-
-    return _searched(parts)
-
-
-def _compact(turned: np.ndarray, mask: int, number: int) -> np.ndarray:
-    """The masked bits, packed together, under the number of the kind of key."""
-    low = turned & U64((1 << (WIDTH * EXACT)) - 1)
-    out, at = low, WIDTH * EXACT
-    for s in range(NEAR):
-        shift = WIDTH * (EXACT + s)
-        if mask >> shift & 1:
-            out = out | (((turned >> U64(shift)) & U64((1 << WIDTH) - 1)) << U64(at))
-            at += WIDTH
-    return (out | U64(number << at)).view(np.int64)
-
-
-KEY_BITS = WIDTH * (EXACT + NEAR - 1)
-STARTS = np.array([s for s, _ in KEYS])
-
-
-def _searched(parts: DataFrame) -> DataFrame:
+    spread = prints.repartition(tasks, "fp")
+    keyed = spread.mapInArrow(key, "key long, fp long")
+    # a bucket has at most as many rows as its cell, so mostly no bucket needs a count of its own
+    if summed_vectors(prints, cells, CELLS).max(initial=0) <= bucket_rows:
+        return _searched(keyed.select("key", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("part"), "fp"), keys)
+    large = checkpointed(keyed.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > bucket_rows))
+    sized = keyed.join(small_side(large), "key", "left")
+    n = F.ceil(F.coalesce("n", F.lit(1)) / F.lit(bucket_rows)).cast("int")
+    part = F.pmod(F.xxhash64("fp"), n).cast("int")
+    sized = sized.select("key", "fp", n.alias("k"), part.alias("part"))
+    pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda o: F.struct(F.least("part", o).alias("i"), F.greatest("part", o).alias("j"))))
+    return _searched(sized.select("key", "fp", "part", pair.alias("p")).select("key", "p.i", "p.j", "part", "fp"), keys)
+
+
+def _searched(parts: DataFrame, keys: Keys) -> DataFrame:
     """Searches each (key, i, j) in sorted order, without a group per key.
 
     Rows are dealt by (key, i, j) and sorted, so a bucket is a run of rows; runs
@@ -201,10 +224,10 @@ def _searched(parts: DataFrame) -> DataFrame:
             rows = pa.Table.from_batches(held)
             cut = _last_run(rows)
             if cut:
-                yield from _runs(rows.slice(0, cut))
+                yield from _runs(rows.slice(0, cut), keys)
                 held = [x for x in rows.slice(cut).to_batches() if x.num_rows]
         if held:
-            yield from _runs(pa.Table.from_batches(held))
+            yield from _runs(pa.Table.from_batches(held), keys)
 
     dealt = parts.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return dealt.mapInArrow(run, "a long, b long").distinct()
@@ -224,7 +247,7 @@ def _last_run(rows: pa.Table) -> int:
     return int(cut[-1]) if len(cut) else 0
 
 
-def _within_small(key, whole, fp, run, size) -> list[tuple[int, int]]:
+def _within_small(keys: Keys, key, whole, fp, run, size) -> list[tuple[int, int]]:
     """Links within runs of up to SMALL_RUN rows, all runs at once."""
     edges: list[tuple[int, int]] = []
     small = np.flatnonzero(whole & (size > 1) & (size <= SMALL_RUN))
@@ -233,21 +256,21 @@ def _within_small(key, whole, fp, run, size) -> list[tuple[int, int]]:
         a = a[run[a] == run[a + d]]
         if not len(a):
             break
-        starts = STARTS[key[a] >> KEY_BITS]
+        starts = keys.starts[key[a] >> keys.bits]
         ok = a[linked(fp[a], fp[a + d], starts)]
         edges += zip(fp[ok].tolist(), fp[ok + d].tolist(), strict=True)
     return edges
 
 
-def _runs(rows: pa.Table):
+def _runs(rows: pa.Table, keys: Keys):
     key, i, j, part, fp = _columns(rows)
     fp = fp.view(U64)
     bounds = np.concatenate([[0], _breaks(key, i, j), [len(key)]])
     sizes = np.diff(bounds)
-    edges = _within_small(key, i == j, fp, np.repeat(np.arange(len(sizes)), sizes), np.repeat(sizes, sizes))
+    edges = _within_small(keys, key, i == j, fp, np.repeat(np.arange(len(sizes)), sizes), np.repeat(sizes, sizes))
     for r in np.flatnonzero((sizes > 1) & ((sizes > SMALL_RUN) | (i != j)[bounds[:-1]])):
         s, e = int(bounds[r]), int(bounds[r + 1])
-        start = KEYS[int(key[s]) >> KEY_BITS][0]
+        start = int(keys.starts[int(key[s]) >> keys.bits])
         if i[s] == j[s]:
             edges += forest(fp[s:e], fp[:0], start)
         else:
@@ -275,12 +298,12 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One document of each component stays, the one of the least doc_id.
 
     Rows that repeat the staying doc_id are that document and stay as they are;
-    a row of a null doc_id is never dropped.
+    a row of a null doc_id is never dropped; all columns stay.
     """
-    base = docs.select("doc_id", "text", "lang", "source", "n_chars")
-    found = near_duplicates(base)
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_id")).distinct()
-    return base.join(small_side(checkpointed(gone)), F.col("doc_id") == F.col("_id"), "left_anti").select(*base.columns)
+    found = near_duplicates(docs.select("doc_id", "text"))
+    gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
+    gone = small_side(checkpointed(gone))
+    return shielded(docs, ("doc_id",), lambda plain: plain.join(gone, plain["doc_id"] == gone["_gone"], "left_anti"))
 
 
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
