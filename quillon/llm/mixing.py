@@ -3,15 +3,26 @@
 Tokens are summed per source, targets come from weights capped at a multiple of
 the source (capped excess is shared again by weight), and each document is
 emitted floor(rate) times plus one Bernoulli copy whose probability is the
-fraction.  The draw is a seeded hash of the document, so reruns agree.  Each
-source takes, of ``CHOICES`` seeds, the one whose drawn words come nearest its
-target: a source of few or very uneven documents is then not left to one draw.
+fraction.  The draw is a seeded hash of the document's id and text, so reruns
+agree.  A document takes its further copy where its draw does not exceed the
+source's bar.  For independent draws the bar would be the fraction itself; here
+it is the draw at which the words taken so far, in the order of the draws, come
+nearest the fraction of the source's words.  So every document of a source has
+the same chance, given by the order of one hash, and a source of few or very
+uneven documents still misses its target by no more than half of the document at
+the bar.
+
+Sums per cell of the draws (at most ``CELLS`` a source) find the cell of the bar,
+and only the documents of that cell are sorted.  The shared level of the capped
+targets is found by windows over one row per source.
 
 Cases: a null text has size 0; a null source is a source of its own and ranks
 last; a source of size 0 has target 0 and rate 0, so its documents take no
-words (none are lost, since they have none); an empty table gives no rows;
-repeated rows draw alike; further columns of the input are carried or ignored
-and never clash, since the operator works on the named columns only.
+words (none are lost, since they have none); a very long text is one document of
+its size and may decide the bar; rows of a null doc_id are drawn by their text;
+rows that repeat id and text have equal draws and fall on one side of the bar
+together; an empty table gives no rows; ``mix`` carries further columns unchanged
+(``copy_no`` gets an underscore if the name is taken).
 """
 
 from __future__ import annotations
@@ -19,23 +30,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .clusterio import checkpointed, read, small_side
+from .clusterio import checkpointed, read, shielded, small_side
 
 WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3.0
-SEED, CHOICES = 20240229, 32
+SEED, CELLS = 20240229, 1 << 16
+#: Draws are whole multiples of this.
+GRAIN = 1.0 / (1 << 53)
 #: Copies a source with no words gets in the mix.
 EMPTY_SOURCE_COPIES = 1
 
 
 def token_count(text: Column) -> Column:
-    """Words ``[^\\x20\\x09-\\x0D]+``: blank runs are squeezed away and counted."""
-    squeezed = F.trim(F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\f\r", "     "), " {2,}", " "))
-    return F.when(squeezed == "", F.lit(0)).otherwise(F.length(squeezed) - F.length(F.replace(squeezed, F.lit(" "))) + 1).cast("long")
+    """Words ``[^\\x20\\x09-\\x0D]+``; a null text has none."""
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "source", token_count(F.col("text")).alias("size"))
+def sized(docs: DataFrame, seed: int = SEED) -> DataFrame:
+    return docs.select("doc_id", "source", token_count(F.col("text")).alias("size"), drawn(seed).alias("draw"))
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, cap: float = CAP) -> DataFrame:
@@ -64,50 +76,61 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, cap: float = CAP) -> DataF
     return per.select("source", "source_size", target.alias("target"), F.least(rate, F.lit(cap)).alias("rate"))
 
 
-def drawn(seed: Column, doc_id: Column) -> Column:
+def drawn(seed: int) -> Column:
     """A number in [0, 1): 53 bits of a seeded hash of the document."""
-    return F.shiftrightunsigned(F.xxhash64(seed, doc_id), 11) / F.lit(float(1 << 53))
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text")), 11) * F.lit(GRAIN)
 
 
 def whole(rate: Column) -> Column:
     return F.floor(rate + 1e-12)
 
 
-def source_plan(sizes: DataFrame, seed: int = SEED) -> DataFrame:
-    """source_targets plus the seed of each source, one row per source."""
+def source_plan(sizes: DataFrame) -> DataFrame:
+    """source_targets plus the bar of each source, one row per source."""
+    same = lambda a, b: a["source"].eqNullSafe(b["_source"])
+    keyed = lambda df: df.withColumnRenamed("source", "_source")
     targets = checkpointed(source_targets(sizes))
-    keyed = small_side(targets.select(F.col("source").alias("_source"), "rate"))
-    rows = sizes.join(keyed, F.col("source").eqNullSafe(F.col("_source")), "left")
-    share = F.col("rate") - whole(F.col("rate"))
-    taken = [F.sum(F.when(drawn(F.lit(seed + k), F.col("doc_id")) < share, F.col("size")).otherwise(0)).alias(f"taken_{k}") for k in range(CHOICES)]
-    sums = rows.groupBy("source").agg(*taken).withColumnRenamed("source", "_source")
-    joined = targets.join(sums, F.col("source").eqNullSafe(F.col("_source")))
-    off = [F.struct(F.abs(F.col(f"taken_{k}") - share * F.col("source_size")).alias("off"), F.lit(seed + k).alias("seed")) for k in range(CHOICES)]
-    return joined.select("source", "source_size", "target", "rate", F.array_min(F.array(*off))["seed"].alias("seed"))
-
-
-def with_copies(docs: DataFrame, sizes: DataFrame, seed: int = SEED) -> DataFrame:
-    """``docs`` plus source_size, target and n_copies."""
-    plan = checkpointed(source_plan(sizes, seed)).withColumnRenamed("source", "_source")
-    joined = docs.join(small_side(plan), F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
-    rate = F.col("rate")
-    extra = F.when(drawn(F.col("seed"), F.col("doc_id")) < rate - whole(rate), 1).otherwise(0)
-    return joined.withColumn("n_copies", (whole(rate) + extra).cast("int")).drop("rate", "seed")
+    wanted = keyed(targets.select("source", ((F.col("rate") - whole(F.col("rate"))) * F.col("source_size")).alias("wanted")))
+    cell = F.floor(F.col("draw") * CELLS)
+    cells = sizes.filter("size > 0").groupBy("source", cell.alias("cell")).agg(F.sum("size").alias("words"))
+    so_far = Window.partitionBy("source").orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cells = cells.withColumn("end", F.sum("words").over(so_far))
+    reached = cells.join(small_side(wanted), same(cells, wanted)).filter(F.col("end") >= F.col("wanted"))
+    at = checkpointed(reached.groupBy("_source").agg(F.min("cell").alias("cell"), F.min_by(F.col("end") - F.col("words"), F.col("cell")).alias("before"), F.first("wanted").alias("wanted")))
+    inside = sizes.filter("size > 0").withColumn("own", cell)
+    inside = inside.join(small_side(at), same(inside, at) & (F.col("own") == F.col("cell")))
+    inside = inside.groupBy("_source", "cell", "before", "wanted", "draw").agg(F.sum("size").alias("words"))
+    by_draw = Window.partitionBy("_source").orderBy("draw").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    steps = inside.select("_source", F.col("draw").alias("bar"), F.abs(F.col("before") + F.sum("words").over(by_draw) - F.col("wanted")).alias("off"))
+    none = at.select("_source", (F.col("cell") / CELLS - GRAIN).alias("bar"), F.abs(F.col("before") - F.col("wanted")).alias("off"))
+    bars = steps.union(none).groupBy("_source").agg(F.min(F.struct("off", "bar"))["bar"].alias("bar"))
+    return targets.join(bars, same(targets, bars), "left").select("source", "source_size", "target", "rate", F.coalesce("bar", F.lit(1.0)).alias("bar"))
+
+
+def with_copies(docs: DataFrame, plan: DataFrame) -> DataFrame:
+    """``docs`` (with source and draw) plus source_size, target and n_copies."""
+    plan = plan.withColumnRenamed("source", "_source")
+    joined = docs.join(small_side(plan), docs["source"].eqNullSafe(plan["_source"]), "left").drop("_source")
+    extra = F.when((F.col("rate") > whole(F.col("rate"))) & (F.col("draw") <= F.col("bar")), 1).otherwise(0)
+    return joined.withColumn("n_copies", (whole(F.col("rate")) + extra).cast("int")).drop("rate", "bar", "draw")
 
 
 def mix_plan(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken."""
     sizes = checkpointed(sized(docs))
-    out = with_copies(sizes, sizes)
+    out = with_copies(sizes, checkpointed(source_plan(sizes)))
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("n_copies")).alias("taken"), "n_copies", "source")
 
 
 def mix(docs: DataFrame) -> DataFrame:
     """The mixed corpus: every document as often as it is taken, with copy_no."""
-    base = docs.select("doc_id", "text", "lang", "source", "n_chars")
-    out = with_copies(base, checkpointed(sized(docs))).drop("source_size", "target")
-    copy = F.explode(F.sequence(F.lit(1), F.col("n_copies")))
-    return out.filter("n_copies > 0").select("doc_id", "text", "lang", "source", "n_chars", copy.alias("copy_no"))
+
+    def repeat(plain: DataFrame) -> DataFrame:
+        plan = checkpointed(source_plan(checkpointed(sized(plain))))
+        out = with_copies(plain.withColumn("draw", drawn(SEED)), plan)
+        return out.filter("n_copies > 0").withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
+
+    return shielded(docs, ("doc_id", "text", "source"), repeat, ("copy_no",))
 
 
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
