@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .clusterio import read, text_bytes
+from .clusterio import read, shielded, text_bytes
 from .textcore import ALNUM_WORD, LOWER, Block, blocks, covered, slice_hashes, words_of
 
 WINDOW = 10
@@ -267,13 +267,20 @@ def n_hit():
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = MAX_COVERAGE) -> DataFrame:
-    """Documents with contaminated spans cut; above the coverage limit they go."""
-    base = docs.select("doc_id", "text", "lang", "source", "n_chars")
-    out = contamination(base, benchmark, window, cut=True).withColumn("n_hit", n_hit())
-    out = out.filter((F.col("n_hit") == 0) | (F.col("n_hit") < F.lit(max_coverage) * F.col("n_words")))
-    text = F.when(F.col("n_hit") > 0, F.col("clean_text")).otherwise(F.col("text"))
-    chars = F.when(F.col("n_hit") > 0, F.length("clean_text").cast("long")).otherwise(F.col("n_chars"))
-    return out.select("doc_id", text.alias("text"), "lang", "source", chars.alias("n_chars"))
+    """Documents with contaminated spans cut; above the coverage limit they go.
+
+    All columns stay; ``n_chars``, where there is one, follows the text.
+    """
+
+    def cut(plain: DataFrame) -> DataFrame:
+        out = contamination(plain, benchmark, window, cut=True).withColumn("n_hit", n_hit())
+        out = out.filter((F.col("n_hit") == 0) | (F.col("n_hit") < F.lit(max_coverage) * F.col("n_words")))
+        hit = F.col("n_hit") > 0
+        if "n_chars" in plain.columns:
+            out = out.withColumn("n_chars", F.when(hit, F.length("clean_text").cast(plain.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        return out.withColumn("text", F.when(hit, F.col("clean_text")).otherwise(F.col("text")))
+
+    return shielded(docs, ("doc_id", "text", "n_chars"), cut)
 
 
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
