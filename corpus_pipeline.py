@@ -4,6 +4,8 @@ Every stage takes (spark, docs, sf_dir) and works on all documents that the one
 before kept.  All but the last return the columns of documents; the last adds
 copy_no, as a document may be taken several times.  Nulls, empty texts, repeated
 rows, empty tables and further columns are handled as each operator states.
+Every stage's result is written to the shared checkpoint folder, so that no stage
+runs twice however often the next one reads its documents.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quillon.llm import decontaminate, linedup, mixing, quality_rules, simhash
+from quillon.llm.clusterio import checkpointed
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,6 +53,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = checkpointed(stage(spark, docs, sf_dir))
+    _, last = STAGES[-1]
+    return last(spark, docs, sf_dir)
