@@ -11,8 +11,10 @@ documents, those of the least seeded hash of their id.  Scoring reads every line
 
 Cases: a null or empty text has no line and gets the base rate of label 1 in the
 sample; without any label the score is 0.5 everywhere; a doc_id labelled twice
-counts with its greatest label; ties of the hash are broken by doc_id; repeated
-rows get equal scores; an empty table gives no rows; further columns are ignored.
+counts with its greatest label, and of rows that repeat an id one text is trained
+on, the same in every run; ties of the hash are broken by doc_id; repeated rows get
+equal scores; a very long text is scored whole, in memory in proportion to its
+length; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -122,8 +124,9 @@ class Chain:
     slope: float = 1.0
     shift: float = 0.0
 
-    def marginals(self, features: np.ndarray, first: np.ndarray):
-        """P(label 1) of each line; and the expected counts of moves.
+    def marginals(self, features: np.ndarray, first: np.ndarray, weight: np.ndarray | None = None):
+        """P(label 1) of each line; and the expected counts of moves, weighted by
+        the line that is moved to.
 
         ``first`` holds the first line of each document and the end.
         """
@@ -149,10 +152,11 @@ class Chain:
         inner = np.ones(len(potential), bool)
         inner[first[:-1][sizes > 0]] = False
         i = np.flatnonzero(inner)
+        own = 1.0 if weight is None else weight[i]
         moves = np.zeros((2, 2))
         for a in (0, 1):
             for c in (0, 1):
-                moves[a, c] = np.exp(ahead[i - 1, a] + self.move[a, c] + unary[i, c] + back[i, c] - log_z[i]).sum()
+                moves[a, c] = (own * np.exp(ahead[i - 1, a] + self.move[a, c] + unary[i, c] + back[i, c] - log_z[i])).sum()
         return p, moves
 
     def quality(self, p: np.ndarray, length: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
@@ -164,7 +168,11 @@ class Chain:
 
 
 def fit(features: np.ndarray, first: np.ndarray, labels: np.ndarray, length: np.ndarray) -> Chain:
-    """Maximum likelihood by gradient ascent with momentum, then a calibration."""
+    """Gradient ascent with momentum, then a calibration.
+
+    The objective is the mean over documents of a document's log-likelihood per
+    line: emissions and moves of a line have one weight, 1 / lines of its document.
+    """
     centre, scale = features.mean(axis=0), features.std(axis=0)
     scale = np.where(scale < 1e-6, 1.0, scale)
     centre = np.where(features.std(axis=0) < 1e-6, 0.0, centre)
@@ -177,13 +185,13 @@ def fit(features: np.ndarray, first: np.ndarray, labels: np.ndarray, length: np.
     x = (features - centre) / scale
     counted = np.zeros((2, 2))
     for v in (0, 1):
-        counted[v, v] = np.maximum(sizes - 1, 0)[labels == v].sum()
+        counted[v, v] = (np.maximum(sizes - 1, 0) / np.maximum(sizes, 1))[labels == v].sum()
     speed_e, speed_m = np.zeros_like(chain.emit), np.zeros((2, 2))
     total = max(float(weight.sum()), 1.0)
     for _ in range(STEPS):
-        p, moves = chain.marginals(features, first)
+        p, moves = chain.marginals(features, first, weight)
         step_e = x.T @ (weight * (y - p)) / total - DECAY * chain.emit
-        step_m = (counted - moves) / max(len(y), 1) - DECAY * chain.move
+        step_m = (counted - moves) / total - DECAY * chain.move
         speed_e = 0.9 * speed_e + step_e
         speed_m = 0.9 * speed_m + step_m
         chain.emit += RATE * speed_e
@@ -227,7 +235,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain | N
                     )
 
     rows = texts.mapInArrow(measure, "doc_id long, quality int, x binary, length binary")
-    rows = rows.dropDuplicates(["doc_id"]).orderBy("doc_id").limit(sample).collect()
+    # of rows that repeat an id, the one whose lines come first in byte order
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("x", "length", "quality")).alias("r")).select("doc_id", "r.*")
+    rows = rows.orderBy("doc_id").limit(sample).collect()
     if not rows:
         return None
     parts = [np.frombuffer(bytes(r["x"]), "<f4").reshape(-1, N_FEATURES) for r in rows]
