@@ -2,7 +2,7 @@
 
 The host and path of every URL are cut into character n-grams, hashed into a
 fixed number of weights and scored by a logistic regression that is trained from
-a small labelled table (the table below, or one that is given; at most
+a small labelled table (the file beside this module, or one that is given; at most
 ``MAX_LABELLED`` rows).  Block and allow rules come first: a rule fits its host
 and all subdomains if the path starts with the rule's; the longest rule wins.
 Everything over the pages is DataFrame expressions; the trained weights are a
@@ -10,13 +10,16 @@ literal of fixed length.
 
 Cases: a null url or one without "://" has an empty host and path, no rule, and
 the model's verdict on empty strings; ties between rules of equal length go to
-the first listed; repeated rows get equal results; an empty table gives no rows;
+the first listed; a very long url is scored whole, n-gram by n-gram; repeated rows
+get equal results; an empty table gives no rows;
 further columns are ignored.
 """
 
 from __future__ import annotations
 
+import csv
 import json
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,7 +29,7 @@ from .clusterio import read
 
 CELLS = 2048
 SIZES = (3, 4, 5)
-ROUNDS, RATE, DECAY = 300, 2.0, 1e-3
+ROUNDS, RATE, DECAY = 1000, 2.0, 1e-4
 THRESHOLD = 0.5
 MAX_LABELLED = 5_000
 #: Rules become one CASE expression.
@@ -38,29 +41,8 @@ RULES = [
     ("block", "example.net/de/8"),
     ("block", "org/es/"),
 ]
-#: label 1: unwanted.  Hosts with and without usual subdomains, and paths.
-UNWANTED = """
-casino-win.example.net/en/12 spam-farm.example.org/en/7 adult-x.example.com/en/3 free-bets.example.net/fr/9
-cheap-pills.example.com/buy best-casino.example.org/slots win-cash-now.example.com/claim hot-adult-cams.example.net/live
-poker-bonus.example.com/join free-slots.example.net/play xxx-videos.example.com/watch sex-chat.example.org/room
-payday-loans.example.com/apply click-bait.example.net/top10 link-farm.example.org/list spam-links.example.net/a
-replica-watches.example.com/shop lottery-winner.example.org/prize bet-online.example.net/odds escort-girls.example.com/city
-crypto-doubler.example.net/invest malware-download.example.org/setup.exe free-viagra.example.com/order porn-tube.example.net/v
-ads-track.example.org/en/9 ad-tracker.example.net/pixel banner-ads.example.com/click popup-ads.example.org/fr/3
-gambling-tips.example.com/en/4 spam-farm.example.net/de/5 casino-win.example.com/es/6 adult-x.example.org/en/8
-free-bets.example.com/en/2 fake-news-farm.example.net/fr/1 earn-money-fast.example.org/en/11 weight-loss-pills.example.com/en/5
-""".split()
-WANTED = """
-tionsh.example.com/en/12 ththan.example.net/fr/33 therha.example.org/de/4 ththon.example.com/es/7 library.example.org/catalogue
-university.example.net/research/papers city-museum.example.com/visit weather.example.org/forecast recipes.example.net/soup
-news.example.com/en/77 history.example.org/articles/9 health-service.example.net/advice docs.example.com/manual/intro
-garden-club.example.org/plants school.example.net/timetable railway.example.com/tickets maps.example.org/en/3
-science-journal.example.net/issue/5 theatre.example.com/programme sports-club.example.org/results books.example.net/en/8
-physics.example.com/fr/21 chemistry.example.org/es/14 language-course.example.net/de/6 art-gallery.example.com/en/19
-parliament.example.org/debates council.example.net/minutes hospital.example.com/contact farm-shop.example.org/vegetables
-thend.example.net/en/25 orening.example.com/de/40 onther.example.org/fr/52 ingtha.example.net/es/60 eredst.example.com/en/71
-astronomy.example.org/en/15 music.example.net/fr/31 village-choir.example.com/dates open-data.example.org/sets/2
-""".split()
+#: The labelled addresses (label 1: unwanted), each trained with and without usual subdomains.
+LABELS = Path(__file__).with_name("url_labels.csv")
 HOST_PREFIXES = ("", "www.", "m.", "blog.")
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -89,10 +71,12 @@ def cells(host: Column, path: Column) -> Column:
     return F.concat(*parts)
 
 
-def labelled(spark: SparkSession) -> DataFrame:
-    """The built-in labelled table: url, label."""
-    rows = [(f"http://{p}{u}", int(u in UNWANTED)) for u in [*UNWANTED, *WANTED] for p in HOST_PREFIXES]
-    return spark.sql("select * from values " + ", ".join(f"('{u}', {y})" for u, y in rows) + " as t(url, label)")
+def labelled(spark: SparkSession, path: Path = LABELS) -> DataFrame:
+    """The labelled table that comes with the operator: url, label."""
+    with path.open(newline="") as f:
+        rows = [(r["url"], int(r["label"])) for r in csv.DictReader(f)]
+    each = [(url.replace("://", f"://{p}", 1), y) for url, y in rows for p in HOST_PREFIXES]
+    return spark.sql("select * from values " + ", ".join(f"('{u}', {y})" for u, y in each) + " as t(url, label)")
 
 
 def train(table: DataFrame) -> list[float]:
