@@ -1,21 +1,28 @@
 """Operator 8: benchmark decontamination with a generalised suffix automaton.
 
-The normalised benchmark items build one automaton per block of items (a block
-is bounded by ``BLOCK_TEXT_BYTES``; a larger benchmark makes more blocks, which
-are streamed one after the other).  Training tokens are streamed through it; at
-every token the longest matching length is known, and a match of at least
-``window`` tokens (or a whole shorter item) marks a span.  Tokens that no item
-holds put the automaton back into its root, so they are skipped in bulk, as are
-pairs of tokens that no item has side by side when every item has two words.
+The normalised benchmark items build one automaton per block of at most about
+``BLOCK_WORDS`` words, in a task of its own; a longer item is cut into pieces that
+overlap by a window less one word, so no window is lost.  An automaton is a few
+flat arrays: at most two states and three edges a word, about 11 MB a block.
+``BLOCKS_A_PASS`` blocks are broadcast at a time; a larger benchmark makes more
+passes.  Training tokens are streamed through the automaton, all runs of a block
+of documents in step; at every token the longest matching length is known, and a
+match of at least ``window`` tokens (or a whole shorter item) marks a span.  Tokens
+that no item holds put the automaton back into its root, so they are skipped in
+bulk, as are pairs of tokens that no item has side by side when every item has two
+words.
 
 Cases: a null text or item has no words; an item without words matches nothing;
 an item of a null id marks words but is not listed; repeated rows get one result
-each; with an empty benchmark nothing is hit; an empty documents table gives no
-rows; further columns are carried unchanged.
+each; with an empty benchmark nothing is hit; a very long text is streamed whole,
+in memory in proportion to its length; no result depends on ties; an empty
+documents table gives no rows; further columns are carried unchanged.  Words are
+told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
+import pickle
 from itertools import pairwise
 
 import numpy as np
@@ -24,20 +31,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .clusterio import read, shielded, text_bytes
-from .textcore import ALNUM_WORD, LOWER, Block, blocks, covered, slice_hashes, words_of
+from .clusterio import checkpointed, read, shielded
+from .textcore import ALNUM_WORD, LOWER, U64, Block, blocks, covered, slice_hashes, words_of
 
 WINDOW = 10
 #: Coverage (hit words over words) from which the whole document goes.
 MAX_COVERAGE = 0.5
-BLOCK_TEXT_BYTES = 16 << 20
+BLOCK_WORDS, BLOCKS_A_PASS = 1 << 17, 4
 
 
-class SuffixAutomaton:
-    """Substrings of several token sequences, never across two of them."""
+class _Growing:
+    """A suffix automaton under construction; substrings never cross two sequences."""
 
-    def __init__(self, window: int):
-        self.window, self.length, self.link = window, [0], [-1]
+    def __init__(self):
+        self.length, self.link = [0], [-1]
         self.next: list[dict[int, int]] = [{}]
 
     def _state(self, length: int, link: int, edges: dict[int, int]) -> int:
@@ -71,99 +78,187 @@ class SuffixAutomaton:
                 self.link[new] = self._split(p, t, self.next[p][t])
             last = new
 
-    def step(self, state: int, matched: int, token: int) -> tuple[int, int]:
-        """State and longest matching length after one more token."""
-        while state and token not in self.next[state]:
-            state = self.link[state]
-            matched = self.length[state]
-        to = self.next[state].get(token)
-        return (0, 0) if to is None else (to, matched + 1)
-
-    def finish(self, items: list[tuple[int, list[int]]]) -> None:
-        """Which items own each window, and each item shorter than a window."""
-        n = len(self.length)
-        order = sorted(range(n), key=self.length.__getitem__)
-        self.window_state = [0] * n
-        for s in order[1:]:
-            if self.length[s] >= self.window:
-                up = self.link[s]
-                self.window_state[s] = s if self.length[up] < self.window else self.window_state[up]
-        self.owners: dict[int, set[int]] = {}
-        self.short: dict[int, dict[int, set[int]]] = {}
-        for item, tokens in items:
+
+def _lists(keys: np.ndarray, values: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of each key below ``n``: where each key's begin, and all."""
+    pairs = np.unique(np.stack([keys, values], axis=1), axis=0) if len(keys) else np.zeros((0, 2), np.int64)
+    return np.searchsorted(pairs[:, 0], np.arange(n + 1)), pairs[:, 1]
+
+
+def _listed(lists: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index into ``keys``, value) for every value of every key."""
+    first, values = lists
+    n = first[keys + 1] - first[keys]
+    at = np.repeat(np.arange(len(keys)), n)
+    return at, values[np.repeat(first[keys], n) + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)]
+
+
+class SuffixAutomaton:
+    """The substrings of several token sequences as flat arrays."""
+
+    def __init__(self, sequences: list[tuple[int, list[int]]], window: int):
+        """Sequences of (item, tokens); an item may have several."""
+        self.window = window
+        g = _Growing()
+        for _, tokens in sequences:
+            g.add(tokens)
+        n = len(g.length)
+        edges = np.array([(s << 32) | t for s, own in enumerate(g.next) for t in own], U64)
+        targets = np.array([q for own in g.next for q in own.values()], np.int32)
+        order = np.argsort(edges)
+        self.edges, self.targets = edges[order], targets[order]
+        self.length, self.link = np.array(g.length, np.int32), np.array(g.link, np.int32)
+        windows, short = [], []
+        for item, tokens in sequences:
             state = 0
             for k, t in enumerate(tokens, 1):
-                state = self.next[state][t]
-                if k >= self.window:
-                    self.owners.setdefault(self.window_state[state], set()).add(item)
-            if 0 < len(tokens) < self.window:
-                self.short.setdefault(state, {}).setdefault(len(tokens), set()).add(item)
-        self.short_up = [-1] * n  # nearest state on the way to the root, itself included, with short items
-        for s in order:
-            self.short_up[s] = s if s in self.short else (self.short_up[self.link[s]] if self.link[s] >= 0 else -1)
-
-    def matches(self, tokens: list[int]):
-        """(end, length, items) of every window or whole short item found."""
-        state = matched = 0
-        for end, t in enumerate(tokens, 1):
-            state, matched = self.step(state, matched, t)
-            if matched >= self.window:
-                yield end, self.window, self.owners[self.window_state[state]]
-            s = self.short_up[state]
-            while s > 0:
-                for k, own in self.short[s].items():
-                    if k <= matched:
-                        yield end, k, own
-                s = self.short_up[self.link[s]]
+                state = g.next[state][t]
+                if k >= window:
+                    windows.append((state, item))
+            if 0 < len(tokens) < window:
+                short.append((state, len(tokens), item))
+        del g
+        # the state on the way to the root that holds the substring of a window's length
+        self.window_state, self.short_up = np.zeros(n, np.int32), np.full(n, -1, np.int32)
+        has_short = np.zeros(n, bool)
+        has_short[[s for s, _, _ in short]] = True
+        for s in np.argsort(self.length, kind="stable").tolist():
+            up = self.link[s]
+            if self.length[s] >= window:
+                self.window_state[s] = s if self.length[up] < window else self.window_state[up]
+            # nearest state on that way, itself included, where a short item ends
+            self.short_up[s] = s if has_short[s] else (self.short_up[up] if up >= 0 else -1)
+        w = np.array(windows, np.int64).reshape(-1, 2)
+        self.owners = _lists(self.window_state[w[:, 0]].astype(np.int64), w[:, 1], n)
+        t = np.array(short, np.int64).reshape(-1, 3)
+        self.short = _lists(t[:, 0], t[:, 2] * window + t[:, 1], n)
+
+    def stream(self, tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """State and longest matching length after each token of the runs
+        ``first[i]:first[i + 1]``, all runs one token at a time."""
+        states, matched = np.zeros(len(tokens), np.int64), np.zeros(len(tokens), np.int64)
+        sizes = np.diff(first)
+        order = np.argsort(-sizes, kind="stable")
+        begin, ends = first[:-1][order], -sizes[order]
+        state, length = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
+        for step in range(int(sizes.max(initial=0))):
+            live = int(np.searchsorted(ends, -step, side="left"))
+            at = begin[:live] + step
+            waiting = np.arange(live)
+            while len(waiting):
+                sought = (state[waiting].astype(U64) << U64(32)) | tokens[at[waiting]].astype(U64)
+                place = np.minimum(np.searchsorted(self.edges, sought), len(self.edges) - 1)
+                there = self.edges[place] == sought
+                gone = waiting[there]
+                state[gone] = self.targets[place[there]]
+                length[gone] += 1
+                waiting = waiting[~there]
+                lost = waiting[state[waiting] == 0]
+                length[lost] = 0
+                waiting = waiting[state[waiting] > 0]
+                state[waiting] = self.link[state[waiting]]
+                length[waiting] = self.length[state[waiting]]
+            states[at], matched[at] = state[:live], length[:live]
+        return states, matched
+
+    def matches(self, tokens: np.ndarray, first: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, tuple]]:
+        """(end, length, key, lists) of windows and whole short items; the lists
+        tell the items of a key."""
+        states, matched = self.stream(tokens, first)
+        end = np.flatnonzero(matched >= self.window)
+        out = [(end + 1, np.full(len(end), self.window), self.window_state[states[end]].astype(np.int64), self.owners)]
+        place, up = np.arange(len(states)), self.short_up[states].astype(np.int64)
+        while len(place := place[up > 0]):
+            up = up[up > 0]
+            at, code = _listed(self.short, up)
+            size, item = code % self.window, code // self.window
+            fits = size <= matched[place[at]]
+            at, size, item = at[fits], size[fits], item[fits]
+            every = (np.arange(int(item.max(initial=-1)) + 2), np.arange(int(item.max(initial=-1)) + 1))
+            out.append((place[at] + 1, size, item, every))
+            up = self.short_up[np.maximum(self.link[up], 0)].astype(np.int64)
+        return out
 
 
 class Index:
-    """Vocabulary, neighbouring pairs and automaton of one block of items."""
-
-    def __init__(self, items: list[tuple[object, str | None]], window: int = WINDOW):
-        column = pa.array([x[1] for x in items], pa.large_string())
-        sequences: list[np.ndarray] = []
-        for b in blocks(column):
-            h, w = _tokens(b)
-            sequences += [h[i:j] for i, j in pairwise(w.first)]
-        self.ids = [x[0] for x in items]
-        self.vocabulary = np.unique(np.concatenate(sequences)) if sequences else np.zeros(0, np.uint64)
-        coded = [np.searchsorted(self.vocabulary, s).tolist() for s in sequences]
-        self.shortest = min((min(len(s), window) for s in coded if s), default=window)
-        pairs = {a * len(self.vocabulary) + b for s in coded for a, b in pairwise(s)}
-        self.pairs = np.array(sorted(pairs), dtype=np.int64)
-        self.automaton = SuffixAutomaton(window)
-        for s in coded:
-            self.automaton.add(s)
-        self.automaton.finish(list(enumerate(coded)))
-
-    def hits(self, hashes: np.ndarray, first: np.ndarray):
-        """(document, start word, end word, items) of each match in a block."""
+    """Vocabulary, neighbouring pairs and automaton of one block of pieces."""
+
+    def __init__(self, pieces: list[tuple[str | None, np.ndarray]], window: int = WINDOW):
+        """Pieces of (item id, word hashes)."""
+        self.ids = sorted({x for x, _ in pieces if x is not None})
+        number = {x: k for k, x in enumerate(self.ids)} | {None: len(self.ids)}
+        self.vocabulary = np.unique(np.concatenate([np.zeros(0, U64), *(h for _, h in pieces)]))
+        coded = [(number[x], np.searchsorted(self.vocabulary, h)) for x, h in pieces if len(h)]
+        self.shortest = min((min(len(s), window) for _, s in coded), default=window)
+        self.pairs = np.unique(np.concatenate([np.zeros(0, np.int64), *(s[:-1] * len(self.vocabulary) + s[1:] for _, s in coded)]))
+        self.automaton = SuffixAutomaton([(x, s.tolist()) for x, s in coded], window)
+
+    def hits(self, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(start word, size) of all matches in a block, (document, item number) without repeats."""
+        none = np.zeros(0, np.int64)
         if not len(self.vocabulary) or not len(hashes):
-            return
+            return none, none, none, none
         at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
         known = self.vocabulary[at] == hashes
         doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        joined = known[:-1] & known[1:] & (doc[:-1] == doc[1:])
+        inside = known
         if self.shortest >= 2:
-            joined = known[:-1] & known[1:] & (doc[:-1] == doc[1:])
             pair = at[:-1][joined] * len(self.vocabulary) + at[1:][joined]
             joined[joined] = np.isin(pair, self.pairs) if len(self.pairs) else False
             inside = np.zeros(len(hashes), bool)
             inside[:-1] |= joined
             inside[1:] |= joined
-        else:
-            joined, inside = known[:-1] & known[1:] & (doc[:-1] == doc[1:]), known
         places = np.flatnonzero(inside)
         if not len(places):
-            return
+            return none, none, none, none
         # a run ends where the next token is not joined to this one
         cut = np.flatnonzero(~joined[places[:-1]] | (np.diff(places) > 1)) + 1
         bounds = np.concatenate([[0], cut, [len(places)]])
-        for k in np.flatnonzero(np.diff(bounds) >= self.shortest):
-            begin = int(places[bounds[k]])
-            run = at[begin : begin + int(bounds[k + 1] - bounds[k])].tolist()
-            for end, size, items in self.automaton.matches(run):
-                yield int(doc[begin]), begin + end - size, begin + end, items
+        run = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+        places = places[(np.diff(bounds) >= self.shortest)[run]]
+        run = run[(np.diff(bounds) >= self.shortest)[run]]
+        begin = np.append(np.flatnonzero(np.diff(run, prepend=-1)), len(run))
+        starts, sizes, owners = [none], [none], [np.zeros((0, 2), np.int64)]
+        for end, size, key, lists in self.automaton.matches(at[places], begin):
+            last = places[end - 1]
+            starts.append(last + 1 - size)
+            sizes.append(size)
+            own = np.unique(np.stack([doc[last], key], axis=1), axis=0)
+            which, item = _listed(lists, own[:, 1])
+            owners.append(np.stack([own[which, 0], item], axis=1))
+        owned = np.unique(np.concatenate(owners), axis=0)
+        owned = owned[owned[:, 1] < len(self.ids)]
+        return np.concatenate(starts), np.concatenate(sizes), owned[:, 0], owned[:, 1]
+
+
+def indexes(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(block, index): the pickled index of each block of items, built by a task."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
+    words = items.agg(F.sum(F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")))).first()[0] or 0
+    n = -(-words * 5 // (4 * block_words)) if words > block_words else 1
+    piece = max(window, block_words // 8)
+
+    def cut(batches):
+        for batch in batches:
+            ids, out = batch.column("item_id"), {"item_id": [], "part": [], "words": []}
+            for b in blocks(batch.column("text")):
+                h, w = _tokens(b)
+                for i, (s, e) in enumerate(pairwise(w.first.tolist())):
+                    for part, at in enumerate(range(s, max(e - window + 1, s + 1), piece)):
+                        out["item_id"].append(ids[b.first_row + i].as_py())
+                        out["part"].append(part)
+                        out["words"].append(h[at : min(at + piece + window - 1, e)].tobytes())
+            yield pa.RecordBatch.from_pydict({"item_id": pa.array(out["item_id"], pa.string()), "part": pa.array(out["part"], pa.int32()), "words": pa.array(out["words"], pa.binary())})
+
+    def build(rows: pa.Table) -> pa.Table:
+        pieces = sorted(zip(rows["item_id"].to_pylist(), rows["words"].to_pylist(), strict=True), key=lambda x: (x[0] is None, x))
+        index = Index([(x, np.frombuffer(h, U64)) for x, h in pieces], window)
+        return pa.table({"block": rows["block"][:1], "index": pa.array([pickle.dumps(index)], pa.binary())})
+
+    pieces = items.mapInArrow(cut, "item_id string, part int, words binary").filter(F.octet_length("words") > 0)
+    keyed = pieces.withColumn("block", F.pmod(F.xxhash64("item_id", "part", "words"), F.lit(n)).cast("int"))
+    return keyed.groupBy("block").applyInArrow(build, "block int, index binary")
 
 
 def _tokens(block: Block):
@@ -185,7 +280,7 @@ def _mark(index, again: bool, cut: bool):
     """A mapInArrow function: one block of items over batches of documents."""
 
     def run(batches):
-        idx: Index = index.value
+        held: list[Index] = [pickle.loads(x) for x in index.value]
         for batch in batches:
             n = batch.num_rows
             counts = np.zeros(n, np.int64)
@@ -195,13 +290,15 @@ def _mark(index, again: bool, cut: bool):
             for b in blocks(batch.column("text")):
                 hashes, w = _tokens(b)
                 counts[b.first_row : b.first_row + b.n] = w.counts
-                found: dict[int, set[int]] = {}
-                starts, sizes = [], []
-                for doc, start, end, own in idx.hits(hashes, w.first):
-                    starts.append(start)
-                    sizes.append(end - start)
-                    found.setdefault(doc, set()).update(own)
-                rows = set(found)
+                found: dict[int, set[str]] = {}
+                starts, sizes, rows = [], [], set()
+                for idx in held:
+                    start, size, doc, item = idx.hits(hashes, w.first)
+                    starts += start.tolist()
+                    sizes += size.tolist()
+                    rows.update(np.unique(np.searchsorted(w.first, start, side="right") - 1).tolist())
+                    for d, x in zip(doc.tolist(), item.tolist(), strict=True):
+                        found.setdefault(d, set()).add(idx.ids[x])
                 if again:
                     for i in range(b.n):
                         r = b.first_row + i
@@ -215,8 +312,7 @@ def _mark(index, again: bool, cut: bool):
                 for i in sorted(rows):
                     r = b.first_row + i
                     s, e = spans[r] = _spans(hit, w.first, i)
-                    listed = {str(idx.ids[k]) for k in found.get(i, ()) if idx.ids[k] is not None}
-                    items[r] = sorted(listed.union(batch.column("items")[r].as_py() if again else ()))
+                    items[r] = sorted(found.get(i, set()).union(batch.column("items")[r].as_py() if again else ()))
                     if cut and len(s):
                         texts[r] = _without(b.raw(i), w, int(w.first[i]), int(b.offsets[i]), s, e)
             out = {name: batch.column(name) for name in batch.schema.names if name not in dict(_FIELDS)}
@@ -242,22 +338,20 @@ def _without(raw: bytes, w, first: int, base: int, starts, ends) -> str:
     return b"".join([*parts, raw[at:]]).decode("utf-8")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cut: bool = False, block_bytes: int = BLOCK_TEXT_BYTES) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cut: bool = False, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` (with text) plus n_words, span_start, span_end (words) and items.
 
     ``cut`` adds clean_text, the text without its spans.
     """
     spark = docs.sparkSession
-    wanted = benchmark.select("item_id", "text")
-    size = text_bytes(wanted)
-    n = max(1, -(-size * 2 // block_bytes)) if size > block_bytes else 1
-    keyed = wanted.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)))
+    built = checkpointed(indexes(benchmark, window, block_words))
+    numbers = sorted(r["block"] for r in built.select("block").collect())
     out = docs.drop(*dict(_FIELDS), "clean_text")
-    for k in range(n):
-        rows = [(r["item_id"], r["text"]) for r in keyed.filter(F.col("block") == k).select("item_id", "text").collect()]
+    for k in range(0, max(len(numbers), 1), BLOCKS_A_PASS):
+        rows = built.filter(F.col("block").isin(numbers[k : k + BLOCKS_A_PASS])).orderBy("block").collect()
         fields = [f for f in out.schema.fields if f.name not in {*dict(_FIELDS), "clean_text"}]
         fields += [T.StructField("clean_text", T.StringType())] * cut + [T.StructField(a, b) for a, b in _FIELDS]
-        index = spark.sparkContext.broadcast(Index(rows, window))
+        index = spark.sparkContext.broadcast([bytes(r["index"]) for r in rows])
         out = out.drop("clean_text").mapInArrow(_mark(index, k > 0, cut), T.StructType(fields))
     return out
 
