@@ -1,11 +1,16 @@
 """Registered queries of this subpackage and their oracle SQL.
 
 Operators 3, 6 and 8 can be put in SQL whole.  The others use hashes, models or
-byte n-grams that DuckDB has not; the tests hold them against brute force.
+byte n-grams that DuckDB has not; the tests hold them against brute force.  Of
+operators 1, 2, 7 and 9 the parts without a model are queries of their own, which
+select from the operator's result and have SQL.
 """
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
 from . import crf, decontaminate, langmodel, linedup, mixing, quality_rules, secrets, simhash, substring, urlfilter
 
 QUERIES = {
@@ -21,7 +26,62 @@ QUERIES = {
     "op10_quality_classifier": crf.op10_quality_classifier,
 }
 
+
+
+def secret_spans_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.op1_secret_scans(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
+
+
+def quality_rules_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules.op2_quality_rules(spark, sf_dir)
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = urlfilter.op7_url_filters(spark, sf_dir)
+    return out.select("page_id", "host", "path", "rule", F.when(F.col("rule").isNotNull(), F.col("verdict")).alias("rule_verdict"))
+
+
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.op9_mix_sources(spark, sf_dir)
+    return out.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), (F.col("taken") <= 3 * F.col("size")).alias("in_bounds"))
+
+
+QUERIES |= {f.__name__: f for f in (secret_spans_base, quality_rules_base, url_rules, mix_targets)}
+
+_ASSIGN = secrets.BASE[0][1].replace("'", "''")
 ORACLE_SQL: dict[str, str] = {
+    "secret_spans_base": rf"""
+with d as (select row_number() over () as rid, doc_id, coalesce(text, '') as t from documents),
+  m as (select rid, 0 as kind_no, 'assign' as kind, 12 as least, regexp_extract_all(t, '{_ASSIGN}') as w, regexp_extract_all(t, '{_ASSIGN}', 2) as g, regexp_split_to_array(t, '{_ASSIGN}') as b from d
+    union all select rid, 1, 'access', 18, regexp_extract_all(t, 'AKIA[A-Z0-9]+'), regexp_extract_all(t, 'AKIA[A-Z0-9]+'), regexp_split_to_array(t, 'AKIA[A-Z0-9]+') from d
+    union all select rid, 2, 'hex', 16, regexp_extract_all(t, '[0-9a-f]+'), regexp_extract_all(t, '[0-9a-f]+'), regexp_split_to_array(t, '[0-9a-f]+') from d),
+  s as (select rid, kind_no, kind, unnest(list_filter(range(1, len(w) + 1), lambda i: length(g[i]) >= least)) as i, w, b from m),
+  x as (select rid, kind_no, kind, length(array_to_string(b[1:i], '')) + length(array_to_string(w[1:i - 1], '')) as a, length(w[i]) as n from s),
+  o as (select rid, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access, count(*) filter (kind = 'hex') as n_hex, string_agg(kind || ':' || a || ':' || (a + n), ',' order by a, kind_no) as spans from x group by rid)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex, sha256(coalesce(spans, '')) as base_sha256 from d left join o using (rid)""",
+    "quality_rules_base": r"""
+with d as (select row_number() over () as rid, doc_id, coalesce(text, '') as t from documents),
+  w as (select *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as l from d),
+  k as (select rid, i, array_to_string(w[i:i + 2], ' ') as g from (select rid, w, unnest(range(1, len(w) - 1)) as i from w where len(w) >= 3)),
+  c as (select rid, i, count(*) over (partition by rid, g) as n from k),
+  r as (select rid, count(distinct p) as n from (select rid, unnest(range(i, i + 3)) as p from c where n > 1) group by rid)
+select doc_id, cast(len(w) as bigint) as n_words, cast(length(array_to_string(w, '')) as bigint) as word_chars, cast(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+  cast(len(l) - len(list_distinct(l)) as bigint) as n_dup_lines, cast(coalesce(r.n, 0) as bigint) as n_repeat_words, len(w) < 50 or 100 * coalesce(r.n, 0) > 50 * len(w) as base_failed from w left join r using (rid)""",
+    "url_rules": r"""
+with u as (select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest from pages),
+  m as (select page_id, regexp_extract(rest, '^([^?#]*)', 1) as m from u),
+  h as (select page_id, translate(split_part(m, '/', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, substr(m, length(split_part(m, '/', 1)) + 1) as path from m),
+  r as (select *, case when starts_with(path, '/en/7') and ends_with('.' || host, '.example.com') then 'example.com/en/7' when starts_with(path, '/de/8') and ends_with('.' || host, '.example.net') then 'example.net/de/8'
+    when starts_with(path, '/en/') and ends_with('.' || host, '.com') then 'com/en/' when starts_with(path, '/de/') and ends_with('.' || host, '.net') then 'net/de/' when starts_with(path, '/es/') and ends_with('.' || host, '.org') then 'org/es/' end as rule from h)
+select page_id, host, path, rule, case when rule in ('example.com/en/7', 'example.net/de/8') then 'allow' when rule is not null then 'block' end as rule_verdict from r""",
+    "mix_targets": r"""
+with d as (select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size from documents),
+  p as (select source, sum(size) as s, row_number() over (order by source nulls last) as k from d group by source),
+  q as (select *, [5.0, 2.0, 1.0][cast((k - 1) % 3 + 1 as int)] as w from p),
+  l as (select a.k, 3.0 * a.s / a.w as full_at, (sum(b.s) - sum(case when 3.0 * b.s / b.w < 3.0 * a.s / a.w then 3.0 * b.s else 0 end)) / sum(case when 3.0 * b.s / b.w >= 3.0 * a.s / a.w then b.w else 0 end) as level from q a, q b group by a.k, a.s, a.w),
+  v as (select min_by(level, full_at) as level from l where level <= full_at)
+select doc_id, size, cast(s as bigint) as source_size, round(cast(least(3.0 * s, level * w) as double), 3) as target, true as in_bounds from d join q on d.source is not distinct from q.source, v""",
     "op3_substring_dedup": r"""
 with d as (select row_number() over () as rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
   s as (select rid, doc_id, unnest(range(1, len(w) - 48)) as i, w from d where len(w) >= 50),
