@@ -119,9 +119,13 @@ def offer(chunk: int, keys: np.ndarray, several: np.ndarray, bits: int, width: i
 def shared(rows: pa.Table) -> pa.Table:
     """Which offered keys of each row come from another row, too, or are marked."""
     keys, several, origin = received(rows)
-    _, at, times = np.unique(keys, return_inverse=True, return_counts=True)
-    marked = np.bincount(at, weights=several) > 0
-    return answered(rows, origin, ((times > 1) | marked)[at], bits_of)
+    order = np.argsort(keys)
+    same = np.concatenate([[False], keys[order][1:] == keys[order][:-1], [False]])
+    twice = np.empty(len(keys), bool)
+    twice[order] = same[1:] | same[:-1]
+    if several.any():
+        twice |= np.isin(keys, keys[several > 0])
+    return answered(rows, origin, twice, bits_of)
 
 
 def sums(rows: pa.Table) -> pa.Table:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .clusterio import dealt, lean, lean_pair, read, text_bytes, unpacked
+from .clusterio import checkpointed, dealt, lean, lean_pair, read, text_bytes, unpacked
 from .exchange import ANSWER, SCHEMA, bucket_bits, flags_for, offer, offer_bits, received, send, shared, sums, values_for
 from .textcore import LOWER, U64, Block, blocks, mix, slice_hashes, words_of
 from .trie import Trie
@@ -63,46 +63,6 @@ def block_tokens(b: Block) -> tuple[np.ndarray, np.ndarray]:
     return tokens, first
 
 
-def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys and the sums of their counts."""
-    order = np.argsort(keys)
-    keys, counts = keys[order], counts[order]
-    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    return keys[at], (np.add.reduceat(counts, at) if len(at) else counts)
-
-
-def vocabulary_size(docs: DataFrame, bits: int) -> tuple[int, int]:
-    """(N, V): tokens and distinct tokens of the training documents."""
-
-    def count(batches):
-        keys, counts, held = np.zeros(0, U64), np.zeros(0, np.int64), 0
-        waiting: list[np.ndarray] = []
-        for batch in batches:
-            train = batch.column("train").to_numpy(zero_copy_only=False)
-            for b in blocks(batch.column("text")):
-                tokens, first = block_tokens(b)
-                waiting.append(tokens[np.repeat(train[b.first_row : b.first_row + b.n], np.diff(first))])
-                held += len(waiting[-1])
-                if held > 1 << 20:
-                    new, n = np.unique(np.concatenate(waiting), return_counts=True)
-                    keys, counts = _added(np.concatenate([keys, new]), np.concatenate([counts, n]))
-                    waiting, held = [], 0
-                    if len(keys) > 1 << 21:
-                        yield from send(0, keys, counts, bits).to_batches()
-                        keys, counts = keys[:0], counts[:0]
-        new, n = np.unique(np.concatenate(waiting), return_counts=True) if waiting else (keys[:0], counts[:0])
-        keys, counts = _added(np.concatenate([keys, new]), np.concatenate([counts, n]))
-        yield from send(0, keys, counts, bits).to_batches()
-
-    def merge(rows: pa.Table) -> pa.Table:
-        keys, counts, _ = received(rows)
-        return pa.table({"total": pa.array([int(counts.sum())]), "kinds": pa.array([len(np.unique(keys))])})
-
-    rows = docs.select("text", "train").mapInArrow(count, SCHEMA)
-    sums = rows.groupBy("bucket").applyInArrow(merge, "total long, kinds long").agg(F.sum("total"), F.sum("kinds")).first()
-    return sums[0] or 0, sums[1] or 0
-
-
 class Grams:
     """Distinct words, bigrams and trigrams of a chunk, each in trie order."""
 
@@ -116,7 +76,7 @@ class Grams:
             sizes.append(np.diff(first) + 1)
         sequence, size = np.concatenate(parts), np.concatenate(sizes)
         self.first = np.concatenate([[0], np.cumsum(size)])
-        weight = np.repeat(train, size).astype(np.int64)
+        weight = None if train.all() else np.repeat(train, size)
         place = np.arange(len(sequence)) - np.repeat(self.first[:-1], size)
         self.names, at = np.unique(sequence, return_inverse=True)
         self.at = [at]
@@ -130,7 +90,7 @@ class Grams:
             numbers = np.full(len(sequence), -1)
             numbers[ends] = inverse
             self.at.append(numbers)
-            self.counts.append(self._counted(inverse, weight[ends], len(own)))
+            self.counts.append(self._counted(inverse, weight if weight is None else weight[ends], len(own)))
             self.parent.append(own // len(self.names))
             self.word.append(own % len(self.names))
             above = self.hash[-1] if self.hash else self.names
@@ -143,8 +103,8 @@ class Grams:
         self.shorter[self.at[2][ends]] = self.at[1][ends]
 
     @staticmethod
-    def _counted(at: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
-        return np.bincount(at, weights=weight, minlength=n).astype(np.int64)
+    def _counted(at: np.ndarray, train: np.ndarray | None, n: int) -> np.ndarray:
+        return np.bincount(at if train is None else at[train], minlength=n)
 
     def offered(self, k: int, wide: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """N-grams of an order by their hash, the distinct cut hashes, and which begin one."""
@@ -160,13 +120,17 @@ class Grams:
 
 
 def _offer(bits: int, wide: int):
-    def run(chunk: pa.Table) -> pa.Table:
-        g, number = Grams(chunk), chunk["chunk"][0].as_py()
-        out = [send(number, g.names, g.counts[0], bits)]
-        for k in (0, 1):
-            _, keys, _ = g.offered(k, wide)
-            out.append(offer(number, keys, np.zeros(len(keys)), bits, wide, base=OFFERED[k] << bits))
-        return pa.concat_tables(out)
+    """A mapInArrow function over packed chunks."""
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                chunk = pa.Table.from_batches([batch.slice(i, 1)])
+                g, number = Grams(chunk), chunk["chunk"][0].as_py()
+                yield from send(number, g.names, g.counts[0], bits).to_batches()
+                for k in (0, 1):
+                    _, keys, _ = g.offered(k, wide)
+                    yield from offer(number, keys, np.zeros(len(keys)), bits, wide, base=OFFERED[k] << bits).to_batches()
 
     return run
 
@@ -185,9 +149,21 @@ def _count(bits: int, wide: int):
     return run
 
 
+_KNOWN = ANSWER + ", total long, kinds long"
+
+
 def _answer(bits: int):
+    """Answers to words and offers; of words, also how many there are in training."""
+
     def run(rows: pa.Table) -> pa.Table:
-        return shared(rows) if rows["bucket"][0].as_py() >> bits in OFFERED else sums(rows)
+        words = rows["bucket"][0].as_py() >> bits == WORDS
+        out = sums(rows) if words else shared(rows)
+        total, kinds = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
+        if words:
+            keys, counts, _ = received(rows)
+            counts[keys == START] = 0
+            total[0], kinds[0] = counts.sum(), len(np.unique(keys[counts > 0]))
+        return out.append_column("total", pa.array(total)).append_column("kinds", pa.array(kinds))
 
     return run
 
@@ -266,13 +242,12 @@ def lm_scores(docs: DataFrame, mu: tuple[float, float] = (MU_2, MU_3)) -> DataFr
     size = text_bytes(docs)
     grams = size // BYTES_A_WORD
     bits, wide = bucket_bits(grams), offer_bits(grams)
-    docs = docs.select("doc_id", "text", (~is_held_out()).alias("train"))
-    total, kinds = vocabulary_size(docs, bits)
-    base = dealt(docs)
-    offered = base.groupBy("chunk").applyInArrow(lean(_offer(bits, wide)), SCHEMA)
-    known = offered.groupBy("bucket").applyInArrow(lean(_answer(bits)), ANSWER)
+    base = dealt(docs.select("doc_id", "text", (~is_held_out()).alias("train")))
+    known = checkpointed(base.mapInArrow(_offer(bits, wide), SCHEMA).groupBy("bucket").applyInArrow(lean(_answer(bits)), _KNOWN))
+    total, kinds = (x or 0 for x in known.agg(F.sum("total"), F.sum("kinds")).first())
+    known = known.drop("total", "kinds")
     asked = base.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(lean_pair(_count(bits, wide)), SCHEMA)
-    counted = asked.groupBy("bucket").applyInArrow(lean(_answer(bits)), ANSWER)
+    counted = asked.groupBy("bucket").applyInArrow(lean(sums), ANSWER)
     schema = "doc_id long, n_tokens long, n_known long, base_score double, score double"
     answers = known.union(counted).groupBy("chunk")
     out = base.groupBy("chunk").cogroup(answers).applyInArrow(lean_pair(_score(bits, wide, total, kinds, mu)), schema)
