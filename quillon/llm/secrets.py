@@ -28,8 +28,9 @@ SCOPE = 200
 #: Fixed patterns of the base: name, pattern, group that is measured, least length.
 BASE = [
     ("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
-    ("access", r"AKIA[A-Z0-9]+", 0, 18),
-    ("hex", r"[0-9a-f]+", 0, 16),
+    # of AKIA[A-Z0-9]+ with 18 and [0-9a-f]+ with 16 characters: a run that is too short holds no long one
+    ("access", r"AKIA[A-Z0-9]{14,}", 0, 18),
+    ("hex", r"[0-9a-f]{16,}", 0, 16),
 ]
 #: Weak candidates: name, pattern, measured group, least length.
 WEAK = [
@@ -75,14 +76,18 @@ def spans(text: Column, kind: str, pattern: str, group: int, least: int) -> Colu
         own = F.array(F.struct(start.alias("start"), F.lit(number).alias("kind"), end.alias("end")))
         return F.struct(end.alias("at"), F.when(x["g"] >= least, F.concat(acc["found"], own)).otherwise(acc["found"]).alias("found"))
 
-    def run(acc, first):
-        inner = F.aggregate(F.slice(parts, first, RUN), F.struct(acc["at"].alias("at"), empty.alias("found")), step)
-        return F.struct(inner["at"].alias("at"), F.concat(acc["runs"], F.array(inner["found"])).alias("runs"))
+    def folded(parts):
+        def run(acc, first):
+            inner = F.aggregate(F.slice(parts, first, RUN), F.struct(acc["at"].alias("at"), empty.alias("found")), step)
+            return F.struct(inner["at"].alias("at"), F.concat(acc["runs"], F.array(inner["found"])).alias("runs"))
+
+        return F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(parts), F.lit(1)), F.lit(RUN)), begin, run, lambda acc: F.flatten(acc["runs"]))
 
     # positions are running sums; run by run, so that a text of many matches copies no long array at each
     empty = F.array().cast(f"array<{_SPAN}>")
     begin = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{_SPAN}>>").alias("runs"))
-    found = F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(parts), F.lit(1)), F.lit(RUN)), begin, run, lambda acc: F.flatten(acc["runs"]))
+    # an array of one, so that the matches are found once and not for every run
+    found = F.element_at(F.transform(F.array(parts), folded), 1)
     hit = F.rlike(text, F.lit(_HINT[kind])) & F.rlike(text, F.lit(pattern))
     return F.when(hit, found).otherwise(empty)
 
