@@ -85,7 +85,7 @@ def chunk_count(total_bytes: int, chunk_bytes: int = CHUNK_BYTES) -> int:
     return max(MIN_CHUNKS, -(-total_bytes // chunk_bytes))
 
 
-def dealt(docs: DataFrame, text: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def dealt(docs: DataFrame, text: str = "text", chunk_bytes: int = CHUNK_BYTES, work: Callable | None = None, schema: str = "chunk long, rows binary") -> DataFrame:
     """(chunk, rows): runs of rows with about ``chunk_bytes`` of text, packed.
 
     Chunks are cut as the rows come, so none depends on a value that many rows
@@ -93,21 +93,22 @@ def dealt(docs: DataFrame, text: str = "text", chunk_bytes: int = CHUNK_BYTES) -
     chunk of its own.  A chunk's number is its partition's and its own there.
     What is asked of a chunk must fit what it is told later: rows have to come in
     the same order when they are read again (a table or a checkpoint does so).
+
+    ``work`` (number, rows) -> batches of ``schema`` takes the place of packing;
+    it runs where the chunk is cut and gives its memory back after each.
     """
 
-    def deal(batches):
-        held, size, number = [], 0, 0
-        part = TaskContext.get().partitionId()
-
-        def packed():
-            sink = pa.BufferOutputStream()
-            options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=1))
-            with pa.ipc.new_stream(sink, held[0].schema, options=options) as out:
-                for x in held:
-                    out.write_batch(x)
-            chunk = pa.array([(part << 32) | number], pa.int64())
-            return pa.RecordBatch.from_pydict({"chunk": chunk, "rows": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
+    def packed(number: int, rows: pa.Table):
+        sink = pa.BufferOutputStream()
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=1))
+        with pa.ipc.new_stream(sink, rows.schema, options=options) as out:
+            out.write_table(rows)
+        yield pa.RecordBatch.from_pydict({"chunk": pa.array([number], pa.int64()), "rows": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
 
+    of_chunk = work or packed
+
+    def deal(batches):
+        held, size, number = [], 0, TaskContext.get().partitionId() << 32
         for batch in batches:
             lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0).to_numpy()
             start = 0
@@ -119,12 +120,17 @@ def dealt(docs: DataFrame, text: str = "text", chunk_bytes: int = CHUNK_BYTES) -
                     size = int(total[n - 1])
                     start += n
                 if start < batch.num_rows:
-                    yield packed()
-                    held, size, number = [], 0, number + 1
+                    rows, held, size = pa.Table.from_batches(held), [], 0
+                    yield from of_chunk(number, rows)
+                    number += 1
+                    if work:
+                        _give_back()
         if held:
-            yield packed()
+            yield from of_chunk(number, pa.Table.from_batches(held))
+            if work:
+                _give_back()
 
-    return docs.mapInArrow(deal, "chunk long, rows binary")
+    return docs.mapInArrow(deal, schema)
 
 
 def unpacked(chunk: pa.Table) -> pa.Table:

@@ -66,8 +66,8 @@ def block_tokens(b: Block) -> tuple[np.ndarray, np.ndarray]:
 class Grams:
     """Distinct words, bigrams and trigrams of a chunk, each in trie order."""
 
-    def __init__(self, chunk: pa.Table):
-        self.rows = unpacked(chunk).combine_chunks()
+    def __init__(self, rows: pa.Table):
+        self.rows = rows.combine_chunks()
         train = self.rows["train"].to_numpy(zero_copy_only=False)
         parts, sizes = [], []
         for b in blocks(self.rows["text"]):
@@ -120,17 +120,14 @@ class Grams:
 
 
 def _offer(bits: int, wide: int):
-    """A mapInArrow function over packed chunks."""
-
-    def run(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                chunk = pa.Table.from_batches([batch.slice(i, 1)])
-                g, number = Grams(chunk), chunk["chunk"][0].as_py()
-                yield from send(number, g.names, g.counts[0], bits).to_batches()
-                for k in (0, 1):
-                    _, keys, _ = g.offered(k, wide)
-                    yield from offer(number, keys, np.zeros(len(keys)), bits, wide, base=OFFERED[k] << bits).to_batches()
+    """What a chunk sends where it is cut (see ``dealt``)."""
+
+    def run(number: int, rows: pa.Table):
+        g = Grams(rows)
+        yield from send(number, g.names, g.counts[0], bits).to_batches()
+        for k in (0, 1):
+            _, keys, _ = g.offered(k, wide)
+            yield from offer(number, keys, np.zeros(len(keys)), bits, wide, base=OFFERED[k] << bits).to_batches()
 
     return run
 
@@ -139,7 +136,7 @@ def _count(bits: int, wide: int):
     def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
         if not len(chunk):
             return send(0, np.zeros(0, U64), np.zeros(0, np.int64), bits)
-        g, number = Grams(chunk), chunk["chunk"][0].as_py()
+        g, number = Grams(unpacked(chunk)), chunk["chunk"][0].as_py()
         out = []
         for k in (0, 1):
             own = g.held_elsewhere(k, wide, answers, bits)
@@ -212,7 +209,7 @@ def token_scores(g: Grams, trie: Trie, unknown: float) -> np.ndarray:
 
 def _score(bits: int, wide: int, total: int, kinds: int, mu: tuple[float, float]):
     def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
-        g = Grams(chunk)
+        g = Grams(unpacked(chunk))
         g.counts[0] = values_for(answers, WORDS, bits)
         for k in (0, 1):
             own = g.held_elsewhere(k, wide, answers, bits)
@@ -242,8 +239,9 @@ def lm_scores(docs: DataFrame, mu: tuple[float, float] = (MU_2, MU_3)) -> DataFr
     size = text_bytes(docs)
     grams = size // BYTES_A_WORD
     bits, wide = bucket_bits(grams), offer_bits(grams)
-    base = dealt(docs.select("doc_id", "text", (~is_held_out()).alias("train")))
-    known = checkpointed(base.mapInArrow(_offer(bits, wide), SCHEMA).groupBy("bucket").applyInArrow(lean(_answer(bits)), _KNOWN))
+    docs = docs.select("doc_id", "text", (~is_held_out()).alias("train"))
+    base = dealt(docs)
+    known = checkpointed(dealt(docs, work=_offer(bits, wide), schema=SCHEMA).groupBy("bucket").applyInArrow(lean(_answer(bits)), _KNOWN))
     total, kinds = (x or 0 for x in known.agg(F.sum("total"), F.sum("kinds")).first())
     known = known.drop("total", "kinds")
     asked = base.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(lean_pair(_count(bits, wide)), SCHEMA)
