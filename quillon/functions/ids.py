@@ -21,33 +21,35 @@ def digits(x: Column) -> Column:
     return F.regexp_replace(F.coalesce(x.cast("string"), F.lit("")), "[^0-9]", "")
 
 
-def check_digit(d: Column, weights) -> Column:
-    """Modulo-11 digit over the first ``len(weights)`` digits of ``d``.
+def _bound(x: Column, use) -> Column:
+    """``use`` of the value of ``x``, which is computed once however often it is used."""
+    return F.element_at(F.transform(F.array(x), use), 1)
 
-    ``d`` is cut into an array once, so nesting the call stays small.
-    """
-    each = F.slice(F.split(d, ""), 1, len(weights))
-    products = F.zip_with(each, F.array(*map(F.lit, weights)), lambda x, w: x.try_cast("int") * w)
-    return F.aggregate(products, F.lit(0), lambda a, x: a + x, lambda a: F.when(a % 11 < 2, F.lit(0)).otherwise(11 - a % 11))
+
+def check_digit(d: Column, weights) -> Column:
+    """Modulo-11 digit over the first digits of ``d``, as plain arithmetic; null if it has fewer."""
+    total = sum(((F.ascii(F.substring(d, i, 1)) - 48) * w for i, w in enumerate(weights, 1)), F.lit(0))
+    # 11 less the rest; rests of 0 and 1 give 0
+    return F.when(F.length(d) >= len(weights), (11 - total % 11) % 11 % 10)
 
 
 def _uniform(d: Column) -> Column:
     return d == F.repeat(F.substring(d, 1, 1), F.length(d))
 
 
-def _valid(x: Column, length: int, weights, more) -> Column:
-    d = digits(x)
+def _valid(d: Column, length: int, weights, more) -> Column:
+    """Whether ``d``, digits only, has the length and its two check digits."""
     first = check_digit(d, weights) == F.substring(d, length - 1, 1).try_cast("int")
     second = check_digit(d, more) == F.substring(d, length, 1).try_cast("int")
     return F.coalesce((F.length(d) == length) & ~_uniform(d) & first & second, F.lit(False))
 
 
 def is_valid_company(x: Column) -> Column:
-    return _valid(x, 14, COMPANY_WEIGHTS, (6, *COMPANY_WEIGHTS))
+    return _bound(digits(x), lambda d: _valid(d, 14, COMPANY_WEIGHTS, (6, *COMPANY_WEIGHTS)))
 
 
 def is_valid_person(x: Column) -> Column:
-    return _valid(x, 11, PERSON_WEIGHTS, (11, *PERSON_WEIGHTS))
+    return _bound(digits(x), lambda d: _valid(d, 11, PERSON_WEIGHTS, (11, *PERSON_WEIGHTS)))
 
 
 def root(x: Column) -> Column:
@@ -56,10 +58,9 @@ def root(x: Column) -> Column:
 
 def with_check_digits(base12: Column) -> Column:
     """A 12-digit base with its two check digits; '' for a shorter base."""
-    d = F.substring(digits(base12), 1, 12)
-    one = F.concat(d, check_digit(d, COMPANY_WEIGHTS).cast("string"))
-    two = F.concat(one, check_digit(one, (6, *COMPANY_WEIGHTS)).cast("string"))
-    return F.when(F.length(d) == 12, two).otherwise(F.lit(""))
+    more = lambda weights: lambda d: F.concat(d, check_digit(d, weights).cast("string"))
+    two = _bound(_bound(F.substring(digits(base12), 1, 12), more(COMPANY_WEIGHTS)), more((6, *COMPANY_WEIGHTS)))
+    return F.coalesce(two, F.lit(""))
 
 
 def head_office(root8: Column) -> Column:
@@ -99,7 +100,7 @@ def single_digit_repairs(x: Column) -> Column:
         return F.transform(F.filter(F.sequence(F.lit(0), F.lit(9)), lambda c: c.cast("string") != F.substring(d, i, F.lit(1))), put)
 
     every = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(14)), at))
-    good = F.array_sort(F.array_distinct(F.filter(every, is_valid_company)))
+    good = F.array_sort(F.array_distinct(F.filter(every, lambda n: _valid(n, 14, COMPANY_WEIGHTS, (6, *COMPANY_WEIGHTS)))))
     return F.when(F.length(d) == 14, good).otherwise(F.array().cast("array<string>"))
 
 

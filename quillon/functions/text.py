@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -77,25 +78,70 @@ def blanked(text: Column, noise: str) -> Column:
     return F.array_join(F.transform(lines, lambda s: F.when(s.rlike(noise), F.repeat(F.lit(" "), F.length(s))).otherwise(s)), "\n")
 
 
+def common_length(a: str, b: str) -> int:
+    """Length of the longest common subsequence, one machine-word step per letter of ``b``."""
+    places: dict[str, int] = {}
+    for i, c in enumerate(a):
+        places[c] = places.get(c, 0) | 1 << i
+    free = full = (1 << len(a)) - 1
+    for c in b:
+        met = free & places.get(c, 0)
+        free = ((free + met) | (free - met)) & full
+    return len(a) - free.bit_count()
+
+
+def likeness(a: str, b: str) -> float:
+    """0 to 100: how much of both texts insertions and deletions leave standing."""
+    size = len(a) + len(b)
+    return 200.0 * common_length(a, b) / size if size else 100.0
+
+
+def token_set_likeness(a: str, b: str) -> float:
+    """Likeness of two names' word sets: the best of what both share against each
+    side, and of the sides; 100 where one set holds the other."""
+    one, two = set(a.split()), set(b.split())
+    if not one or not two:
+        return 0.0
+    if one <= two or two <= one:
+        return 100.0
+    join = lambda words: " ".join(sorted(words))
+    both = join(one & two)
+    left, right = (f"{both} {join(x)}".strip() for x in (one - two, two - one))
+    return max([likeness(left, right)] + ([likeness(both, left), likeness(both, right)] if both else []))
+
+
+def partial_likeness(a: str, b: str) -> float:
+    """Likeness of the shorter text to the best stretch of the longer one, cut-off
+    stretches at both ends included."""
+    short, long = sorted((a, b), key=len)
+    n = len(short)
+    if not n:
+        return 100.0 if not long else 0.0
+    stretches = {long[max(i, 0) : i + n] for i in range(1 - n, len(long))}
+    best = max(likeness(short, x) for x in stretches)
+    if n == len(long):
+        best = max(best, *(likeness(long, short[max(i, 0) : i + n]) for i in range(1 - n, n)))
+    return best
+
+
+def _scored(score):
+    """An Arrow-batched function of two string columns; nulls are empty texts."""
+
+    @F.pandas_udf("double")
+    def run(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([round(score(x or "", y or ""), 4) for x, y in zip(a, b, strict=True)])
+
+    return run
+
+
 def token_set_ratio(a: Column, b: Column) -> Column:
-    """0-100 likeness of two names' token sets, by edit distance.
-
-    The shared tokens are compared with each side's whole set, and the two sides
-    with each other; the best of the three counts.  Where one set holds the
-    other the result is 100.
-    """
-    sorted_set = lambda c: F.array_sort(F.array_distinct(F.filter(F.split(norm(c), " "), lambda t: t != "")))
-    sa, sb = sorted_set(a), sorted_set(b)
-    both = F.array_join(F.array_intersect(sa, sb), " ")
-    join = lambda rest: F.trim(F.concat_ws(" ", both, F.array_join(rest, " ")))
-    one, two = join(F.array_except(sa, sb)), join(F.array_except(sb, sa))
-
-    def ratio(x, y):
-        size = F.length(x) + F.length(y)
-        return F.when(size == 0, F.lit(0.0)).otherwise(100.0 * (1 - F.levenshtein(x, y) / F.greatest(F.length(x), F.length(y))))
-
-    best = F.greatest(ratio(one, two), F.when(both != "", F.greatest(ratio(both, one), ratio(both, two))).otherwise(F.lit(0.0)))
-    return F.round(best, 4)
+    """0-100 likeness of two names' word sets (see ``token_set_likeness``)."""
+    return _scored(token_set_likeness)(norm(a), norm(b))
+
+
+def partial_ratio(a: Column, b: Column) -> Column:
+    """0-100 likeness of the shorter to a stretch of the longer (see ``partial_likeness``)."""
+    return _scored(partial_likeness)(a, b)
 
 
 def html_text(x: Column) -> Column:

@@ -45,8 +45,12 @@ def best_documents(documents: DataFrame) -> DataFrame:
 
 def tradeable(claims: DataFrame) -> DataFrame:
     """Class III claims in BRL with a value, a valid company id and no bad flag."""
+    return claims.filter(_open()).filter(is_valid_company(F.col("document_number")))
+
+
+def _open() -> Column:
     bad = F.arrays_overlap("flags", F.array(*map(F.lit, BAD_FLAGS))) | F.exists("flags", lambda f: f.startswith("SECTION_"))
-    return claims.filter((F.col("class") == "III") & (F.col("currency") == "BRL") & F.col("value_brl").isNotNull() & ~bad & is_valid_company(F.col("document_number")))
+    return (F.col("class") == "III") & (F.col("currency") == "BRL") & F.col("value_brl").isNotNull() & ~bad
 
 
 def exact_distinct(claims: DataFrame) -> DataFrame:
@@ -78,7 +82,9 @@ def band_of(face: Column) -> Column:
 def targets(claims: DataFrame, documents: DataFrame) -> DataFrame:
     """The target mart: best document per case, rolled up and banded."""
     best = best_documents(usable_documents(documents)).select("doc_id", "case_key", "case_number", "status")
-    rolled = rollup_by_root(exact_distinct(tradeable(claims).join(best.select("doc_id"), "doc_id", "left_semi")))
+    # the columns that the rollup needs, of the documents that count, before anything costly
+    open_claims = claims.filter(_open()).select("doc_id", "document_number", "value_brl", "class", "currency", "claim_id", "creditor_name", "flags")
+    rolled = rollup_by_root(exact_distinct(tradeable(open_claims.join(best.select("doc_id"), "doc_id", "left_semi")).drop("currency")))
     out = rolled.withColumn("band", band_of(F.col("face"))).filter(F.col("band").isNotNull()).join(best, "doc_id")
     more = F.array_compact(
         F.array(
@@ -140,9 +146,10 @@ def reconcile(rows: DataFrame, printed: DataFrame, documents: DataFrame) -> Data
         F.count_if(~F.col("pass")).alias("n_failed"),
         F.bool_and(F.when(F.col("unit") == "III/BRL", F.col("pass"))).alias("class3_pass"),
     )
-    has3 = extracted.filter("unit = 'III/BRL'").select("doc_id").distinct().withColumn("has3", F.lit(True))
-    any_rows = rows.groupBy("doc_id").agg(F.count_if(F.col("value_brl").isNotNull()).alias("n_valued"))
-    out = documents.select("doc_id").join(verdict, "doc_id", "left").join(has3, "doc_id", "left").join(any_rows, "doc_id", "left")
+    claim = ~F.array_contains("flags", "NOT_A_CLAIM")
+    class3 = (F.col("class") == "III") & (F.coalesce("currency", F.lit("BRL")) == "BRL")
+    facts = rows.groupBy("doc_id").agg(F.count("value_brl").alias("n_valued"), F.max(F.when(claim & class3, F.lit(True))).alias("has3"))
+    out = documents.select("doc_id").join(verdict, "doc_id", "left").join(facts, "doc_id", "left")
     status = cascade([(F.coalesce("n_valued", F.lit(0)) == 0, "NO_ROWS"), (F.col("n_checks").isNull(), "OK_NO_TOTALS"), (F.col("n_failed") > 0, "QUARANTINED")], "OK")
     class3 = cascade([(F.col("class3_pass"), "PASS"), (~F.col("class3_pass"), "FAIL"), (F.col("has3"), "NO_TOTAL")], "NO_ROWS")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)

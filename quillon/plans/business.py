@@ -63,12 +63,12 @@ def target_banding(d: Domain):
     full = ids.with_check_digits(F.col("base12"))
     number = F.when(F.col("row_index") % 10 == 0, F.substring("base12", 1, 11)).otherwise(full)
     c = c.withColumn("document_number", number).withColumn("claim_id", F.xxhash64("page", "row_index", "seen_on", "value_brl"))
-    c = _flagged(c).withColumn("creditor_name", F.col("root")).withColumn("flags", F.filter("flags", lambda f: f != "CHECKED"))
     # six times the value, so that both bands occur on the driver's prices
-    distinct = claims.exact_distinct(claims.tradeable(c)).withColumn("value_brl", (F.col("value_brl") * 6).cast("decimal(18,2)"))
-    n = c.groupBy("doc_id").agg(F.count("*").alias("n_rows"))
+    c = _flagged(c).withColumn("creditor_name", F.col("root")).withColumn("flags", F.filter("flags", lambda f: f != "CHECKED"))
+    c = c.withColumn("value_brl", (F.col("value_brl") * 6).cast("decimal(18,2)"))
+    n = d.view("claims").groupBy("doc_id").agg(F.count("*").alias("n_rows"))
     docs = d.view("docs").join(n, "doc_id", "left").fillna(0, ["n_rows"])
-    out = claims.targets(distinct.withColumn("currency", F.lit("BRL")).withColumn("page", F.lit(1)), docs)
+    out = claims.targets(c, docs)
     return out.select("case_key", "doc_id", "root", "face", "n_claims", F.size("establishments").cast("bigint").alias("n_establishments"), "band", F.array_join("flags", "|").alias("doc_flags"))
 
 

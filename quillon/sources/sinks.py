@@ -36,10 +36,16 @@ def dump_state(spark: SparkSession, tables: dict[str, str], path: str) -> list[s
 
 
 def markdown(parts: dict[str, DataFrame], limit: int = 100) -> str:
-    """A report of small aggregates: a title and a table for each."""
+    """A report of small aggregates: a title and a table for each.
+
+    The driver holds at most ``limit`` rows of a part; a longer one says how many
+    rows it leaves out.
+    """
     out = []
     for title, df in parts.items():
-        rows = df.limit(limit).collect()
+        rows = df.limit(limit + 1).collect()
         out += [f"## {title}", "", "| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns)]
-        out += ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows] + [""]
+        out += ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows[:limit]]
+        out += ["", f"({df.count() - limit} more rows)"] if len(rows) > limit else []
+        out.append("")
     return "\n".join(out)

@@ -4,6 +4,7 @@ from decimal import Decimal
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+import pytest
 from pyspark.sql import functions as F
 
 from quillon.functions import ids, money, phone, text
@@ -114,3 +115,33 @@ def test_kin_and_names(spark):
     assert {r["token"] for r in resolve.frequent_tokens(names, "n").collect()} == {"ALFA", "TEXTIL"}
     assert one(spark, resolve.needs_check(F.lit("Acme do Brasil"), F.lit("BETA TEXTIL")), x="")
     assert not one(spark, resolve.needs_check(F.lit("Beta"), F.lit("BETA TEXTIL")), x="")
+
+
+def test_likeness_by_insertions_and_deletions():
+    import itertools
+    import random
+
+    from quillon.functions import text
+
+    def common(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b):
+                new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+            row = new
+        return row[-1]
+
+    rng = random.Random(3)
+    for _ in range(200):
+        a, b = ("".join(rng.choice("abcd") for _ in range(rng.randrange(70))) for _ in range(2))
+        assert text.common_length(a, b) == common(a, b)
+    assert text.token_set_likeness("ALFA BETA", "BETA ALFA GAMA") == 100
+    assert text.token_set_likeness("ALFA", "") == 0
+    assert text.likeness("abcd", "bcde") == 75
+    assert text.token_set_likeness("X ABCD", "X BCDE") == max(200 * common("X ABCD", "X BCDE") / 12, 200 * 1 / 7)
+    for a, b in itertools.product(("abc", "xxabcxx", "axbxc", "", "bc"), repeat=2):
+        short, long = sorted((a, b), key=len)
+        n = len(short)
+        want = max((200 * common(short, long[i:j]) / (n + j - i) for i in range(len(long) + 1) for j in range(i, len(long) + 1) if j - i <= n and (j - i == n or i == 0 or j == len(long)) and n + j - i), default=0.0 if long else 100.0)
+        assert text.partial_likeness(a, b) == pytest.approx(want)
