@@ -13,7 +13,8 @@ uneven documents still misses its target by no more than half of the document at
 the bar.
 
 Sums per cell of the draws (at most ``CELLS`` a source) find the cell of the bar,
-and only the documents of that cell are sorted.  The shared level of the capped
+sums per cell of that cell narrow it down, and only the documents of that one, one
+in a million of the source's, are sorted.  The shared level of the capped
 targets is found by windows over one row per source.
 
 Cases: a null text has size 0; a null source is a source of its own and ranks
@@ -34,7 +35,7 @@ from .clusterio import checkpointed, read, shielded, small_side
 
 WEIGHTS = (5.0, 2.0, 1.0)
 CAP = 3.0
-SEED, CELLS = 20240229, 1 << 16
+SEED, CELLS = 20240229, 1 << 10
 #: Draws are whole multiples of this.
 GRAIN = 1.0 / (1 << 53)
 #: Copies a source with no words gets in the mix.
@@ -91,18 +92,27 @@ def source_plan(sizes: DataFrame) -> DataFrame:
     keyed = lambda df: df.withColumnRenamed("source", "_source")
     targets = checkpointed(source_targets(sizes))
     wanted = keyed(targets.select("source", ((F.col("rate") - whole(F.col("rate"))) * F.col("source_size")).alias("wanted")))
-    cell = F.floor(F.col("draw") * CELLS)
-    cells = sizes.filter("size > 0").groupBy("source", cell.alias("cell")).agg(F.sum("size").alias("words"))
-    so_far = Window.partitionBy("source").orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cells = cells.withColumn("end", F.sum("words").over(so_far))
-    reached = cells.join(small_side(wanted), same(cells, wanted)).filter(F.col("end") >= F.col("wanted"))
-    at = checkpointed(reached.groupBy("_source").agg(F.min("cell").alias("cell"), F.min_by(F.col("end") - F.col("words"), F.col("cell")).alias("before"), F.first("wanted").alias("wanted")))
-    inside = sizes.filter("size > 0").withColumn("own", cell)
-    inside = inside.join(small_side(at), same(inside, at) & (F.col("own") == F.col("cell")))
-    inside = inside.groupBy("_source", "cell", "before", "wanted", "draw").agg(F.sum("size").alias("words"))
+    rows = sizes.filter("size > 0")
+    cell = lambda n: F.floor(F.col("draw") * n)
+
+    def crossed(cells: DataFrame) -> DataFrame:
+        """Of each source the cell in which its words reach the wanted number."""
+        so_far = Window.partitionBy("_source").orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        reached = cells.withColumn("end", F.col("before") + F.sum("words").over(so_far)).filter(F.col("end") >= F.col("wanted"))
+        return checkpointed(reached.groupBy("_source").agg(F.min("cell").alias("cell"), F.min_by(F.col("end") - F.col("words"), F.col("cell")).alias("before"), F.first("wanted").alias("wanted")))
+
+    def inside(at: DataFrame, n: int) -> DataFrame:
+        own = rows.withColumn("_own", cell(n))
+        return own.join(small_side(at), same(own, at) & (own["_own"] == at["cell"])).drop("source")
+
+    first = rows.groupBy("source", cell(CELLS).alias("cell")).agg(F.sum("size").alias("words"))
+    at = crossed(first.join(small_side(wanted), same(first, wanted)).withColumn("before", F.lit(0).cast("long")))
+    second = inside(at, CELLS).drop("cell").groupBy("_source", "before", "wanted", cell(CELLS * CELLS).alias("cell")).agg(F.sum("size").alias("words"))
+    at = crossed(second)
+    last = inside(at, CELLS * CELLS).groupBy("_source", "before", "wanted", "draw").agg(F.sum("size").alias("words"))
     by_draw = Window.partitionBy("_source").orderBy("draw").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    steps = inside.select("_source", F.col("draw").alias("bar"), F.abs(F.col("before") + F.sum("words").over(by_draw) - F.col("wanted")).alias("off"))
-    none = at.select("_source", (F.col("cell") / CELLS - GRAIN).alias("bar"), F.abs(F.col("before") - F.col("wanted")).alias("off"))
+    steps = last.select("_source", F.col("draw").alias("bar"), F.abs(F.col("before") + F.sum("words").over(by_draw) - F.col("wanted")).alias("off"))
+    none = at.select("_source", (F.col("cell") / (CELLS * CELLS) - GRAIN).alias("bar"), F.abs(F.col("before") - F.col("wanted")).alias("off"))
     bars = steps.union(none).groupBy("_source").agg(F.min(F.struct("off", "bar"))["bar"].alias("bar"))
     return targets.join(bars, same(targets, bars), "left").select("source", "source_size", "target", "rate", F.coalesce("bar", F.lit(1.0)).alias("bar"))
 
