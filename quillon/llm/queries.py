@@ -74,7 +74,7 @@ with u as (select page_id, case when strpos(url, '://') > 0 then substr(url, str
   h as (select page_id, translate(split_part(m, '/', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, substr(m, length(split_part(m, '/', 1)) + 1) as path from m),
   r as (select *, case when starts_with(path, '/en/7') and ends_with('.' || host, '.example.com') then 'example.com/en/7' when starts_with(path, '/de/8') and ends_with('.' || host, '.example.net') then 'example.net/de/8'
     when starts_with(path, '/en/') and ends_with('.' || host, '.com') then 'com/en/' when starts_with(path, '/de/') and ends_with('.' || host, '.net') then 'net/de/' when starts_with(path, '/es/') and ends_with('.' || host, '.org') then 'org/es/' end as rule from h)
-select page_id, host, path, rule, case when rule in ('example.com/en/7', 'example.net/de/8') then 'allow' when rule is not null then 'block' end as rule_verdict from r""",
+select page_id, host, path, rule, case when rule = 'example.com/en/7' then 'allow' when rule is not null then 'block' end as rule_verdict from r""",
     "mix_targets": r"""
 with d as (select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size from documents),
   p as (select source, sum(size) as s, row_number() over (order by source nulls last) as k from d group by source),
