@@ -13,6 +13,14 @@ line are its prefix; similar lines share one.  Round one deals prefix tokens to
 shards, where length and positional filters and a parity bitmap of the tokens
 discard pairs, and tells which lines have a partner left (not which pairs).  A
 pair counts only at the first of several tokens that it shares in a row.
+
+A token that more than ``HOT`` lines may hold is no key by itself.  Similar lines
+share ceil(0.8 n) tokens, the first k of them within the first
+n - ceil(0.8 n) + k, so a line deals the hot token together with each token that
+may be the next shared one, and so on while the expected number of lines (counts
+multiplied as if independent) stays above ``HOT``.  ``DEEPEST`` bounds how many
+tokens a line of n words joins to a key; lines up to 5/4 beyond a bound deal both
+forms, as their partners may be on either side of it.
 Round two sends the whole token sets of those lines only, and verifies.  Equal
 sets are joined apart, by their hash; sets of fewer than ``JOINED`` words have no
 other partners.  Nothing but a line's own verdict leaves a
@@ -55,6 +63,10 @@ WIDE = 70
 #: Groups of one token up to this size are joined in blocks of pairs at once.
 SMALL_RUN, VERIFY_RUN, PAIR_BLOCK = 4096, 64, 1 << 20
 BYTES_A_KEY = 36
+#: Lines expected under one key above which the key takes a further token.
+HOT = 1 << 16
+#: Greatest number of words of a line that may join a second, third and fourth token.
+DEEPEST = (40, 20, 10)
 
 
 def overlap(a, b):
@@ -66,22 +78,25 @@ def prefix(n):
     return n - (4 * n + 4) // 5 + 1
 
 
-def token_ranks(docs: DataFrame) -> np.ndarray:
-    """Rank of each hash cell by its count over the whole corpus."""
+def token_ranks(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Rank of each hash cell by its count over the whole corpus; the counts by rank, then the number of lines."""
+    cells = 1 << RANK_BITS
 
     def count(batches):
-        total = np.zeros(1 << RANK_BITS, np.int64)
+        total = np.zeros(cells + 1, np.int64)
         for batch in batches:
             for b in blocks(batch.column("text")):
                 w = words_of(b)
                 h = slice_hashes(b.data, w.starts, w.ends)
-                total += np.bincount((h >> U64(64 - RANK_BITS)).astype(np.int64), minlength=1 << RANK_BITS)
+                total[:cells] += np.bincount((h >> U64(64 - RANK_BITS)).astype(np.int64), minlength=cells)
+                total[cells] += len(b.offsets) - 1 + np.count_nonzero(b.data == 10)
         return total
 
-    counts = summed_vectors(docs.select("text"), count, 1 << RANK_BITS)
-    ranks = np.empty(1 << RANK_BITS, U64)
-    ranks[np.argsort(counts, kind="stable")] = np.arange(1 << RANK_BITS, dtype=U64)
-    return ranks
+    counts = summed_vectors(docs.select("text"), count, cells + 1)
+    order = np.argsort(counts[:cells], kind="stable")
+    ranks = np.empty(cells, U64)
+    ranks[order] = np.arange(cells, dtype=U64)
+    return ranks, np.append(counts[order], counts[cells]).astype(np.float32)
 
 
 def ordered(chunk: pa.Table) -> pa.Table:
@@ -191,8 +206,42 @@ def _spread(token: np.ndarray, bits: int) -> np.ndarray:
     return ((token & U64((1 << HASH_BITS) - 1)) >> U64(HASH_BITS - bits)).astype(np.int64)
 
 
-def _ask_first(ranks, bits: int, least: int = MIN_TOKENS):
-    """Round one: set hashes (shards below 2**bits) and prefix tokens (above)."""
+def _keys(x: Lines, counts: np.ndarray | None, hot: int) -> tuple[np.ndarray, ...]:
+    """Line, place, key and preceding token's hash of each line's prefix keys.
+
+    A key of k tokens stands k - 1 places before its last one: so many of the
+    tokens up to there are shared.
+    """
+    p = np.where(x.n >= JOINED, prefix(x.n), 0)
+    line = np.repeat(np.arange(len(x.n)), p)
+    place = np.arange(int(p.sum())) - np.repeat(np.cumsum(p) - p, p)
+    key = x.flat[x.first[line] + place]
+    before = x.flat[np.maximum(x.first[line] + place - 1, 0)]
+    before = np.where(place > 0, (mix(before) >> U64(32)).astype(np.uint32) | np.uint32(1), np.uint32(0)).astype(np.uint32)
+    if counts is None:
+        return line, place, key, before
+    count = counts[:-1].astype(np.float64)
+    share = np.minimum(count / max(float(counts[-1]), 1.0), 1.0)
+    expected = count[(key >> U64(HASH_BITS)).astype(np.int64)]
+    done = []
+    for depth, most in enumerate(DEEPEST, 1):
+        n = x.n[line]
+        stays = (expected <= hot) | (n > most)
+        goes = np.flatnonzero((expected > hot) & (4 * n <= 5 * most))
+        done.append((line[stays], place[stays] - (depth - 1), key[stays], before[stays]))
+        room = p[line[goes]] + depth - 1 - place[goes]
+        own = np.repeat(goes, room)
+        line, key, before, expected = line[own], key[own], before[own], expected[own]
+        place = place[own] + 1 + np.arange(len(own)) - np.repeat(np.cumsum(room) - room, room)
+        token = x.flat[x.first[line] + place]
+        key = mix(mix(key) ^ token) >> U64(64 - ID_BITS)
+        expected = expected * share[(token >> U64(HASH_BITS)).astype(np.int64)]
+    done.append((line, place - len(DEEPEST), key, before))
+    return tuple(np.concatenate(c) for c in zip(*done, strict=True))
+
+
+def _ask_first(ranks, bits: int, least: int = MIN_TOKENS, counts=None, hot: int = HOT):
+    """Round one: set hashes (shards below 2**bits) and prefix keys (above)."""
 
     def run(chunk: pa.Table) -> pa.Table:
         rows, number = ordered(chunk), chunk["chunk"][0].as_py()
@@ -201,17 +250,12 @@ def _ask_first(ranks, bits: int, least: int = MIN_TOKENS):
         same = send(number, x.sign, ids[x.doc[x.lead]], bits, more=x.check)
         out = {"shard": same["bucket"].to_pylist()} | {k: same[k].to_pylist() for k in ("chunk", "first", "gaps", "data", "more")}
         same = _as_table(out | {k: [] for k in ("lines", "sizes")})
-        p = np.where(x.n >= JOINED, prefix(x.n), 0)
-        line = np.repeat(np.arange(len(x.n)), p)
-        place = np.arange(int(p.sum())) - np.repeat(np.cumsum(p) - p, p)
-        token = x.flat[x.first[line] + place]
+        line, place, token, before = _keys(x, None if counts is None else counts.value, hot)
         shard = _spread(token, bits)
         order = np.lexsort((token, shard))
-        line, place, token, shard = line[order], place[order], token[order], shard[order]
+        line, place, token, before, shard = line[order], place[order], token[order], before[order], shard[order]
         one, two = x.bitmaps()
         n, check = x.n[line], (x.sign[line] >> U64(32)).astype(np.uint32)
-        before = x.flat[np.maximum(x.first[line] + place - 1, 0)]
-        before = np.where(place > 0, (mix(before) >> U64(32)).astype(np.uint32) | np.uint32(1), np.uint32(0)).astype(np.uint32)
 
         def row(s: int, e: int) -> dict[str, bytes]:
             own = line[s:e]
@@ -263,7 +307,7 @@ def _equal_sets(rows: pa.Table) -> pa.Table:
 
 
 class Entries:
-    """Prefix tokens of a shard, sorted by (token, size)."""
+    """Prefix keys of a shard, sorted by (key, size)."""
 
     def __init__(self, rows: pa.Table):
         parts = []
@@ -323,6 +367,8 @@ def _partners(rows: pa.Table) -> pa.Table:
         flagged[a[ok]] = flagged[b[ok]] = True
         begin = end
     starts = np.flatnonzero(new)
+    early = np.zeros(size, bool)
+    early[index] = True
     for r in np.flatnonzero(sizes > SMALL_RUN):
         # an entry that has a partner leaves the search; it still serves as one
         s, t = int(starts[r]), int(starts[r] + sizes[r])
@@ -330,9 +376,11 @@ def _partners(rows: pa.Table) -> pa.Table:
         for i in range(s, t):
             if flagged[i]:
                 continue
-            lo = s + int(np.searchsorted(n, (4 * e.n[i] + 4) // 5))
-            hi = s + int(np.searchsorted(n, (5 * e.n[i]) // 4, side="right"))
-            b = np.concatenate([np.arange(lo, i), np.arange(i + 1, hi)])
+            # smaller or equal partners by the index; larger ones are any entries, if this one is of the index
+            b = index[low[i] : max(low[i], high[i])]
+            if early[i]:
+                lo, hi = np.searchsorted(n, [e.n[i] + 1, (5 * e.n[i]) // 4 + 1])
+                b = np.concatenate([b[b != i], np.arange(s + lo, s + hi)])
             ok = e.pass_filters(np.full(len(b), i), b)
             if len(ok):
                 flagged[i] = True
@@ -370,8 +418,11 @@ def _ask_second(ranks, bits: int, least: int = MIN_TOKENS):
         live = ~gone[line]
         token, line = token[live], line[live]
         shard = _spread(token, bits)
-        order = np.lexsort((token, shard))
+        order = np.lexsort((line, token, shard))
         token, line, shard = token[order], line[order], shard[order]
+        # a line counts once under a key, even if two of its keys were equal
+        once = np.concatenate([[True], (token[1:] != token[:-1]) | (line[1:] != line[:-1])])[: len(token)]
+        token, line, shard = token[once], line[once], shard[once]
         doc, no = x.doc[x.lead], x.number[x.lead]
 
         def row(s: int, e: int) -> dict[str, bytes]:
@@ -479,16 +530,19 @@ def _cut(names: list[str]):
     return run
 
 
-def line_dedup(docs: DataFrame, least: int = MIN_TOKENS) -> DataFrame:
-    """``docs`` without text, plus n_lines, n_removed, kept_text, kept_sha256."""
+def line_dedup(docs: DataFrame, least: int = MIN_TOKENS, hot: int = HOT) -> DataFrame:
+    """``docs`` without text, plus n_lines, n_removed, kept_text, kept_sha256.
+
+    ``hot`` moves work between keys; the result does not depend on it.
+    """
     docs = docs.drop("chunk", *(k for k, _ in _ADDED))
     size = text_bytes(docs)
     bits = bucket_bits(2 * size // BYTES_A_KEY)
-    ranks = docs.sparkSession.sparkContext.broadcast(token_ranks(docs))
+    ranks, counts = (docs.sparkSession.sparkContext.broadcast(a) for a in token_ranks(docs))
     # all rows of one id in one chunk, so that chunks differ in their ids
     owner = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
     base = docs.withColumn("chunk", F.pmod(owner, F.lit(chunk_count(size))).cast("int"))
-    asked = base.groupBy("chunk").applyInArrow(lean(_ask_first(ranks, bits, least)), _ASK)
+    asked = base.groupBy("chunk").applyInArrow(lean(_ask_first(ranks, bits, least, counts, hot)), _ASK)
     told = asked.groupBy("shard").applyInArrow(lean(_answer_first(bits)), _TELL)
     again = base.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(lean_pair(_ask_second(ranks, bits, least)), _ASK)
     final = again.groupBy("shard").applyInArrow(lean(_verify), "chunk int, docs binary, lines binary")

@@ -339,6 +339,45 @@ def test_long_runs_of_one_token(monkeypatch):
     assert one == [r[2] for r in brute.lines(list(enumerate(texts)))]
 
 
+@pytest.mark.parametrize("deepest", [linedup.DEEPEST, (16, 8, 6), (1 << 20,) * 3])
+def test_hot_tokens_join_into_keys(monkeypatch, deepest):
+    """Keys of several tokens find what single ones do, on both sides of every bound."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(linedup, "DEEPEST", deepest)
+    rng = random.Random(9)
+    words = [f"h{i}" for i in range(60)]
+    wide = [rng.sample(words, n) for n in (4, 5, 6, 8, 10, 12, 13, 16, 20, 24, 25, 30)]
+    if deepest[1] < 100:
+        wide += [rng.sample(words, n) for n in (40, 48, 50, 55)]
+    texts = []
+    for _ in range(240):
+        own = list(rng.choice(wide))
+        own = own[rng.randint(0, len(own) // 5) :] if rng.random() < 0.4 else own
+        for _ in range(rng.randint(0, max(1, len(own) // 6))):
+            own[rng.randrange(len(own))] = rng.choice(words)
+        texts.append(" ".join(own))
+    value = np.arange(1 << linedup.RANK_BITS, dtype=U64)
+    counts = np.append(np.full(1 << linedup.RANK_BITS, 120), 240).astype(np.float32)
+    shared = lambda x: type("Shared", (), {"value": x})
+    chunk = pa.table({"doc_id": pa.array(range(240)), "text": pa.array(texts), "chunk": pa.array([0] * 240, pa.int32())})
+    pick = lambda t, s: t.filter(pa.compute.equal(t["shard"], s))
+    asked_rows = {}
+    for hot in (5, 40, 100, 1000):
+        asked = linedup._ask_first(shared(value), 2, 4, shared(counts), hot)(chunk)
+        asked_rows[hot] = sum(len(linedup.sized_unpack(x)) for x, s in zip(asked["sizes"].to_pylist(), asked["shard"].to_pylist(), strict=True) if s >= 4)
+        told = pa.concat_tables([linedup._answer_first(2)(pick(asked, s)) for s in sorted(set(asked["shard"].to_pylist()))])
+        again = linedup._ask_second(shared(value), 2, 4)(chunk, told)
+        final = pa.concat_tables([linedup._verify(pick(again, s)) for s in sorted(set(again["shard"].to_pylist()))])
+        assert linedup._cut(["doc_id"])(chunk, final)["n_removed"].to_pylist() == [r[2] for r in brute.lines(list(enumerate(texts)), least=4)]
+    assert asked_rows[5] > asked_rows[1000]
+
+
+def test_hot_tokens_over_chunks(spark, docs):
+    got = rows_of(linedup.line_dedup(frame(spark, docs).select("doc_id", "text"), hot=3).select("doc_id", "n_lines", "n_removed", "kept_sha256"))
+    assert got == brute.lines(docs)
+
+
 def test_url_filters(spark, small):
     pages = spark.read.parquet(f"{small}/pages.parquet").select("page_id", "url")
     odd = [(900, None), (901, "no scheme/path"), (902, "x://EXAMPLE.com/en/7a?q"), (903, "http://a.net/de/1#f"), (904, "http://com/en/"), (905, "http://xcom/en/1"), (906, "http://a.example.net?x"), (906, "http://a.example.net?x")]
