@@ -27,10 +27,13 @@ def _bound(x: Column, use) -> Column:
 
 
 def check_digit(d: Column, weights) -> Column:
-    """Modulo-11 digit over the first digits of ``d``, as plain arithmetic; null if it has fewer."""
-    total = sum(((F.ascii(F.substring(d, i, 1)) - 48) * w for i, w in enumerate(weights, 1)), F.lit(0))
+    """Modulo-11 digit over the first digits of ``d``, as arithmetic on one number; null if it has fewer."""
+    size = len(weights)
+    digit = lambda n, i: F.call_function("div", n, F.lit(10 ** (size - i))) % 10
+    total = lambda n: sum((digit(n, i) * w for i, w in enumerate(weights, 1)), F.lit(0))
     # 11 less the rest; rests of 0 and 1 give 0
-    return F.when(F.length(d) >= len(weights), (11 - total % 11) % 11 % 10)
+    last = _bound(F.substring(d, 1, size).try_cast("bigint"), lambda n: (11 - total(n) % 11) % 11 % 10)
+    return F.when(F.length(d) >= size, last.cast("int"))
 
 
 def _uniform(d: Column) -> Column:
