@@ -8,10 +8,18 @@ from pyspark.sql import functions as F
 from ..functions.ids import digits
 from ..functions.money import currency_of, parse_brl
 from ..functions.text import plain
+from .rules import BOUNDARY
 
 DOCUMENT = r"[0-9]{2}\.?[0-9]{3}\.?[0-9]{3}/?[0-9]{4}-?[0-9]{2}|[0-9]{3}\.?[0-9]{3}\.?[0-9]{3}-?[0-9]{2}"
 VALUE = r"(?:R\$|US\$|USD\$?|EUR|€)\s*((?:[0-9]{1,3}(?:\.[0-9]{3})+|[0-9]+),[0-9]{2})"
-HEADER = r"CLASSE\s+(IV|III|II|I)\b[^;:]{0,80}?\(\s*([0-9]+)\s+CREDORES?\s*\|\s*((?:R\$|US\$)\s*[0-9.]+,[0-9]{2})\s*\)\s*:"
+_COUNTED = r"\(\s*([0-9]+)\s+(?i:CREDOR(?:ES)?)\s*\|\s*"
+HEADER = rf"CLASSE\s+(IV|III|II|I)\b[^;:]{{0,80}}?{_COUNTED}((?:R\$|US\$)\s*[0-9.]+,[0-9]{{2}})\s*\)\s*:"
+#: A class header without count and total ends at a colon or full stop; only upper-case CLASSE is a header.
+BARE = r"CLASSE\s+(IV|III|II|I)\b[^;:.0-9\x01\x02]{0,80}[:.]"
+#: A titled section with a count that names no class.
+GENERIC = rf"(?<=^|[.;])\s*([^.;:()\x01\x02]{{8,90}}){_COUNTED}R\s*\$[^)]*\)\s*:?"
+#: A boundary word opens a section, unless a class header follows closely or it stands in a title.
+EDGE = rf"(?i){BOUNDARY}(?![^\x01\x02]*\x02)(?![^\x01]{{0,90}}\x01[IV])\s*:?"
 LONG = 400
 
 
@@ -24,16 +32,26 @@ def headers(text: Column) -> Column:
     return F.transform(zipped, one)
 
 
+def marked(text: Column) -> Column:
+    """Plain upper case with each header as \\x01 class \\x02, of sections without a class \\x01\\x03 title \\x02."""
+    t = F.regexp_replace(plain(text), "[\u0001-\u0003]", " ")
+    for pattern, mark in ((HEADER, ""), (BARE, ""), (GENERIC, "\u0003"), (EDGE, "\u0003")):
+        t = F.regexp_replace(t, pattern, f"\u0001{mark}$1\u0002")
+    return F.upper(t)
+
+
 def entries(texts: DataFrame, text: str = "text") -> DataFrame:
-    """One row per entry: section, seq, name, document, value, currency, flags.
+    """One row per entry: section, seq, class, name, document, value, currency, flags.
 
-    The text is cut at its class headers, each section at ';'.  Entries without
-    a value in a currency are not claims.
+    The text is cut at its headers, each section at ';'.  Sections under a titled
+    count or a boundary word have no class; their entries are flagged SECTION_
+    and the title.  Entries without a value in a currency are not claims.
     """
-    marked = F.regexp_replace(F.upper(plain(F.col(text))), HEADER, "\u0001$1\u0002")
-    parts = texts.select("*", F.posexplode(F.split(marked, "\u0001")).alias("section", "_part"))
-    has_class = F.col("_part").contains("\u0002")
-    parts = parts.withColumn("class", F.when(has_class, F.substring_index("_part", "\u0002", 1))).withColumn("_body", F.when(has_class, F.substring_index("_part", "\u0002", -1)).otherwise(F.col("_part")))
+    parts = texts.select("*", F.posexplode(F.split(marked(F.col(text)), "\u0001")).alias("section", "_part"))
+    head = F.when(F.col("_part").contains("\u0002"), F.substring_index("_part", "\u0002", 1))
+    titled = head.startswith("\u0003")
+    title = F.substring(F.regexp_replace(F.trim(F.substring_index(head, "\u0003", -1)), "[^A-Z0-9_]+", "_"), 1, 40)
+    parts = parts.withColumns({"class": F.when(~titled, head), "_title": F.when(titled, title), "_body": F.substring_index("_part", "\u0002", -1)})
     rows = parts.select("*", F.posexplode(F.split("_body", ";")).alias("seq", "_entry")).drop("_part", "_body", text)
     money = F.regexp_extract("_entry", VALUE, 0)
     documents = F.transform(F.regexp_extract_all("_entry", F.lit(f"({DOCUMENT})"), F.lit(1)), lambda d: digits(d))
@@ -43,11 +61,12 @@ def entries(texts: DataFrame, text: str = "text") -> DataFrame:
             F.when(F.size(roots) > 1, F.lit("MULTI_ROOT")),
             F.when(F.length("_entry") > LONG, F.lit("LONG_CHUNK")),
             F.when(currency_of(money) != "BRL", F.lit("FOREIGN_CURRENCY")),
+            F.concat(F.lit("SECTION_"), F.col("_title")),
         )
     )
     name = F.trim(F.regexp_replace(F.regexp_extract("_entry", rf"(?s)^(.*?)(?:CPF|CNPJ|{DOCUMENT}|R\$|US\$|USD|EUR|€)", 1), r"[\s,:\-]+$", ""))
     out = rows.filter(money != "").select(
-        *[c for c in rows.columns if c != "_entry"],
+        *[c for c in rows.columns if c not in ("_entry", "_title")],
         name.alias("name"),
         F.try_element_at(documents, F.lit(1)).alias("document"),
         documents.alias("documents"),

@@ -224,6 +224,19 @@ def prose_entries(d: Domain):
     return out.select("doc_id", "section", "seq", "class", "name", "document", "value", "currency", F.array_join("flags", "|").alias("flags"))
 
 
+@query(f"""{oracle_with("docs")} select doc_id, cast(s.section as int) as section, s.class, s.name, total as value, s.flags from docs, (values (1, 'II', 'CREDOR A', ''), (2, null, 'CREDOR B', 'SECTION_CREDITOS_ILIQUIDOS'),
+  (3, null, 'CREDOR C', 'SECTION_OUTROS_VALORES_EM_ANALISE'), (4, 'IV', 'CREDOR D', ''), (5, 'I', 'CREDOR E', '')) s(section, class, name, flags)""")
+def prose_sections(d: Domain):
+    money = F.concat(F.lit("R$ "), F.translate(F.format_number("total", 2), ",.", ".,"))
+    text = F.concat(
+        F.lit("Edital da Classe III: nota. CLASSE II – Garantia real: Credor A, "), money, F.lit("; Créditos Ilíquidos: Credor B, "), money,
+        F.lit("; Outros valores em análise (3 CREDORES | R$ 9,00): Credor C, "), money, F.lit("; CLASSE IV – Micro (1 CREDOR | R$ 5,00): Credor D, "), money,
+        F.lit("; Retardatários da CLASSE I. Credor E, "), money,
+    )
+    out = prose.entries(d.view("docs").select("doc_id", text.alias("text")))
+    return out.select("doc_id", "section", "class", "name", "value", F.array_join("flags", "|").alias("flags"))
+
+
 @query("""select page_id, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) <> '' as has_title, cast(len(regexp_extract_all(html, '(?is)<a\\b[^>]*?href\\s*=\\s*["'']([^"''#]+)["''][^>]*>(.*?)</a>', 1)) as bigint) as n_links,
   array_to_string(regexp_extract_all(html, '(?is)<a\\b[^>]*?href\\s*=\\s*["'']([^"''#]+)["''][^>]*>(.*?)</a>', 1), ' ') as hrefs from pages""")
 def anchor_extract(d: Domain):
