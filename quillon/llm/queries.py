@@ -1,6 +1,6 @@
 """Registered queries of this subpackage and their oracle SQL.
 
-Operators 3, 6 and 8 can be put in SQL whole.  The others use hashes, models or
+Operators 3, 6, 8, 11, 12 and 13 can be put in SQL whole.  The others use hashes, models or
 byte n-grams that DuckDB has not; the tests hold them against brute force.  Of
 operators 1, 2, 7 and 9 the parts without a model are queries of their own, which
 select from the operator's result and have SQL.
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import crf, decontaminate, langmodel, linedup, mixing, quality_rules, secrets, simhash, substring, urlfilter
+from . import covertree, crf, decontaminate, langmodel, linedup, mixing, quality_rules, repair, secrets, simhash, substring, turntrie, urlfilter
 
 QUERIES = {
     "op1_secret_scans": secrets.op1_secret_scans,
@@ -24,10 +24,12 @@ QUERIES = {
     "op8_benchmark_decontamination": decontaminate.op8_benchmark_decontamination,
     "op9_mix_sources": mixing.op9_mix_sources,
     "op10_quality_classifier": crf.op10_quality_classifier,
+    "op11_conversation_prefix_trie": turntrie.op11_conversation_prefix_trie,
+    "op12_conversation_structure_repair": repair.op12_conversation_structure_repair,
+    "op13_exact_topk_search": covertree.op13_exact_topk_search,
 }
 
 
-
 def secret_spans_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.op1_secret_scans(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
 
@@ -49,6 +51,14 @@ def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES |= {f.__name__: f for f in (secret_spans_base, quality_rules_base, url_rules, mix_targets)}
 
+
+def _crc32(text: str) -> str:
+    """SQL for the CRC-32 of an ASCII string, bit by bit."""
+    step = "lambda y, z: xor(y >> 1, 3988292384::ubigint * (y & 1))"
+    byte = f"lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::ubigint[]), {step})"
+    return f"cast(xor(list_reduce(list_prepend(4294967295::ubigint, list_transform(string_split({text}, ''), lambda c: ascii(c)::ubigint)), {byte}), 4294967295::ubigint) as bigint)"
+
+
 _ASSIGN = secrets.BASE[0][1].replace("'", "''")
 ORACLE_SQL: dict[str, str] = {
     "secret_spans_base": rf"""
@@ -122,4 +132,41 @@ with lower_case as (select 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' as a, 'abcdefghijklmnopq
   o as (select rid, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct rid, cast(item_id as varchar) as item from m where item_id is not null) group by rid)
 select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join h using (rid) left join o using (rid)""",
+    "op11_conversation_prefix_trie": f"""
+with t as (select conv_id as c, row_number() over (partition by conv_id order by turn nulls first, role, text) as pos, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
+  n as (select c, count(*) as n, c - c % 5 as b, {_crc32("cast(c as varchar)")} % 9 as h from t group by c),
+  q as (select n.c, t.pos, role, text from n join t on t.c = n.b and t.pos <= n.h union all
+    select n.c, t.pos - n.h + least(n.h, coalesce(o.n, 0)), role, text from n join t on t.c = n.c and t.pos > n.h left join n as o on o.c = n.b),
+  r as (select c, pos as d, strlen(text) as size, string_agg(md5(length(role) || ':' || role || text), '') over (partition by c order by pos) as pre from q union all select c, 0, 0, '' from n),
+  p as (select c, d, size, md5(pre) as pre, lag(md5(pre)) over (partition by c order by d) as up, max(d) over (partition by c) as last from r),
+  k as (select pre, d, min(c) as conv_id, count(*) as n_convs, min(size) as size, min(up) as up, string_agg(cast(c as varchar), ',' order by c) filter (d = last) as ends from p group by pre, d),
+  m as (select k.*, o.conv_id as parent_conv_id, (select count(*) from k as x where x.up = k.pre and x.d = k.d + 1) as n_children from k left join k as o on o.pre = k.up and o.d = k.d - 1),
+  s as (select p.pre, p.d, count(*) filter (n_children = 0) as n_leaves, sum((n_convs - 1) * m.size) as saved from m join p on p.c = m.conv_id and p.d <= m.d group by p.pre, p.d)
+select conv_id, cast(m.d as bigint) as depth, parent_conv_id, n_convs, n_children, n_leaves, cast(saved as bigint) as saved_tokens, sha256(coalesce(ends, '')) as ends_sha256 from m join s on s.pre = m.pre and s.d = m.d""",
+    "op12_conversation_structure_repair": rf"""
+with recursive g as (select conv_id, row_number() over () as cid from (select distinct conv_id from conversations)),
+  d as (select cid, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, {_crc32("coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ')")} % 20 as k from conversations join g using (conv_id)),
+  r as (select cid, turn, case when k = 4 then 'user' else role end as role, case when k = 1 then '' when k = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text, unnest(case when k = 0 then [] when k = 3 then [0, 1] else [0] end) as copy from d),
+  o as (select *, row_number() over (partition by cid order by turn nulls first, role, text, copy) as i, row_number() over (partition by cid, role, text order by turn nulls first, copy) as seen from r),
+  f as (select *, case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 2 when seen > 1 then 3 when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') then 1 else 0 end as fault,
+    case when left(role, 1) in ('s', 'u', 'a') then left(role, 1) else 'x' end as x, lag(left(role, 1)) over (partition by cid order by i) as before from o),
+  a as (select cid, greatest(coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0), 0) as gaps, count(*) filter (fault = 2) as blank, count(*) filter (fault = 3) as duplicate, count(*) filter (fault = 1) as truncated,
+    count(*) filter (before is not null and before || left(role, 1) not in ('su', 'ua', 'au')) as illegal, count(*) as n from f group by cid),
+  tr as (select * from (values ('', '', 's'), ('', '', 'u'), ('', 'I', 'a'), ('s', '', 'u'), ('s', 'I', 'a'), ('u', 'I', 'u'), ('u', '', 'a'), ('a', '', 'u'), ('a', 'I', 'a')) v(s, ins, t)),
+  w as (select cid, 0::bigint as i, '' as s, {{'c': 0, 'a': ''}} as v from g union all
+    select cid, i, s, min(v) from (
+      select w.cid, f.i, w.s, {{'c': w.v.c + 2, 'a': w.v.a || 'D'}} as v from w join f on f.cid = w.cid and f.i = w.i + 1 union all
+      select w.cid, f.i, tr.t, {{'c': w.v.c + 5 * length(ins) + 5 * fault + case when x = tr.t then 0 else 1 end, 'a': w.v.a || ins || case when x = tr.t then 'K' else 'R' end}} from w join f on f.cid = w.cid and f.i = w.i + 1 join tr on tr.s = w.s where fault < 2 and (x = tr.t or tr.t <> 's')) group by cid, i, s),
+  e as (select w.cid, min({{'c': w.v.c + case s when 's' then 10 when 'u' then 5 else 0 end, 'a': w.v.a || case s when 's' then 'II' when 'u' then 'I' else '' end}}) as v from w left join a on a.cid = w.cid where w.i = coalesce(a.n, 0) group by w.cid),
+  z as (select cid, audit, unnest(range(1, length(audit) + 1)) as j from (select cid, v.a as audit from e)),
+  y as (select cid, substr(audit, j, 1) as op, length(replace(left(audit, j), 'I', '')) as i, length(replace(left(audit, j), 'D', '')) as place, length(replace(audit, 'D', '')) as total from z),
+  x as (select y.cid, string_agg(case when op = 'K' then f.role when (total - place) % 2 = 0 then 'assistant' else 'user' end || ':' || case when op = 'I' then '' else f.text end, chr(10) order by place) as repaired
+    from y left join f on f.cid = y.cid and f.i = y.i where op <> 'D' group by y.cid)
+select conv_id, cast(coalesce(gaps, 0) as bigint) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, cast(e.v.c as bigint) as cost, e.v.a as audit, sha256(coalesce(repaired, '')) as repaired_sha256
+from g join e using (cid) left join a using (cid) left join x using (cid)""",
+    "op13_exact_topk_search": """
+with v as (select row_number() over () as rid, vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+  s as (select q.rid, q.vec_id as query_id, v.vec_id, cast(list_dot_product(q.e, v.e) as bigint) as score from v as q join v on len(v.e) = len(q.e) and v.rid <> q.rid where q.vec_id % 50 = 0),
+  r as (select *, row_number() over (partition by rid order by score desc, vec_id nulls last) as rank from s)
+select query_id, cast(rank as int) as rank, vec_id, score from r where rank <= 5""",
 }

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import heapq
 import math
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import xxhash
 
@@ -170,3 +171,105 @@ def fill_levels(sizes, weights=(5, 2, 1), cap=3):
         if not over:
             return {**fixed, **share}
         fixed.update({s: cap * sizes[s] for s in over})
+
+
+def prefix_trie(rows):
+    """Nodes over rows (conv_id, turn, role, text) whose turns do not tie."""
+    own = defaultdict(list)
+    for c, t, r, x in rows:
+        if c is not None:
+            own[c].append((t is not None, t or 0, r or "", x or ""))
+    own = {c: [v[2:] for v in sorted(vs)] for c, vs in own.items()}
+    whole = {}
+    for c in sorted(own):
+        h = zlib.crc32(str(c).encode()) % 9
+        whole[c] = own.get(c - int(math.fmod(c, 5)), [])[:h] + own[c][h:]
+    members, kids = defaultdict(list), defaultdict(set)
+    for c, turns in whole.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+            if d:
+                kids[tuple(turns[: d - 1])].add(tuple(turns[:d]))
+    leaves, saved, out = Counter(), Counter(), []
+    for k in sorted(members, key=len, reverse=True):
+        leaves[k] = leaves[k] or 1
+        if k:
+            saved[k] += (len(members[k]) - 1) * len(k[-1][1].encode())
+            leaves[k[:-1]] += leaves[k]
+            saved[k[:-1]] += saved[k]
+    for k, m in members.items():
+        ends = ",".join(str(c) for c in m if len(whole[c]) == len(k))
+        out.append((m[0], len(k), members[k[:-1]][0] if k else None, len(m), len(kids[k]), leaves[k], saved[k], sha(ends)))
+    return sorted(out, key=lambda r: r[:2])
+
+
+AFTER = {"": "u", "s": "u", "u": "a", "a": "u"}
+LEGAL = {("", "s"), ("", "u"), ("s", "u"), ("u", "a"), ("a", "u")}
+
+
+def cheapest_edits(turns):
+    """(cost, audit) for turns (initial, fault: 0 sound, 1 truncated, 2 to be deleted): shortest path over whole audits."""
+    heap, done = [(0, "", 0, "")], set()
+    while True:
+        cost, audit, i, s = heapq.heappop(heap)
+        if (i, s) in done:
+            continue
+        done.add((i, s))
+        if i == len(turns) and s in ("", "a"):
+            return cost, audit
+        heapq.heappush(heap, (cost + 5, audit + "I", i, AFTER[s]))
+        if i < len(turns):
+            x, fault = turns[i]
+            heapq.heappush(heap, (cost + 2, audit + "D", i + 1, s))
+            if fault < 2:
+                heapq.heappush(heap, (cost + 1 + 5 * fault, audit + "R", i + 1, AFTER[s]))
+                if (s, x) in LEGAL:
+                    heapq.heappush(heap, (cost + 5 * fault, audit + "K", i + 1, x))
+
+
+def repaired(rows):
+    """Rows of operator 12 for (conv_id, turn, role, text) whose turns do not tie."""
+    convs = {}
+    spaced = lambda v: " " if v is None else str(v)
+    for c, t, r, x in rows:
+        turns = convs.setdefault(c, [])
+        kind = zlib.crc32(f"{spaced(c)}:{spaced(t)}".encode()) % 20
+        x = "" if kind == 1 else re.sub("[.!?]", "", spaced(x)) if kind == 2 else spaced(x)
+        r = "user" if kind == 4 else spaced(r)
+        turns += [(t is not None, t or 0, r, x)] * (0 if kind == 0 else 2 if kind == 3 else 1)
+    out = []
+    for c, turns in convs.items():
+        turns.sort()
+        seen, codes, n = set(), [], Counter()
+        for *_, r, x in turns:
+            words = WORD.findall(x)
+            fault = "blank" if not words else "duplicate" if (r, x) in seen else "truncated" if words[-1][-1] not in ".!?" else ""
+            seen.add((r, x))
+            n[fault] += 1
+            codes.append((r[:1] if r[:1] in ("s", "u", "a") else "x", {"": 0, "truncated": 1}.get(fault, 2)))
+        at = [t for known, t, _, _ in turns if known]
+        illegal = sum(a[2][:1] + b[2][:1] not in ("su", "ua", "au") for a, b in zip(turns, turns[1:], strict=False))
+        cost, audit = cheapest_edits(codes)
+        state, kept, rest = "", [], iter(turns)
+        for step in audit:
+            role, text = ("", "") if step == "I" else next(rest)[2:]
+            if step != "D":
+                state = role[0] if step == "K" else AFTER[state]
+                kept.append((role if step == "K" else {"u": "user", "a": "assistant"}[state]) + ":" + text)
+        out.append((c, max(at) - min(at) + 1 - len(set(at)) if at else 0, n["blank"], n["duplicate"], n["truncated"], illegal, cost, audit, sha("\n".join(kept))))
+    return sorted(out, key=NULLS_LAST)
+
+
+def top_products(rows, k=5, every=50):
+    """Rows of operator 13 for (vec_id, vector), in unbounded integers."""
+    sound = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for a, (i, x) in enumerate(sound):
+        if i is not None and i % every == 0:
+            scores = [(-max(-(1 << 63), min((1 << 63) - 1, sum(p * q for p, q in zip(x, y, strict=True)))), j is None, j or 0) for b, (j, y) in enumerate(sound) if b != a and len(y) == len(x)]
+            out += [(i, rank + 1, None if unnamed else j, -s) for rank, (s, unnamed, j) in enumerate(sorted(scores)[:k])]
+    return sorted(out, key=by_rank)
+
+
+def by_rank(r):
+    return r[0], r[1], r[3], r[2] is None, r[2] or 0
