@@ -320,24 +320,6 @@ def content_dedupe(d: Domain):
 
 
 # --- no SQL oracle: order-dependent folds and fuzzy scores -----------------------------
-@query()
-def word_bands(d: Domain):
-    """Words of an order's page joined into visual lines by a fold."""
-    w = F.struct(F.concat(F.lit("w"), F.col("l_linenumber").cast("string")).alias("text"), F.col("l_discount").alias("x0"), F.col("l_discount").alias("x1"), F.col("l_quantity").alias("top"))
-    words = d.table("lineitem").groupBy(F.col("l_orderkey").alias("doc_id")).agg(F.collect_list(w).alias("words"))
-    return words.select("doc_id", F.explode(layout.bands(F.col("words"))).alias("b")).select("doc_id", "b.top", "b.text")
-
-
-@query()
-def band_parser(d: Domain):
-    """Claims parsed from laid-out lines, the class carried across pages."""
-    c = d.view("claims").filter("value_brl is not null")
-    line = F.concat(F.lit("Credor "), "root", F.lit(" "), ids.masked(ids.with_check_digits(F.col("base12"))), F.lit(" R$ "), F.translate(F.format_number("value_brl", 2), ",.", ".,"))
-    rows = c.select("doc_id", F.col("page").cast("int").alias("page"), (F.col("row_index") + 1.0).alias("top"), line.alias("text"))
-    heads = c.select("doc_id").distinct().select("doc_id", F.lit(0).alias("page"), F.lit(0.0).alias("top"), F.lit("CLASSE III - QUIROGRAFÁRIOS").alias("text"))
-    return layout.parse_bands(rows.unionByName(heads))
-
-
 @query()
 def fuzzy_match(d: Domain):
     """Company names that agree with their neighbour's, by token set."""

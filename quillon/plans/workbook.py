@@ -223,60 +223,7 @@ def band_histogram(d: Domain):
     return QUERIES["debtor_band"](d.spark, d.sf_dir).groupBy(F.coalesce("band", F.lit("?")).alias("band")).agg(F.count("*").alias("n"))
 
 
-# --- ruled tables --------------------------------------------------------------------
-#: One page an order: a heading above a ruled table of its line items, one table per class of order.
-_MONEY = "replace(replace(replace(format('{:,.2f}', v), ',', 'X'), '.', ','), 'X', '.')"
-_GRID = f"""{oracle_with("claims", "docs")}, c as (select doc_id, root, page as ln, base12, value_brl as v, class from claims where doc_id % 4 <> 3)"""
-
-
-def _cells(d: Domain):
-    """Grids: a header row, a row per line item; orders of remainder 2 have no header, those of 3 no table."""
-    c = d.view("claims").filter("doc_id % 4 <> 3")
-    money = F.coalesce(F.concat(F.lit("R$ "), F.translate(F.format_number("value_brl", 2), ",.", ".,")), F.lit("-"))
-    alt = F.concat(F.lit("R$ "), F.translate(F.format_number(F.col("page") * 10 + 5, 2), ",.", ".,"))
-    company = F.concat(F.lit("Credor "), "root", F.lit(" Ltda"))
-    row = F.array(F.col("page").cast("string"), company, ids.masked(ids.with_check_digits(F.col("base12"))), alt, money)
-    head = F.when(F.col("doc_id") % 4 != 2, F.array(*map(F.lit, ("Nº", "Nome do credor", "CNPJ", "Valor original", "Valor atualizado"))))
-    body = c.select("doc_id", F.lit(1).alias("page"), F.lit(0).alias("tab"), F.row_number().over(Window.partitionBy("doc_id").orderBy("page", "row_index", "seen_on", "root", "value_brl")).alias("row"), row.alias("cells"))
-    top = c.select("doc_id").distinct().select("doc_id", F.lit(1).alias("page"), F.lit(0).alias("tab"), F.lit(0).alias("row"), head.alias("cells")).filter("cells is not null")
-    return body.union(top).select("doc_id", "page", "tab", "row", F.posexplode("cells").alias("col", "text"))
-
-
-def _words(d: Domain):
-    """A heading above the table and a word inside it (which must not be read as a line)."""
-    docs = d.view("docs").select("doc_id")
-    title = F.array(*[F.struct(F.lit(w).alias("text"), F.lit(10.0 + 40 * k).alias("x0"), F.lit(40.0 + 40 * k).alias("x1"), F.lit(20.0).alias("top"), F.lit(30.0).alias("bottom")) for k, w in enumerate(("CLASSE", "III", "-", "Quirografários"))])
-    inner = F.array(F.struct(F.lit("CLASSE").alias("text"), F.lit(50.0).alias("x0"), F.lit(80.0).alias("x1"), F.lit(150.0).alias("top"), F.lit(160.0).alias("bottom")), F.struct(F.lit("I").alias("text"), F.lit(81.0).alias("x0"), F.lit(85.0).alias("x1"), F.lit(150.0).alias("top"), F.lit(160.0).alias("bottom")))
-    words = F.when(F.col("doc_id") % 4 == 3, title).otherwise(F.concat(title, inner))
-    return docs.select("doc_id", F.lit(1).alias("page"), F.explode(words).alias("w")).select("doc_id", "page", "w.*")
-
-
-def _boxes(d: Domain):
-    return d.view("docs").filter("doc_id % 4 <> 3").select("doc_id", F.lit(1).alias("page"), F.lit(0).alias("tab"), F.lit(0.0).alias("x0"), F.lit(100.0).alias("top"), F.lit(500.0).alias("x1"), F.lit(700.0).alias("bottom"))
-
-
-@query(f"""{_GRID}, t as (select distinct doc_id from c), h as (select doc_id from t where doc_id % 4 <> 2)
-  select doc_id, col, role from h, (values (0, 'seq'), (1, 'name'), (2, 'doc'), (3, 'value_alt'), (4, 'value')) r(col, role)""")
-def table_column_roles(d: Domain):
-    """Roles that header rows give; the columns without one are tested on small grids."""
-    return grids.column_roles(_cells(d).filter("doc_id % 4 <> 2")).select("doc_id", "col", "role")
-
-
-@query(f"""{_GRID} select doc_id, 'Credor ' || root || ' Ltda' as name, v as value_brl, 'III' as class, 1 as section, 'SECTION_HEADING' as class_set_by, count(*) as n from c where doc_id % 4 <> 2 group by all""")
-def ruled_table_claims(d: Domain):
-    claims, _ = grids.claims_of_tables(_cells(d).filter("doc_id % 4 <> 2"), _boxes(d).filter("doc_id % 4 <> 2"), _words(d).filter("doc_id % 4 <> 2"))
-    return claims.groupBy("doc_id", "name", "value_brl", "class", "section", "class_set_by").agg(F.count("*").alias("n"))
-
-
-@query(f"""{_GRID} select docs.doc_id, 1 as page, case when doc_id % 4 = 3 or doc_id not in (select doc_id from c) then 'TABLE_BANDS' else 'TABLE_RULED' end as route from docs where doc_id % 4 <> 2""")
-def page_routes(d: Domain):
-    keep = "doc_id % 4 <> 2"
-    cells, boxes, words = (x.filter(keep) for x in (_cells(d), _boxes(d), _words(d)))
-    claims, _ = grids.claims_of_tables(cells, boxes, words)
-    pages = d.view("docs").filter(keep).select("doc_id", F.lit(1).alias("page"))
-    return grids.routed_pages(pages, cells, claims, words)
-
-
+# --- layout ---------------------------------------------------------------------------
 @query("""with w as (select l_orderkey as doc_id, l_linenumber as n, l_quantity * 10 as x, l_discount * 1000 as y from lineitem), b as (select o_orderkey as doc_id, cast(o_orderkey % 5 * 100 as double) as x0, 20.0 as top, cast(o_orderkey % 5 * 100 + 150 as double) as x1, 70.0 as bottom from orders where o_orderkey % 3 <> 0)
   select doc_id, count(*) as n_outside from w where not exists (select 1 from b where b.doc_id = w.doc_id and x + 2 between x0 - 1 and x1 + 1 and y + 3 between top - 1 and bottom + 1) group by doc_id""")
 def words_outside_boxes(d: Domain):
@@ -287,21 +234,6 @@ def words_outside_boxes(d: Domain):
     return grids.outside_words(words, boxes).groupBy("doc_id").agg(F.count("*").alias("n_outside"))
 
 
-@query(f"""{oracle_with("docs", "claims")}, n as (select doc_id, count(*) as rows, count(value_brl) as valued from claims group by doc_id), s as (select doc_id, doc_id % 8 as signals, case when rows is null then 0 when doc_id % 3 = 0 then 1 else rows end as pr, case when rows is null then 0 when doc_id % 3 = 0 then 1 else valued end as pv,
-    coalesce(case when doc_id % 5 = 0 then 0 else rows end, 0) as tr, coalesce(case when doc_id % 5 = 0 then 0 else valued end, 0) as tv from docs left join n using (doc_id)),
-  f as (select *, signals >= 5 and pv < 3 and tv > pr as tt, signals < 5 and tv < 3 and pv > tr as tp from s) select doc_id, case when (signals >= 5 and not tt) or tp then 'PROSE' else 'TABLE' end as strategy, tt or tp as fell_back from f""")
-def reading_strategy(d: Domain):
-    docs = d.view("docs").select("doc_id")
-    text = F.repeat(F.lit("Alfa, CNPJ: 1; "), (F.col("doc_id") % 8).cast("int"))
-    signals = docs.select("doc_id", grids.prose_signals(text).alias("signals"))
-    n = d.view("claims").groupBy("doc_id").agg(F.count("*").alias("n_rows"), F.count("value_brl").alias("n_valued"))
-    few = F.col("doc_id") % 3 == 0
-    prose = n.select("doc_id", F.when(few, 1).otherwise(F.col("n_rows")).alias("n_rows"), F.when(few, 1).otherwise(F.col("n_valued")).alias("n_valued"))
-    gone = F.col("doc_id") % 5 == 0
-    table = n.select("doc_id", F.when(gone, 0).otherwise(F.col("n_rows")).alias("n_rows"), F.when(gone, 0).otherwise(F.col("n_valued")).alias("n_valued"))
-    return grids.chosen_strategy(signals, prose, table)
-
-
 @query("""with a as (select c_custkey as k, 2.0 + c_custkey % 40 as h, cast(c_custkey % 800 as double) as top from customer), o as (select a.k, a.h, a.top, b.top as spot, abs(a.top - b.top) as d from a join a b on a.k // 50 = b.k // 50 and b.k % 3 = 0 and a.k % 3 <> 0 and abs(a.top - b.top) <= a.h * 4.5 + 2)
   select k, min(d) as distance, arg_min(spot, d * 10000 + spot) as anchor_top from o group by k""")
 def nearest_anchor_far(d: Domain):

@@ -81,22 +81,10 @@ def test_split_value_is_joined(spark):
 
 
 def test_bands_follow_the_first_word(spark):
-    words = [(f"w{t}", 0.0, 1.0, float(t)) for t in (10, 12, 14, 16)]
-    df = spark.createDataFrame([(words,)], "words array<struct<text:string,x0:double,x1:double,top:double>>")
-    got = df.select(layout.bands(F.col("words")).alias("b")).first()["b"]
-    assert [tuple(b) for b in got] == [(10.0, "w10 w12"), (14.0, "w14 w16")]
-
-
-def test_class_is_carried_over_pages(spark):
-    lines = [
-        (1, 1, 1.0, "CLASSE III - Quirografários"), (1, 1, 2.0, "Alfa Ltda 12.345.678/0001-95"), (1, 1, 3.0, "R$ 1.000,00"), (1, 2, 1.0, "Beta SA 12.345.678/0001-95 2.000,00"),
-        (1, 2, 2.0, "CLASSE IV"), (1, 2, 3.0, "Gama ME 3.000,00"), (2, 1, 1.0, "Delta 12.345.678/0001-95"),
-    ]
-    df = spark.createDataFrame(lines, "doc_id long, page int, top double, text string")
-    got = [tuple(r) for r in layout.parse_bands(df).orderBy("doc_id", "page", "row_index").collect()]
-    assert [(r[0], r[1], r[2], r[3], r[5], r[6], r[7]) for r in got] == [
-        (1, 1, 0, "Alfa Ltda", "1.000,00", "III", []), (1, 2, 0, "Beta SA", "2.000,00", "III", []), (1, 2, 1, "Gama ME", "3.000,00", "IV", ["NO_DOCUMENT"]), (2, 1, 0, "Delta", None, None, ["VALUE_MISSING"]),
-    ]
+    words = [(1, 1, f"w{t}", 0.0, 1.0, float(t)) for t in (10, 12, 14, 16, 30)]
+    df = spark.createDataFrame(words, "doc_id long, page int, text string, x0 double, x1 double, top double")
+    got = layout.bands_of_pages(df).orderBy("top").collect()
+    assert [(b["top"], b["text"]) for b in got] == [(10.0, "w10 w12"), (14.0, "w14 w16"), (30.0, "w30")]
 
 
 def test_positions_and_bands(spark):
