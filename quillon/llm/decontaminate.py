@@ -353,6 +353,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, c
         fields += [T.StructField("clean_text", T.StringType())] * cut + [T.StructField(a, b) for a, b in _FIELDS]
         index = spark.sparkContext.broadcast([bytes(r["index"]) for r in rows])
         out = out.drop("clean_text").mapInArrow(_mark(index, k > 0, cut), T.StructType(fields))
+        if k + BLOCKS_A_PASS < len(numbers):
+            # one pass a plan: its automata leave driver and workers before the next ones come
+            out = checkpointed(out)
+            index.unpersist()
     return out
 
 
