@@ -103,19 +103,32 @@ def _listed(found: Column) -> Column:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, r1 and r2 (which tell texts apart), base and weak spans."""
+    """doc_id, r1 and r2 (which tell texts apart), base spans and all weak ones."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", text.alias("text"))
     base = F.concat(*[spans(F.col("text"), *k) for k in BASE])
     weak = F.concat(*[spans(F.col("text"), *k) for k in WEAK])
-    out = rows.select("doc_id", F.xxhash64("doc_id", "text").alias("r1"), F.hash("text", "doc_id").alias("r2"), base.alias("base"), weak.alias("loose"))
-    alone = F.filter("loose", lambda w: ~F.exists("base", lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"]) & (_part(b["kind"]) == _part(w["kind"]))))
-    return out.select("doc_id", "r1", "r2", "base", alone.alias("weak"))
+    return rows.select("doc_id", F.xxhash64("doc_id", "text").alias("r1"), F.hash("text", "doc_id").alias("r2"), base.alias("base"), weak.alias("weak"))
+
+
+def _alone(rows: DataFrame) -> DataFrame:
+    """The spans without the weak ones that overlap a strong span of their part.
+
+    One sweep: at a weak span's end, strong spans that began before it must not
+    reach beyond its start.
+    """
+    start, end, weak = F.col("s.start"), F.col("s.end"), F.col("s.kind") >= len(BASE)
+    so_far = Window.partitionBy("r1", "r2").orderBy(F.when(weak, end).otherwise(start), F.when(weak, 0).otherwise(1)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reach = {p: F.max(F.when(~weak & (_part(F.col("s.kind")) == p), end)).over(so_far) for p in sorted(set(PART.values()))}
+    swept = rows.withColumns({f"strong_{p}": r for p, r in reach.items()})
+    own = F.coalesce(*[F.when(_part(F.col("s.kind")) == p, F.col(f"strong_{p}")) for p in reach])
+    return swept.filter(~weak | own.isNull() | (own <= start)).select("r1", "r2", "s")
 
 
 def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     """(r1, r2, added): the weak spans that complementary parts support."""
     rows = found.filter(F.size("weak") > 0).select("r1", "r2", F.explode(F.concat("base", "weak")).alias("s")).distinct()
+    rows = _alone(rows)
     bare = F.col("s.kind").isin([KINDS.index(k) for k in BARE])
     weak = F.col("s.kind") >= len(BASE)
     start, end, turn = F.col("s.start"), F.col("s.end"), F.col("e.turn")
