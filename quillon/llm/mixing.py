@@ -6,11 +6,12 @@ emitted floor(rate) times plus one Bernoulli copy whose probability is the
 fraction.  The draw is a seeded hash of the document's id and text, so reruns
 agree.  A document takes its further copy where its draw does not exceed the
 source's bar.  For independent draws the bar would be the fraction itself; here
-it is the draw at which the words taken so far, in the order of the draws, come
-nearest the fraction of the source's words.  So every document of a source has
-the same chance, given by the order of one hash, and a source of few or very
-uneven documents still misses its target by no more than half of the document at
-the bar.
+it is the draw at which the words taken so far, in the order of the draws, reach
+the fraction of the source's words.  The document that crosses that mark is taken
+with the part of it that the mark leaves, drawn by a hash of the source.  So the
+expected words are the fraction exactly, a source of one document takes its copy
+with the fraction as its chance, and a larger one misses its target by less than
+the document at the bar.
 
 Sums per cell of the draws (at most ``CELLS`` a source) find the cell of the bar,
 sums per cell of that cell narrow it down, and only the documents of that one, one
@@ -109,11 +110,14 @@ def source_plan(sizes: DataFrame) -> DataFrame:
     at = crossed(first.join(small_side(wanted), same(first, wanted)).withColumn("before", F.lit(0).cast("long")))
     second = inside(at, CELLS).drop("cell").groupBy("_source", "before", "wanted", cell(CELLS * CELLS).alias("cell")).agg(F.sum("size").alias("words"))
     at = crossed(second)
-    last = inside(at, CELLS * CELLS).groupBy("_source", "before", "wanted", "draw").agg(F.sum("size").alias("words"))
-    by_draw = Window.partitionBy("_source").orderBy("draw").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    steps = last.select("_source", F.col("draw").alias("bar"), F.abs(F.col("before") + F.sum("words").over(by_draw) - F.col("wanted")).alias("off"))
-    none = at.select("_source", (F.col("cell") / (CELLS * CELLS) - GRAIN).alias("bar"), F.abs(F.col("before") - F.col("wanted")).alias("off"))
-    bars = steps.union(none).groupBy("_source").agg(F.min(F.struct("off", "bar"))["bar"].alias("bar"))
+    last = inside(at, CELLS * CELLS).groupBy("_source", "cell", "before", "wanted", "draw").agg(F.sum("size").alias("words"))
+    by_draw = Window.partitionBy("_source").orderBy("draw")
+    so_far = F.col("before") + F.sum("words").over(by_draw.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    below = F.coalesce(F.lag("draw").over(by_draw), F.col("cell") / (CELLS * CELLS) - GRAIN)
+    steps = last.withColumn("end", so_far).withColumn("below", below).filter(F.col("end") >= F.col("wanted"))
+    over = steps.groupBy("_source").agg(F.min_by(F.struct("draw", "below", ((F.col("wanted") - F.col("end") + F.col("words")) / F.col("words")).alias("part")), "draw").alias("x"))
+    chance = F.shiftrightunsigned(F.xxhash64(F.lit(SEED + 1), F.col("_source")), 11) * F.lit(GRAIN)
+    bars = over.select("_source", F.when(chance < F.col("x.part"), F.col("x.draw")).otherwise(F.col("x.below")).alias("bar"))
     return targets.join(bars, same(targets, bars), "left").select("source", "source_size", "target", "rate", F.coalesce("bar", F.lit(1.0)).alias("bar"))
 
 
