@@ -3,8 +3,8 @@
 A line is the set of its words; lines of at least ``least`` different words are
 joined where their Jaccard similarity reaches 0.8, and of every such pair the later
 line (by doc_id, then line) is removed.  Pairs are judged on the input, so a
-removed line still removes later ones.  The query's SQL asks for ``MIN_TOKENS``
-words; ``dedup_documents`` joins all lines that have a word.
+removed line still removes later ones.  Every line that has a word is joined
+unless a caller asks for longer ones.
 
 Tokens are ordered by rarity: by their count in a table of fixed length over the
 whole corpus, then by hash.  The order is total and the same for every line,
@@ -53,7 +53,7 @@ from .clusterio import chunk_count, lean, lean_pair, read, shielded, summed_vect
 from .exchange import bucket_bits, pack48, received, send, sized_pack, sized_unpack, unpack48
 from .textcore import U64, blocks, mix, slice_hashes, words_of
 
-MIN_TOKENS = 5
+MIN_TOKENS = 1
 #: Least size of a set that can be similar to another: 4 of 5 words are Jaccard 0.8.
 JOINED = 4
 RANK_BITS, HASH_BITS = 18, 29

@@ -107,7 +107,7 @@ from d left join t using (rid)""",
 with d as (select row_number() over (order by doc_id nulls last, text nulls last) as rid, doc_id, string_split(coalesce(text, ''), chr(10)) as ls, coalesce(text, '') = '' as bare from documents),
   l as (select rid, doc_id, unnest(range(0, len(ls))) as no, unnest(ls) as line from d),
   t as (select rid, no, list_sort(list_distinct(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) as s from l where doc_id is not null),
-  m as (select rid, no, rid * 1000000 + no as place, s from t where len(s) >= 5),
+  m as (select rid, no, rid * 1000000 + no as place, s from t where len(s) >= 1),
   u as (select row_number() over () as id, s, len(s) as n, min(place) as first_at from m group by s),
   e as (select id, n, unnest(s) as tok from u),
   f as (select tok, count(*) as df from e group by tok),
