@@ -121,7 +121,7 @@ def language_model(docs, mu):
     return sorted(out, key=NULLS_LAST)
 
 
-def lines(docs, least=5):
+def lines(docs, least=1):
     docs = sorted(docs, key=lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or ""))
     flat = [(k, n, frozenset(WORD.findall(line))) for k, (d, t) in enumerate(docs) if d is not None for n, line in enumerate((t or "").split("\n"))]
     flat = [x for x in flat if len(x[2]) >= least]

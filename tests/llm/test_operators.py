@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import brute
 import numpy as np
@@ -120,6 +121,18 @@ def test_many_matches_in_one_text(spark):
     assert row["n"] == sum(want[:3]) and row["h"] == want[3]
 
 
+def test_time_goes_with_the_matches(spark):
+    """Four times the weak and strong matches of one text take no more than some eight times as long, not sixteen."""
+    took = []
+    for n in (8_000, 32_000):
+        df = spark.createDataFrame([(1, "token=abcdefghijkl%d pwd=abc1234 " % n * n)], "doc_id long, text string")
+        began = time.perf_counter()
+        row = secrets.scan(df).select(F.size("base").alias("n"), F.size("added").alias("m")).first()
+        took.append(time.perf_counter() - began)
+        assert row["n"] == n and row["m"] == 0
+    assert took[1] < 8 * took[0] + 5
+
+
 def test_scopes_need_no_pairs(spark):
     near = secrets.scan(spark.createDataFrame([(1, "login=bob " + "x " * 20 + "pwd=abcdef1"), (2, "login=bob " + "x " * 200 + "pwd=abcdef1")], "doc_id long, text string"))
     assert {r["doc_id"]: len(r["added"]) for r in near.collect()} == {1: 2, 2: 0}
@@ -145,9 +158,11 @@ def test_linked_spans_equal_all_pairs(spark, seed):
     found = secrets.candidates(df)
     got = {r["doc_id"]: {tuple(s) for s in r["added"]} for r in secrets.scan(df, 30).collect()}
     for r in found.collect():
+        part = lambda s: secrets.PART[secrets.KINDS[s[1]]]
+        weak = [w for w in r["weak"] if not any(b[0] < w[2] and w[0] < b[2] and part(b) == part(w) for b in r["base"])]
         want = set()
-        for a, k, e in r["weak"]:
-            for x, j, y in [*r["base"], *r["weak"]]:
+        for a, k, e in weak:
+            for x, j, y in [*r["base"], *weak]:
                 over = x < e and a < y
                 if secrets.PART[secrets.KINDS[j]] in secrets.NEEDS[secrets.KINDS[k]] and (secrets.KINDS[j] not in secrets.BARE if over else x <= e + 30 and y >= a - 30):
                     want.add((a, k, e))
@@ -421,6 +436,8 @@ def test_decontamination(spark, docs, small):
         out = decontaminate.contamination(frame(spark, more), df, block_words=size)
         got = rows_of(out.select("doc_id", "n_words", decontaminate.n_hit(), F.size("items"), F.sha2(F.array_join("items", ","), 256), decontaminate.n_hit() > 0))
         assert got == brute.contamination(more, items)
+        # however many blocks there are, a plan holds one pass over them
+        assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
     clean = decontaminate.decontaminate(frame(spark, more), spark.createDataFrame(bench, "item_id long, text string"))
     assert clean.filter("doc_id in (9100, 9101)").count() == 0
     left = clean.select("doc_id", "text")
@@ -459,11 +476,12 @@ def test_source_mix_comes_near_its_target(spark):
     rows = rows.withColumn("draw", mixing.drawn(mixing.SEED)).drop("text")
     out = mixing.with_copies(rows, mixing.source_plan(rows))
     for r in out.groupBy("source").agg(F.sum(F.col("size") * F.col("n_copies")).alias("t"), F.first("target").alias("w")).collect():
-        assert abs(r["t"] - r["w"]) <= 45
+        # less than the document at the bar; 45 held while the nearer side was always taken, at a chance of 0 or 1
+        assert abs(r["t"] - r["w"]) < 90
 
 
-def test_bars_are_the_nearest(spark, docs):
-    """Each source takes the run of least draws whose words come nearest its share."""
+def test_bars_are_at_the_mark(spark, docs):
+    """Each source takes a run of least draws, of which the words stop at one of the two steps around its share."""
     nulls = [(None, f"text of no id {k} " * (k % 5 + 1)) for k in range(300)]
     df = spark.createDataFrame(docs + nulls, "doc_id long, text string").withColumn("source", F.when(F.col("doc_id").isNull(), "none").when(F.col("doc_id") % 5 == 0, "a").when(F.col("doc_id") % 5 == 1, "few"))
     draws = {}
@@ -475,9 +493,19 @@ def test_bars_are_the_nearest(spark, docs):
         total, rate = sum(n for _, n in own), rates[source]
         share = rate - int(rate + 1e-12)
         sums = {0} | {sum(n for d, n in own if d <= bar) for bar, _ in own}
-        least = min(abs(x - share * total) for x in sums) if share > 0 else 0
-        assert abs(taken[source] - int(rate + 1e-12) * total - share * total) == pytest.approx(least, abs=1e-6)
-        assert sum(n for _, n in own) == 0 or taken[source] > 0
+        extra = taken[source] - int(rate + 1e-12) * total
+        mark = share * total if share > 1e-9 else 0
+        assert extra in {max(x for x in sums if x <= mark), min((x for x in sums if x >= mark), default=0)}
+        assert total == 0 or taken[source] > 0
+
+
+def test_sources_of_one_document_take_copies_by_chance(spark):
+    rows = spark.range(999).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.lpad(F.col("id").cast("string"), 4, "0")).alias("source"), F.repeat(F.lit("w "), 100).alias("text"))
+    out = mixing.mix_plan(rows).groupBy(F.round(F.col("target") / 100, 3).alias("rate")).agg(F.avg("n_copies").alias("mean"), F.count_distinct("n_copies").alias("kinds"), F.count("*").alias("n"))
+    for r in out.collect():
+        part = r["rate"] % 1
+        assert abs(r["mean"] - r["rate"]) < 4 * (part * (1 - part) / r["n"]) ** 0.5 + 1e-3
+        assert r["kinds"] == (2 if 0.02 < part < 0.98 else 1)
 
 
 def test_classifier(spark, small):
