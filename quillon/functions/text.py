@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
+from html.entities import name2codepoint
 
 import pandas as pd
 from pyspark.sql import Column
@@ -30,6 +32,26 @@ def plain(x: Column) -> Column:
     return F.regexp_replace(F.translate(F.coalesce(x, F.lit("")), _FROM, _TO), r"[^\x00-\x7F]", "")
 
 
+def unaccented(x: Column) -> Column:
+    """Accented letters as their plain ones, all else as it is: every place keeps its character."""
+    return F.translate(F.coalesce(x, F.lit("")), _FROM, _TO)
+
+
+def wrapped(shape: str) -> str:
+    """A pattern of a shape whose characters may stand apart, as where a line breaks.
+
+    ``d`` is a digit, a blank any blanks, other characters are themselves.  Take
+    the blanks out of a match to have it unwrapped.
+    """
+    atoms = {"d": "[0-9]", " ": r"\s"}
+    escape = lambda c: c if c.isalnum() else "\\" + c
+    return r"\s*".join(atoms.get(c, escape(c)) for c in shape)
+
+
+def unwrapped(x: Column) -> Column:
+    return F.regexp_replace(x, r"\s+", "")
+
+
 def norm(x: Column) -> Column:
     """Plain upper case, runs of other characters as one blank."""
     return F.trim(F.regexp_replace(F.upper(plain(x)), "[^A-Z0-9]+", " "))
@@ -144,9 +166,30 @@ def partial_ratio(a: Column, b: Column) -> Column:
     return _scored(partial_likeness)(a, b)
 
 
+_ENTITY = "&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
+
+def unescaped(x: Column) -> Column:
+    """Character references resolved: decimal, hexadecimal and the named ones of HTML 4.
+
+    A name that is none stays as it is; a number that is no character becomes U+FFFD.
+    """
+    t = F.coalesce(x, F.lit(""))
+    names = F.from_json(F.lit(json.dumps({k: chr(v) for k, v in name2codepoint.items()})), "map<string,string>")
+
+    def resolved(e: Column) -> Column:
+        hexed = F.when(e.rlike("^#[xX]"), F.substring(e, 3, 8)).otherwise(F.hex(F.substring(e, 2, 8).try_cast("int")))
+        point = F.lpad(hexed, 8, "0")
+        sound = (point > "00000000") & (point <= "0010FFFF") & ~point.between("0000D800", "0000DFFF")
+        letter = F.when(sound, F.decode(F.unhex(F.when(sound, point)), "UTF-32")).otherwise("\ufffd")
+        return F.when(e.startswith("#"), letter).otherwise(F.coalesce(F.try_element_at(names, e), F.concat(F.lit("&"), e, F.lit(";"))))
+
+    found = F.transform(F.regexp_extract_all(t, F.lit(_ENTITY), F.lit(1)), lambda e: resolved(F.when(e.startswith("#"), F.upper(e)).otherwise(e)))
+    pairs = F.arrays_zip(F.split(t, _ENTITY, -1).alias("a"), found.alias("b"))
+    return F.when(t.contains("&"), F.array_join(F.transform(pairs, lambda p: F.concat(p["a"], F.coalesce(p["b"], F.lit("")))), "")).otherwise(t)
+
+
 def html_text(x: Column) -> Column:
-    """Tags away, the common entities resolved, blanks squeezed."""
-    t = F.regexp_replace(F.coalesce(x, F.lit("")), r"(?s)<[^>]+>", " ")
-    for name, value in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        t = F.replace(t, F.lit(name), F.lit(value))
-    return F.trim(F.regexp_replace(t, r"\s+", " "))
+    """Tags away, character references resolved, blanks squeezed."""
+    t = unescaped(F.regexp_replace(F.coalesce(x, F.lit("")), r"(?s)<[^>]+>", " "))
+    return F.trim(F.regexp_replace(t, r"[\s\u00a0]+", " "))

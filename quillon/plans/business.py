@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import ids, text
-from ..operators import claims, layout, pricing, prose, rules
+from ..operators import claims, pricing, prose, rules
 from ..sources import api, files, pages
 from .catalog import query
 from .domain import Domain, oracle_with
@@ -273,14 +273,6 @@ def json_flatten(d: Domain):
     return flat.select(F.substring("case_number", 1, 7).cast("bigint").alias("event_id"), "case_number", "stage", "grant_signal", "n_movements", "last_movement", F.size("movements").alias("n_kept"))
 
 
-@query("""with recursive l as (select p.page_id as src, q.page_id as dst from pages p join pages q on q.page_id = p.page_id * 2 + 1 or q.page_id = p.page_id * 2 + 2), f(url, depth) as (select cast(0 as bigint), 0 union select l.dst, depth + 1 from f join l on l.src = f.url where depth < 3) select url, min(depth) as depth from f group by url""")
-def crawl_frontier(d: Domain):
-    p = d.table("pages").select(F.col("page_id").alias("src"))
-    child = F.explode(F.array(F.col("src") * 2 + 1, F.col("src") * 2 + 2)).alias("dst")
-    links = p.select("src", child).join(p.select(F.col("src").alias("dst")), "dst", "left_semi")
-    return pages.crawl_frontier(links, p.filter("src = 0").select(F.col("src").alias("url")), 3)
-
-
 @query("""with p as (select page_id, url, regexp_replace(regexp_extract(lower(url), '://([^/?#:]*)', 1), '^www\\.', '') as domain, length(url) % 4 as score from pages), r as (select domain, url, max(score) as score from p group by domain, url), k as (select *, row_number() over (partition by domain order by score desc, url) as rank from r where score > 0) select domain, url, cast(score as int) as score, cast(rank as int) as rank from k where rank <= 3""")
 def capped_candidates(d: Domain):
     p = d.table("pages").select("url", pages.host(F.col("url")).alias("domain"), (F.length("url") % 4).alias("score"), F.lit("LIST").alias("kind"))
@@ -317,12 +309,3 @@ def markdown_scan(d: Domain):
 def content_dedupe(d: Domain):
     docs = d.table("documents").select("doc_id", F.sha1(F.col("text").cast("binary")).alias("sha1"))
     return docs.groupBy("sha1").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("n_aliases"))
-
-
-# --- no SQL oracle: order-dependent folds and fuzzy scores -----------------------------
-@query()
-def fuzzy_match(d: Domain):
-    """Company names that agree with their neighbour's, by token set."""
-    s = d.table("supplier").select("s_suppkey", "s_name")
-    other = s.select((F.col("s_suppkey") - 1).alias("s_suppkey"), F.col("s_name").alias("other"))
-    return s.join(other, "s_suppkey").select("s_suppkey", text.token_set_ratio(F.col("s_name"), F.col("other")).alias("score"))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import resolve
+from ..functions.text import token_set_ratio
+from ..operators import kin, resolve
 from .catalog import query
 from .domain import Domain, oracle_with
+from .sqltext import token_sets
 
 
 @query(f"""{oracle_with("docs")} select doc_id, case when doc_id % 3 = 0 then case_number when doc_id % 3 = 1 then 'portal' end as case_number, case when doc_id % 3 = 0 and case_number is not null then '' when doc_id % 3 = 1 then 'CASE_FROM_PAGE' else 'CASE_NUMBER_MISSING' end as case_flag,
@@ -39,18 +41,39 @@ def slug_names(d: Domain):
     return d.table("customer").select("c_custkey", s["name"].alias("name"), s["proceeding"].alias("proceeding"))
 
 
-@query("""select c_custkey, case c_custkey % 6 when 0 then 'own root' when 1 then 'group member' when 2 then 'shared head name' when 3 then 'same name' when 4 then 'shared partner' else '' end as kin from customer""")
+_KIN_SIDES = f"""c as (select lpad(cast(s_suppkey as varchar), 8, '0') as root, case s_suppkey % 3 when 0 then 'ALFA' || s_suppkey // 3 || ' BETA' || s_suppkey % 40 || ' COMERCIO LTDA' when 1 then 'BETA' || s_suppkey % 40 || ' ALFA' || s_suppkey // 3 || ' SERVICOS SA' else 'GAMA' || s_suppkey // 3 || ' BETA' || s_suppkey % 40 || ' KAPPA' || s_suppkey % 40 || ' LTDA' end as name, 'SOCIO' || s_suppkey % 200 || ' SILVA' as partner from supplier),
+  d as (select c_custkey as debtor_id, case when c_custkey % 7 = 0 then lpad(cast(c_custkey % 2000 as varchar), 8, '0') end as own_root, case when c_custkey % 11 = 0 then lpad(cast(c_custkey * 3 % 3000 as varchar), 8, '0') end as member, case when c_custkey % 5 = 0 then 'SOCIO' || c_custkey % 1500 || ' SILVA' end as partner,
+    case c_custkey % 4 when 0 then 'GRUPO ALFA' || c_custkey % 101 // 3 || ' PARTICIPACOES' when 1 then 'GAMMA' || c_custkey % 101 // 3 || ' BETA' || c_custkey % 101 % 40 || ' KAPPA' || c_custkey % 101 % 40 || ' LTDA' when 2 then 'OMEGA' || c_custkey % 101 || ' BETA' || c_custkey % 101 % 40 || ' HOLDING' else 'SIGMA' || c_custkey % 101 || ' TAU' || c_custkey % 101 end as debtor from customer),
+  ct as (select *, list_filter(string_split(name, ' '), lambda w: length(w) >= 3) as toks from c), g as (select list(tok) as gen from (select tok from (select distinct root, unnest(toks) as tok from ct) group by tok having count(*) >= 6)),
+  cw as (select ct.*, list_filter(toks, lambda w: not list_contains(coalesce(gen, []), w)) as words from ct, g), dw as (select d.*, list_filter(list_filter(string_split(debtor, ' '), lambda w: length(w) >= 3), lambda w: not list_contains(coalesce(gen, []), w)) as dwords from d, g)"""
+
+
+@query(f"""with {_KIN_SIDES}, p as (select cw.root, dw.debtor_id, name, debtor, words, dwords, coalesce(own_root = root, false) as own, coalesce(member = root, false) as grp, coalesce(cw.partner = dw.partner, false) as soc, list_intersect(words, dwords) as shared from cw, dw),
+  q as (select * from p where own or grp or soc or len(shared) > 0), {token_sets("q", "debtor", "name")},
+  r as (select *, case when own then 'own root' when grp then 'group member' when list_contains(shared, words[1]) or list_contains(shared, dwords[1]) then 'shared head name' when len(shared) > 0 and len(dwords) >= 2 and score >= 90 then 'same name' when soc then 'shared partner' end as kin from scored)
+  select root, debtor_id, kin from r where kin is not null""")
 def kinship(d: Domain):
-    k = F.col("c_custkey") % 6
-    none = F.array().cast("array<string>")
-    debtor = F.when(k == 3, "CONSTRUTORE MERIDIONAL DELTA").otherwise("ALFA SERVICOS")
-    name = F.when(k == 2, "ALFA TRANSPORTES").when(k == 3, "CONSTRUTORA MERIDIONALS DELTA").otherwise("GAMA LTDA")
-    generic = F.array(*map(F.lit, ("SERVICOS", "LTDA", "TRANSPORTES")))
-    kin = resolve.kinship(
-        F.when(k == 0, "11111111").otherwise("22222222"), name, F.lit("11111111"), F.when(k == 1, F.array(F.lit("22222222"))).otherwise(none), debtor,
-        F.when(k == 4, F.array(F.lit("ANA LIMA"))).otherwise(none), F.array(F.lit("ANA LIMA"), F.lit("JOSE PAZ")), generic,
-    )
-    return d.table("customer").select("c_custkey", kin.alias("kin"))
+    """All creditors against all debtors, by what they share."""
+    k, c = F.col("s_suppkey"), F.col("c_custkey")
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    third, x = F.floor(k / 3), c % 101
+    name = F.when(k % 3 == 0, text("ALFA", third, " BETA", k % 40, " COMERCIO LTDA")).when(k % 3 == 1, text("BETA", k % 40, " ALFA", third, " SERVICOS SA")).otherwise(text("GAMA", third, " BETA", k % 40, " KAPPA", k % 40, " LTDA"))
+    creditors = d.table("supplier").select(F.lpad(k.cast("string"), 8, "0").alias("root"), name.alias("name"), kin.partner_keys(F.array(text("Sócio", k % 200, " Silva"))).alias("partners"))
+    debtor = F.when(c % 4 == 0, text("GRUPO ALFA", F.floor(x / 3), " PARTICIPACOES")).when(c % 4 == 1, text("GAMMA", F.floor(x / 3), " BETA", x % 40, " KAPPA", x % 40, " LTDA"))
+    debtor = debtor.when(c % 4 == 2, text("OMEGA", x, " BETA", x % 40, " HOLDING")).otherwise(text("SIGMA", x, " TAU", x))
+    root = lambda v: F.lpad(v.cast("string"), 8, "0")
+    debtors = d.table("customer").select(
+        c.alias("debtor_id"), F.when(c % 7 == 0, root(c % 2000)).alias("root"), F.when(c % 11 == 0, F.array(root(c * 3 % 3000))).alias("member_roots"), debtor.alias("name"), F.when(c % 5 == 0, kin.partner_keys(F.array(text("Sócio", c % 1500, " Silva")))).alias("partners")
+    )
+    return kin.related(creditors, debtors, resolve.frequent_tokens(creditors, "name"))
+
+
+@query(f"""with n as (select a.s_suppkey, upper(replace(a.s_name, '#', ' ')) as x, upper(replace(b.s_name, '#', ' ')) as y from supplier a join supplier b on b.s_suppkey = a.s_suppkey + 1), {token_sets("n", "x", "y")} select s_suppkey, score from scored""")
+def fuzzy_match(d: Domain):
+    """Company names that agree with their neighbour's, by word sets."""
+    s = d.table("supplier").select("s_suppkey", "s_name")
+    other = s.select((F.col("s_suppkey") - 1).alias("s_suppkey"), F.col("s_name").alias("other"))
+    return s.join(other, "s_suppkey").select("s_suppkey", token_set_ratio(F.col("s_name"), F.col("other")).alias("score"))
 
 
 _PRINTED = [("ALFA COMERCIO LTDA", "ALFA COMERCIO E SERVICOS LTDA", False), ("BETA LTDA", "GAMA TEXTIL SA", True), ("EMPRESA MINEIRA COMPUTADORES", "EMC TECNOLOGIA", False), ("DELTAMAQ", "DELTA MAQUINAS", False), ("RUA DAS FLORES", "GAMA TEXTIL SA", False)]
@@ -129,3 +152,42 @@ def verified_name_ingest(d: Domain):
         F.lit(None).cast("string").alias("proceeding"), ((k % 5) / 5.0).alias("confidence"),
     )
     return resolve.verified_names(readings).select(F.col("case_number").alias("o_orderkey"), "verified_name", "verified_cnpj")
+
+
+_NAMED = "['Alfa', 'Beta', 'Gama', 'Delta', 'Épsilon', 'Zeta']"
+
+
+@query(f"""with o as (select o_orderkey as doc_id, o_orderkey % 10 as way, {_NAMED}[o_custkey % 6 + 1] || ' ' || o_custkey as n from orders)
+  select doc_id, case when doc_id % 11 = 0 then 'known' else case way when 0 then n || ' Ltda' when 1 then n || ' S.A' when 2 then n || ' Comércio' when 3 then n || ' ME' when 4 then n || ' e Filhos Ltda' when 5 then n || ' SA' when 6 then n || ' Têxtil' when 7 then n || ' EPP' when 8 then n || ' Cia' else '' end end as debtor from o""")
+def debtors_from_texts(d: Domain):
+    """Each wording wins somewhere: alone, behind a better one without a credible name, behind incredible matches of its own."""
+    o = F.col("o_orderkey")
+    n = F.concat(F.element_at(F.array(*map(F.lit, ("Alfa", "Beta", "Gama", "Delta", "Épsilon", "Zeta"))), (F.col("o_custkey") % 6 + 1).cast("int")), F.lit(" "), F.col("o_custkey").cast("string"))
+    ways = {
+        0: F.concat(F.lit("Processo 1\nRecuperanda(s): "), n, F.lit(" Ltda, CNPJ 1\nAutora: Outra Empresa SA")),
+        1: F.concat(F.lit("RECUPERANDA: 2ª Vara Empresarial\nRequerente – "), n, F.lit(" S.A. (e outras)")),
+        2: F.concat(F.lit("Devedor: Dr. João, OAB 1\nDEVEDORA: "), n, F.lit(" Comércio; passivo")),
+        3: F.concat(F.lit("Pedido: "), n, F.lit(" ME (REQUERENTE)")),
+        4: F.concat(F.lit("ação ajuizada pelas: (i) "), n, F.lit(" e Filhos Ltda; (ii) Outra")),
+        5: F.concat(F.lit("Pedido de Recuperação Judicial de Empresa "), n, F.lit(" SA e sócios")),
+        6: F.concat(F.lit("RJ do Grupo "), n, F.lit(" Têxtil\nfls. 2")),
+        7: F.concat(F.lit("Recuperanda: Administradora Judicial X\nRecuperanda: "), n, F.lit(" EPP CNPJ 2")),
+        8: F.concat(F.lit("Autores: ab\n"), F.lit("RECUPERACAO JUDICIAL DA "), n, F.lit(" Cia, em curso")),
+        9: F.lit("Edital de credores da comarca"),
+    }
+    text = F.lit("")
+    for way, t in ways.items():
+        text = F.when(o % 10 == way, t).otherwise(text)
+    docs = d.table("orders").select(o.alias("doc_id"), text.alias("text"))
+    return resolve.read_debtors(docs, docs.filter("doc_id % 11 = 0").select("doc_id", F.lit("known").alias("debtor")))
+
+
+@query(f"""with c as (select c_custkey as k, {_NAMED}[c_custkey % 6 + 1] || c_custkey as n from customer)
+  select k, case k % 5 when 0 then n || ' Indústria Ltda' when 1 then n || ' Têxtil' when 2 then 'Grupo ' || n when 3 then '' else n || ' SA' end as debtor from c""")
+def debtors_from_titles(d: Domain):
+    """Parts of titles and hints: offices, the site's own name and numbers go, company-like ones win."""
+    k = F.col("c_custkey")
+    n = F.concat(F.element_at(F.array(*map(F.lit, ("Alfa", "Beta", "Gama", "Delta", "Épsilon", "Zeta"))), (k % 6 + 1).cast("int")), k.cast("string"))
+    title = F.when(k % 5 == 0, F.concat(F.lit("Processos - "), n, F.lit(" Indústria Ltda | Silva Consultoria"))).when(k % 5 == 1, F.concat(F.lit("Recuperação Judicial da "), n, F.lit(" Têxtil – Advogados"))).when(k % 5 == 2, F.concat(F.lit("Uma Empresa Bem Longa - Grupo "), n)).when(k % 5 == 3, "Início | 123-4 | silvaaj").otherwise("silvaaj")
+    hint = F.when(k % 5 == 4, F.concat(n, F.lit(" SA")))
+    return d.table("customer").select(k.alias("k"), resolve.best_title(title, hint, F.lit("silvaaj.com.br")).alias("debtor"))

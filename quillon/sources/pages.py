@@ -27,17 +27,37 @@ def host(url: Column) -> Column:
     return F.regexp_replace(F.lower(F.parse_url(url, F.lit("HOST"))), r"^www\.", "")
 
 
+def quoted(path: Column) -> Column:
+    """Characters that no address may hold as %XX of their UTF-8 bytes; what is quoted already stays."""
+    unsafe = r"[^A-Za-z0-9\-._~:/?#\[\]@!$&'()*+,;=%]+"
+    marks = F.transform(F.regexp_extract_all(path, F.lit(f"({unsafe})"), F.lit(1)), lambda x: F.replace(F.url_encode(x), F.lit("+"), F.lit("%20")))
+    pairs = F.arrays_zip(F.split(path, unsafe, -1).alias("a"), marks.alias("b"))
+    return F.when(path.rlike(unsafe), F.array_join(F.transform(pairs, lambda p: F.concat(p["a"], F.coalesce(p["b"], F.lit("")))), "")).otherwise(path)
+
+
+def without_dots(path: Column) -> Column:
+    """``.`` and ``..`` segments of a path resolved; it never climbs above its root."""
+    segments = F.split(path, "/", -1)
+    none = F.array().cast("array<string>")
+    kept = F.aggregate(segments, none, lambda acc, s: F.when(s == ".", acc).when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(1)))).otherwise(F.concat(acc, F.array(s))))
+    tail = F.when(F.element_at(segments, -1).isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), F.array_join(tail, "/")).otherwise(path)
+
+
 def absolute(base: Column, href: Column) -> Column:
-    """``href`` against ``base``, without its fragment."""
-    scheme_host = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
-    folder = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^?#]*/)", 1)
-    joined = (
-        F.when(href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), href)
-        .when(href.startswith("//"), F.concat(F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1), href))
-        .when(href.startswith("/"), F.concat(scheme_host, href))
-        .otherwise(F.concat(F.when(folder.rlike("//[^/]+/"), folder).otherwise(F.concat(scheme_host, F.lit("/"))), href))
-    )
-    return F.substring_index(joined, "#", 1)
+    """``href`` against ``base``: dot segments resolved, characters quoted, without its fragment."""
+    href = F.trim(href)
+    root = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
+    own = F.regexp_extract(base, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    folder = F.coalesce(F.nullif(F.regexp_extract(own, "^(.*/)", 1), F.lit("")), F.lit("/"))
+    relative = F.regexp_extract(href, "^([^?#]*)", 1)
+    query = F.regexp_extract(href, r"^[^?#]*(\?[^#]*)", 1)
+    path = F.when(relative == "", F.when(own == "", "/").otherwise(own)).when(relative.startswith("/"), relative).otherwise(F.concat(folder, relative))
+    full = F.when(href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), href).when(href.startswith("//"), F.concat(F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*:)", 1), href))
+    given = F.regexp_extract(full, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
+    rest = F.regexp_extract(full, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    whole = F.when(given == "", F.substring_index(full, "#", 1)).otherwise(F.concat(given, quoted(without_dots(rest)), quoted(F.regexp_extract(full, r"(\?[^#]*)", 1))))
+    return F.when(full.isNotNull(), whole).otherwise(F.concat(root, quoted(without_dots(path)), quoted(query)))
 
 
 def candidates(links: DataFrame, url: str, group: str, cap: int) -> DataFrame:
@@ -53,6 +73,7 @@ def classified(links: DataFrame, words: dict[str, str] | None = None) -> DataFra
 
 
 def case_numbers(text: Column, cap: int = 6) -> Column:
+    """The first ``cap`` case numbers of a page, in order; the described system keeps as many."""
     return F.slice(F.array_sort(F.array_distinct(F.regexp_extract_all(text, F.lit(f"({CASE})"), F.lit(1)))), 1, cap)
 
 
@@ -76,9 +97,19 @@ def listing_keys(xml: DataFrame, cap: int | None = None) -> DataFrame:
     return keys if cap is None else keys.orderBy("key").limit(cap)
 
 
-def deduplicated(files: DataFrame) -> DataFrame:
-    """Files (url, content) by content hash; not a PDF becomes an error row."""
-    pdf = F.substring(F.hex(F.substring("content", 1, 4)), 1, 8) == "25504446"
-    key = F.when(pdf, F.sha1("content")).otherwise(F.concat(F.lit("ERR:"), F.sha1(F.col("url").cast("binary"))))
-    each = files.select(key.alias("sha1"), "url", F.length("content").alias("size"), F.when(~pdf, F.lit("NOT_PDF")).alias("error"))
+def to_download(links: DataFrame, known: DataFrame) -> DataFrame:
+    """Addresses (url) that no earlier record (known: url or its aliases) holds: a file is asked for once."""
+    seen = known.select(F.explode(F.array_union(F.array("url"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("url")).distinct()
+    return links.join(seen, "url", "left_anti").dropDuplicates(["url"])
+
+
+def deduplicated(files: DataFrame, content: str = "25504446") -> DataFrame:
+    """Files (url, content) by content hash, the least url first, the others as aliases.
+
+    ``content`` is the hexadecimal beginning that a file of the wanted kind has;
+    others, and missing contents, become error rows of their own address.
+    """
+    wanted = F.coalesce(F.hex(F.substring("content", 1, 16)).startswith(content), F.lit(False))
+    key = F.when(wanted, F.sha1("content")).otherwise(F.concat(F.lit("ERR:"), F.sha1(F.col("url").cast("binary"))))
+    each = files.select(key.alias("sha1"), "url", F.length("content").alias("size"), F.when(~wanted, F.lit("NOT_PDF")).alias("error"))
     return each.groupBy("sha1").agg(F.min("url").alias("url"), F.array_sort(F.collect_set("url")).alias("aliases"), F.max("size").alias("size"), F.max("error").alias("error"))
