@@ -247,18 +247,6 @@ def anchor_extract(d: Domain):
     return out.select("page_id", "has_title", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_links"), F.coalesce(hrefs, F.lit("")).alias("hrefs"))
 
 
-_WORDS = {"hard": r"\bder\b", "skip": "the|und", "strong": "er[a-z]{0,3}en", "plan": "tion", "grant": "ou", "list": "an"}
-
-
-@query(f"""with l as (select page_id, lower(strip_accents(h.href || ' ' || regexp_replace(regexp_replace(h.txt, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'))) as s from (select page_id, unnest(list_zip(regexp_extract_all(html, '(?is)<a\\b[^>]*?href\\s*=\\s*["'']([^"''#]+)["''][^>]*>(.*?)</a>', 1), regexp_extract_all(html, '(?is)<a\\b[^>]*?href\\s*=\\s*["'']([^"''#]+)["''][^>]*>(.*?)</a>', 2))) as z, {{'href': z[1], 'txt': z[2]}} as h from pages)),
-  k as (select page_id, case when regexp_matches(s, '\\bder\\b') then 'SKIP' when regexp_matches(s, 'the|und') and not regexp_matches(s, 'er[a-z]{{0,3}}en') then 'SKIP' when regexp_matches(s, 'er[a-z]{{0,3}}en') then 'LIST' when regexp_matches(s, 'tion') then 'PLAN' when regexp_matches(s, 'ou') then 'HOMOLOG' when regexp_matches(s, 'an') then 'LIST' else 'OTHER' end as kind,
-    case when regexp_matches(s, '\\bder\\b') then 0 when regexp_matches(s, 'the|und') and not regexp_matches(s, 'er[a-z]{{0,3}}en') then 0 when regexp_matches(s, 'er[a-z]{{0,3}}en') then 3 when regexp_matches(s, 'tion') then 2 when regexp_matches(s, 'ou') then 2 when regexp_matches(s, 'an') then 1 else 0 end as score from l)
-  select page_id, kind, score, count(*) as n from k group by all""")
-def link_classifier(d: Domain):
-    links = pages.classified(pages.anchors(d.table("pages"), ["page_id"]), _WORDS)
-    return links.groupBy("page_id", "kind", "score").agg(F.count("*").alias("n"))
-
-
 @query("""select event_id, lpad(cast(event_id as varchar), 7, '0') || '-11.2020.8.26.0001' as case_number, case when user_id % 4 = 0 then 'CONVERTED_TO_BANKRUPTCY' when user_id % 4 = 1 then 'CLOSED' else 'ACTIVE' end as stage, user_id % 4 = 2 as grant_signal, cast(1 + user_id % 50 as int) as n_movements, cast(ts as date) as last_movement, cast(least(1 + user_id % 50, 40) as int) as n_kept from events""")
 def json_flatten(d: Domain):
     e = d.table("events")
@@ -303,9 +291,3 @@ def markdown_scan(d: Domain):
     lines = d.table("orders").select(F.col("o_orderkey").alias("pos"), row.alias("value")).union(d.spark.sql("select cast(-1 as bigint), '|---|---|'"))
     out = files.markdown_rows(lines)
     return out.select(F.regexp_extract("creditor_name", "([0-9]+)$", 1).cast("bigint").alias("o_orderkey"), "creditor_name", "company", "case_number", "amount")
-
-
-@query("select sha1(text) as sha1, min(doc_id) as first_doc, count(*) as n_aliases from documents group by 1")
-def content_dedupe(d: Domain):
-    docs = d.table("documents").select("doc_id", F.sha1(F.col("text").cast("binary")).alias("sha1"))
-    return docs.groupBy("sha1").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("n_aliases"))

@@ -137,13 +137,6 @@ def debtor_names(d: Domain):
     return d.view("cases").select("custkey", resolve.debtor_name(verified, F.concat(F.lit("Reg "), k), F.col("registry"), hint).alias("debtor"))
 
 
-@query("""select s_suppkey, case s_suppkey % 4 when 0 then 'NOT_IN_RFB' when 3 then 'NAME_MISMATCH' else 'ACCEPTED' end as verdict from supplier""")
-def registry_accept(d: Domain):
-    k = F.col("s_suppkey") % 4
-    registry = F.when(k == 1, "ZZZ EM RECUPERACAO JUDICIAL").when(k == 2, "ALFA BETA COMERCIO").when(k == 3, "QWERTY UIOP")
-    return d.table("supplier").select("s_suppkey", resolve.registry_verdict(F.lit("ALFA BETA"), registry).alias("verdict"))
-
-
 @query("""select o_orderkey, 'Reader ' || o_orderkey as verified_name, case when o_orderkey % 2 = 0 then lpad(cast(o_orderkey as varchar), 14, '0') end as verified_cnpj from orders where o_orderkey % 5 >= 3""")
 def verified_name_ingest(d: Domain):
     k = F.col("o_orderkey")

@@ -144,49 +144,12 @@ def case_number_parts(d):
 
 
 # --- classifiers ---------------------------------------------------------------------
-_LINES = [
-    "CLASSE III - Credores Quirografários", "Credores com garantia real", "TOTAL GERAL DA CLASSE III: R$ 10,00", "Créditos não sujeitos à recuperação", "Fazenda Pública",
-    "Documento assinado eletronicamente", "Total Distribuidora Ltda", "Relação de credores trabalhistas", "Transportes Bom Dia ME 12", "SOMA", "Pequeno porte",
-]
-_LINE_KIND = ["CLASS", "CLASS", "TOTAL", "BOUNDARY", "BOUNDARY", "NOISE", "ROW", "CLASS", "ROW", "TOTAL", "ROW"]
-_LINE_CLASS = ["III", "II", "III", None, None, None, None, "I", None, None, "IV"]
-
-
 def _values(*columns) -> str:
     """Rows (k, ...) as SQL literals."""
     lit = lambda v: "null" if v is None else (str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'")
     return "(values " + ", ".join("(" + ", ".join([str(k), *map(lit, row)]) + ")" for k, row in enumerate(zip(*columns, strict=True))) + ")"
 
 
-def _pick(lines: list[str], key: str):
-    """The line of a row, chosen by its key."""
-    return F.element_at(F.array(*map(F.lit, lines)), (F.col(key) % len(lines) + 1).cast("int"))
-
-
-@query(f"""select event_id, kind, class from events join {_values(_LINE_KIND, _LINE_CLASS)} t(k, kind, class) on event_id % {len(_LINES)} = k""")
-def heading_classifier(d):
-    line = _pick(_LINES, "event_id")
-    return d.table("events").select("event_id", rules.line_kind(line).alias("kind"), rules.class_of_text(line).alias("class"))
-
-
-_DOCS = ["Quadro Geral de Credores", "Relação do Administrador Judicial, art. 7º, § 2º", "Plano de Recuperação Judicial", "Edital, art. 52 da lei", "O Administrador apresenta lista", "Sentença que homologa", "Petição", "Segunda Lista de credores"]
-_DOC_KIND = ["QGC", "AJ_LIST", "PLAN", "DEBTOR_LIST", "AJ_LIST", "HOMOLOG", "UNKNOWN", "AJ_LIST"]
-
-
-@query(f"""select o_orderkey, kind from orders join {_values(_DOC_KIND)} t(k, kind) on o_orderkey % {len(_DOCS)} = k""")
-def doc_type_rules(d):
-    return d.table("orders").select("o_orderkey", rules.document_type(_pick(_DOCS, "o_orderkey")).alias("kind"))
-
-
-_TITLES = ["Diretor Financeiro", "Gerente de Marketing", "Coordenador de Cobrança", "Analista", "Sócia", "Assistente Financeiro", "Gerente de Compras", "Diretor de Vendas", None]
-_TIERS = ["A", "C", "A", "C", "A", "A", "B", "C", "C"]
-
-
-@query(f"""select c_custkey, tier from customer join {_values(_TIERS)} t(k, tier) on c_custkey % {len(_TITLES)} = k""")
-def title_tier(d):
-    return d.table("customer").select("c_custkey", rules.title_tier(_pick(_TITLES, "c_custkey")).alias("tier"))
-
-
 _NAMES = ["ALFA SA", "BETA S.A.", "GAMA LTDA", "DELTA S/A", ""]
 
 
@@ -205,49 +168,3 @@ def book_type(d):
     c = d.view("companies")
     f = rules.registry_flags(F.col("activity"), F.col("nature"), F.col("situation"))
     return c.select("root", rules.book(F.col("nature"), F.col("activity"), F.lit(None).cast("boolean")).alias("book"), f["is_bank"].alias("is_bank"), f["is_public"].alias("is_public"), f["is_inactive"].alias("is_inactive"))
-
-
-_SELLERS = ["MASSA FALIDA DE X LTDA", "Y EM LIQUIDAÇÃO", "Z SA EM RECUPERAÇÃO JUDICIAL", "FIDC W", "PLAIN LTDA"]
-_SELLER_STATUS = [
-    "FALIDA — only its AJ can sell (court authorisation)", "EM LIQUIDAÇÃO — only the liquidante (BCB/court) can sell", "IN RJ ITSELF — its own judge must authorise the sale (art. 66; AJ/Comitê heard)",
-    "FUND / SECURITISER — the administrator or gestora signs; check the fund regulation", None,
-]
-
-
-@query(f"""{oracle_with("companies")}
-  select root, coalesce(s, case when situation <> '02' then 'RFB ' || situation || ' — confirm who signs' else 'ATIVA' end) as status from companies join {_values(_SELLER_STATUS)} t(k, s) on cast(root as bigint) % 5 = k""")
-def seller_status(d):
-    name = F.element_at(F.array(*map(F.lit, _SELLERS)), (F.col("root").cast("bigint") % 5 + 1).cast("int"))
-    return d.view("companies").select("root", rules.seller_status(name, F.lit(None).cast("string"), F.col("situation"), F.lit(None).cast("string")).alias("status"))
-
-
-_HEADINGS = ["Classe III - Quirografários", "Credores subordinados", "Créditos não sujeitos", "Total da Classe III", "Classe II - Garantia real", "", "Trabalhista, quirografário, garantia real", "Classe I - Trabalhistas"]
-_VERDICT = ["", "SUBORDINATED", "OUT_OF_SCOPE", "BELOW_TOTAL", "OTHER", "", "", "OTHER"]
-
-
-@query(f"""select o_orderkey, case v when 'OTHER' then case when o_orderkey % 3 = 0 then '' else 'OTHER_CLASS' end else v end as verdict from orders join {_values(_VERDICT)} t(k, v) on o_orderkey % {len(_HEADINGS)} = k""")
-def heading_verdict(d):
-    v = rules.heading_verdict(_pick(_HEADINGS, "o_orderkey"), F.col("o_orderkey") % 3 == 0, F.lit("SECTION_HEADING"))
-    return d.table("orders").select("o_orderkey", v.alias("verdict"))
-
-
-_LISTS = ["quorum da assembleia", "plano.pdf", "relação do administrador judicial", "edital de processamento", "relação de credores da recuperanda", "lista da massa falida", "qgc homologado", "qgc provisorio", "x"]
-_LIST_OUT = [
-    "Quorum list — NOT an art. 7/51 list", "Plan (art. 53) — not a list", "AJ list (art. 7 §2)", "Edital do processamento (art. 52 §1) — debtor's list as published", "Debtor list (art. 51)", "Falência creditor list (art. 99/83)",
-    "QGC homologated (art. 18)", "Provisional QGC (AJ consolidation, not homologated)", "Unclassified list",
-]
-
-
-@query(f"""select o_orderkey, kind from orders join {_values(_LIST_OUT)} t(k, kind) on o_orderkey % {len(_LISTS)} = k""")
-def list_kind(d):
-    none = F.lit(None).cast("string")
-    return d.table("orders").select("o_orderkey", rules.list_kind(F.lit("UNKNOWN"), none, _pick(_LISTS, "o_orderkey"), none).alias("kind"))
-
-
-_HEADERS = ["Valor atualizado", "2ª lista", "Crédito", "Valor", "Valor original"]
-_SCORES = [5, 4, 3, 2, 2]
-
-
-@query(f"""select o_orderkey, score from orders join {_values(_SCORES)} t(k, score) on o_orderkey % {len(_HEADERS)} = k""")
-def value_header_score(d):
-    return d.table("orders").select("o_orderkey", rules.value_header_score(_pick(_HEADERS, "o_orderkey")).alias("score"))
