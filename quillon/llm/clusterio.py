@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import re
 import tempfile
 from collections.abc import Callable
 
@@ -39,6 +40,26 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Nodes of a plan that give the same rows in the same order and split at every read.
+_STEADY = {"Project", "Filter", "Relation", "LogicalRDD", "LocalRelation"}
+_MIN_SPLITS = "spark.sql.files.minPartitionNum"
+
+
+def steady(df: DataFrame) -> DataFrame:
+    """``df`` such that every read of it gives the same rows in the same order and split.
+
+    Files are split by the number of cores at the time of the read, which follows
+    the live executors; where the session leaves that open, it is pinned to what it
+    is now.  What comes out of anything but files, filters and projections, as of a
+    shuffle, whose tasks may be run again in another order, is written first.
+    """
+    spark = df.sparkSession
+    if spark.conf.get(_MIN_SPLITS, None) is None:
+        spark.conf.set(_MIN_SPLITS, str(spark.sparkContext.defaultParallelism))
+    nodes = re.findall(r"^[\s:+|!-]*'?(\w+)", df._jdf.queryExecution().optimizedPlan().toString(), re.MULTILINE)
+    return df if set(nodes) <= _STEADY else checkpointed(df)
+
+
 def _value_bytes(value: Column, kind: T.DataType) -> Column:
     """Bytes of a value, long strings and arrays included."""
     if isinstance(kind, T.StringType | T.BinaryType):

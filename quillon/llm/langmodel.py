@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .clusterio import checkpointed, dealt, lean, lean_pair, read, text_bytes, unpacked
+from .clusterio import checkpointed, dealt, lean, lean_pair, read, steady, text_bytes, unpacked
 from .exchange import ANSWER, SCHEMA, bucket_bits, flags_for, offer, offer_bits, received, send, shared, sums, values_for
 from .textcore import LOWER, U64, Block, blocks, mix, slice_hashes, words_of
 from .trie import Trie
@@ -236,6 +236,7 @@ def _score(bits: int, wide: int, total: int, kinds: int, mu: tuple[float, float]
 
 def lm_scores(docs: DataFrame, mu: tuple[float, float] = (MU_2, MU_3)) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+    docs = steady(docs)
     size = text_bytes(docs)
     grams = size // BYTES_A_WORD
     bits, wide = bucket_bits(grams), offer_bits(grams)

@@ -31,7 +31,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 
-from .clusterio import dealt, lean, lean_pair, read, text_bytes, unpacked
+from .clusterio import dealt, lean, lean_pair, read, steady, text_bytes, unpacked
 from .exchange import ANSWER, SCHEMA, answered, bits_of, bucket_bits, flags_for, offer, offer_bits, received, send, shared
 from .textcore import SECOND, U64, blocks, covered, slice_hashes, window_hashes, words_of
 
@@ -182,6 +182,7 @@ def substring_dedup(docs: DataFrame, width: int = WINDOW, texts: bool = False) -
 
     ``texts`` adds kept_text, the kept words joined by single spaces.
     """
+    docs = steady(docs)
     size = text_bytes(docs)
     windows = size // BYTES_A_WORD
     bits, wide = bucket_bits(windows), offer_bits(windows)
