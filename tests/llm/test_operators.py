@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quillon.llm import components, crf, decontaminate, exchange, langmodel, linedup, mixing, quality_rules, secrets, simhash, substring, trie, urlfilter
+from quillon.llm import clusterio, components, crf, decontaminate, exchange, langmodel, linedup, mixing, quality_rules, secrets, simhash, substring, trie, urlfilter
 from quillon.llm.textcore import U64, blocks, slice_hashes, words_of
 
 AWKWARD = [
@@ -79,6 +79,20 @@ def test_offers_tell_what_others_hold():
             assert (flags == (np.isin(c, others) | np.isin(c, marked))).all()
 
 
+def test_frames_out_of_a_shuffle_are_written_first(spark, small, docs):
+    table = spark.read.parquet(f"{small}/documents.parquet")
+    assert clusterio.steady(table) is table and spark.conf.get("spark.sql.files.minPartitionNum") is not None
+    plain = table.filter("doc_id > 3").select("doc_id", "text")
+    assert clusterio.steady(plain) is plain
+    mixed = frame(spark, docs).repartition(5, "text")
+    assert "LogicalRDD" in clusterio.steady(mixed)._jdf.queryExecution().optimizedPlan().toString()
+    got = rows_of(substring.substring_dedup(mixed, 7).select("doc_id", "n_words", "n_removed", "kept_sha256"))
+    assert got == brute.substring(docs, 7)
+    want = {(r[0], r[2], r[3]): r[6] for r in brute.language_model(docs, (langmodel.MU_2, langmodel.MU_3))}
+    for r in langmodel.lm_scores(mixed).collect():
+        assert r["score"] == pytest.approx(want[r["doc_id"], r["n_tokens"], r["n_known"]], abs=0.02 + 1e-3 * r["n_tokens"])
+
+
 def test_elias_fano_and_trie():
     rng = np.random.default_rng(1)
     for top in (1, 50, 1 << 40, 1 << 63):
