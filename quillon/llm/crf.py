@@ -23,13 +23,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .clusterio import checkpointed, read
 from .textcore import PLAIN_WORD, U64, Block, blocks, mix, slice_hashes, words_of
 
-SAMPLE, SEED = 3_000, 17
+#: Labelled documents that the model is fitted on at most, and their lines in all; both bound what the driver holds (34 MB).
+SAMPLE, LINES, SEED = 3_000, 200_000, 17
 HELD_OUT_FOLDS, HELD_OUT_FOLD = 5, 0
 THRESHOLD = 0.3
 STEPS, RATE, DECAY = 250, 0.1, 1e-4
@@ -124,13 +125,17 @@ class Chain:
     slope: float = 1.0
     shift: float = 0.0
 
-    def marginals(self, features: np.ndarray, first: np.ndarray, weight: np.ndarray | None = None):
+    def scaled(self, features: np.ndarray) -> np.ndarray:
+        return (features - self.centre) / self.scale
+
+    def marginals(self, scaled: np.ndarray, first: np.ndarray, weight: np.ndarray | None = None):
         """P(label 1) of each line; and the expected counts of moves, weighted by
         the line that is moved to.
 
-        ``first`` holds the first line of each document and the end.
+        ``scaled`` are the features by the chain's own scale; ``first`` holds the first
+        line of each document and the end.
         """
-        potential = ((features - self.centre) / self.scale) @ self.emit
+        potential = scaled @ self.emit
         sizes = np.diff(first)
         order, alive = _by_length(sizes)
         begin, end = first[:-1][order], first[1:][order] - 1
@@ -182,21 +187,21 @@ def fit(features: np.ndarray, first: np.ndarray, labels: np.ndarray, length: np.
     doc = np.repeat(np.arange(len(sizes)), sizes)
     # each document counts alike, however many lines it has
     weight = np.repeat(1 / np.maximum(sizes, 1), sizes)
-    x = (features - centre) / scale
+    x = chain.scaled(features)
     counted = np.zeros((2, 2))
     for v in (0, 1):
         counted[v, v] = (np.maximum(sizes - 1, 0) / np.maximum(sizes, 1))[labels == v].sum()
     speed_e, speed_m = np.zeros_like(chain.emit), np.zeros((2, 2))
     total = max(float(weight.sum()), 1.0)
     for _ in range(STEPS):
-        p, moves = chain.marginals(features, first, weight)
+        p, moves = chain.marginals(x, first, weight)
         step_e = x.T @ (weight * (y - p)) / total - DECAY * chain.emit
         step_m = (counted - moves) / total - DECAY * chain.move
         speed_e = 0.9 * speed_e + step_e
         speed_m = 0.9 * speed_m + step_m
         chain.emit += RATE * speed_e
         chain.move += RATE * speed_m
-    p, _ = chain.marginals(features, first)
+    p, _ = chain.marginals(x, first)
     mean = np.clip(np.bincount(doc, weights=length * p, minlength=len(sizes)) / np.maximum(np.bincount(doc, weights=length, minlength=len(sizes)), 1e-9), 1e-6, 1 - 1e-6)
     logit = np.log(mean / (1 - mean))[sizes > 0]
     own = labels[sizes > 0]
@@ -209,8 +214,12 @@ def fit(features: np.ndarray, first: np.ndarray, labels: np.ndarray, length: np.
     return chain
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain | None:
-    """Fits on labelled documents outside the held-out fold; None without any."""
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lines: int = LINES) -> Chain | None:
+    """Fits on labelled documents outside the held-out fold; None without any.
+
+    Of the sample, documents are taken in its order while their lines add up to
+    ``lines`` at most; one of more lines than that is scored, but not learned from.
+    """
     known = labels.filter("doc_id is not null and quality is not null").filter(~held_out())
     known = known.groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
     picked = checkpointed(known.orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(sample))
@@ -225,6 +234,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain | N
                 first = np.searchsorted(x.doc, np.arange(b.n + 1))
                 for i in range(b.n):
                     own = slice(int(first[i]), int(first[i + 1]))
+                    if first[i + 1] - first[i] > lines:
+                        continue
                     yield pa.RecordBatch.from_pydict(
                         {
                             "doc_id": pa.array([ids[b.first_row + i]], pa.int64()),
@@ -236,8 +247,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain | N
 
     rows = texts.mapInArrow(measure, "doc_id long, quality int, x binary, length binary")
     # of rows that repeat an id, the one whose lines come first in byte order
-    rows = rows.groupBy("doc_id").agg(F.min(F.struct("x", "length", "quality")).alias("r")).select("doc_id", "r.*")
-    rows = rows.orderBy("doc_id").limit(sample).collect()
+    rows = checkpointed(rows.groupBy("doc_id").agg(F.min(F.struct("x", "length", "quality")).alias("r")).select("doc_id", "r.*"))
+    # at most ``sample`` rows: those whose lines fit
+    in_order = Window.orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sized = rows.select("doc_id", (F.octet_length("length") / 4).alias("n")).withColumn("n", F.sum("n").over(in_order)).filter(F.col("n") <= lines)
+    rows = rows.join(F.broadcast(sized.select("doc_id")), "doc_id", "left_semi").orderBy("doc_id").collect()
     if not rows:
         return None
     parts = [np.frombuffer(bytes(r["x"]), "<f4").reshape(-1, N_FEATURES) for r in rows]
@@ -263,7 +277,7 @@ def scored(docs: DataFrame, chain: Chain | None) -> DataFrame:
                 for b in blocks(batch.column("text")):
                     x = lines_of(b)
                     first = np.searchsorted(x.doc, np.arange(b.n + 1))
-                    p, _ = c.marginals(x.features, first)
+                    p, _ = c.marginals(c.scaled(x.features), first)
                     score[b.first_row : b.first_row + b.n] = c.quality(p, x.length, x.doc, b.n)
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "score": pa.array(score)})
 
