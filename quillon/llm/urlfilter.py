@@ -76,7 +76,8 @@ def labelled(spark: SparkSession, path: Path = LABELS) -> DataFrame:
     with path.open(newline="") as f:
         rows = [(r["url"], int(r["label"])) for r in csv.DictReader(f)]
     each = [(url.replace("://", f"://{p}", 1), y) for url, y in rows for p in HOST_PREFIXES]
-    return spark.sql("select * from values " + ", ".join(f"('{u}', {y})" for u, y in each) + " as t(url, label)")
+    quoted = lambda u: "'" + u.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return spark.sql("select * from values " + ", ".join(f"({quoted(u)}, {y})" for u, y in each) + " as t(url, label)")
 
 
 def train(table: DataFrame) -> list[float]:
