@@ -542,6 +542,19 @@ def test_classifier_trains_on_all_lines(spark, monkeypatch):
     assert seen == [(252, [0, 251, 252], 252)]
 
 
+def test_classifier_learns_from_a_bounded_number_of_lines(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(crf, "fit", lambda x, first, quality, length: seen.append((len(x), len(quality))))
+    free = [r["doc_id"] for r in spark.range(40).withColumnRenamed("id", "doc_id").filter(~crf.held_out()).collect()][:9]
+    docs = spark.createDataFrame([(d, "a line\n" * (50 if d == free[0] else 10)) for d in free], "doc_id long, text string")
+    labels = spark.createDataFrame([(d, d % 2) for d in free], "doc_id long, quality int")
+    crf.train(docs, labels, lines=45)
+    crf.train(docs, labels, lines=130)
+    # the longest alone is over the first bound; under the second all are taken
+    assert seen == [(40, 4), (130, 9)]
+
+
+
 def test_repeated_ids_train_alike(spark):
     rows = [(k % 40, ("good words in a row here. " if k % 2 else "### buy $$$ now !!! ") * (k % 7 + 1)) for k in range(200)]
     labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, quality int")
