@@ -273,3 +273,157 @@ def top_products(rows, k=5, every=50):
 
 def by_rank(r):
     return r[0], r[1], r[3], r[2] is None, r[2] or 0
+
+
+def gram_scores(docs, trusted, cells=1 << 16, evidence=1 << 15, smoothing=0.05):
+    """Scores of operator 2 for (id, text), by the mean log ratio of hashed byte 4-grams."""
+
+    def grams(text):
+        b = (text or "").encode()
+        codes = (((b[i] * 257 + b[i + 1]) * 257 + b[i + 2]) * 257 + b[i + 3] for i in range(len(b) - 3))
+        return [(c % 2**32 * 0x9E3779B1) % 2**32 // (2**32 // cells) for c in codes]
+
+    raw, target = Counter(), Counter()
+    for d, t in docs:
+        raw.update(grams(t))
+        if d is not None and d in trusted:
+            target.update(grams(t))
+    size = max(1, sum(raw.values()))
+    prior = max(1.0, smoothing * size / cells)
+    n = sum(target.values())
+    ratio = lambda c: math.log(((target[c] * (size / evidence) + raw[c]) / (n / evidence + 1) if n else raw[c]) + prior) - math.log(raw[c] + prior)
+    out = []
+    for d, t in docs:
+        own = grams(t)
+        out.append((d, sum(map(ratio, own)) / len(own) if own else 0.0))
+    return out
+
+
+def url_cells(host, path, cells=2048, sizes=(3, 4, 5)):
+    """Cells of operator 7: hashed n-grams, the kind's hash as seed of the gram's."""
+    return [
+        xxhash.xxh64_intdigest(text[i : i + n].encode(), xxhash.xxh64_intdigest(kind.encode(), 42)) % cells
+        for kind, text in (("h", f"^{host}$"), ("p", f"{path}$")) for n in sizes for i in range(len(text) - n + 1)
+    ]
+
+
+def url_weights(rows, rounds, rate, decay, cells=2048):
+    """(weights, bias) of logistic regression on rows (cells, label), by sums over rows."""
+    weights, bias = [0.0] * cells, 0.0
+    rows = [(Counter(c), 1 / math.sqrt(max(len(c), 1)), y) for c, y in rows]
+    for _ in range(rounds):
+        step, total = [0.0] * cells, 0.0
+        for own, unit, y in rows:
+            error = 1 / (1 + math.exp(-(sum(weights[c] * k for c, k in own.items()) * unit + bias))) - y
+            error /= len(rows)
+            total += error
+            for c, k in own.items():
+                step[c] += error * k * unit
+        weights = [w - rate * (s + decay * w) for w, s in zip(weights, step, strict=True)]
+        bias -= rate * total
+    return weights, bias
+
+
+def chain_ascent(docs, steps, rate, decay):
+    """(emit, move) of operator 10's chain on docs (rows of scaled features, label), by enumeration of all labellings."""
+    width = len(docs[0][0][0])
+    emit, move = [0.0] * width, [[0.0, 0.0], [0.0, 0.0]]
+    speed_e, speed_m = [0.0] * width, [[0.0, 0.0], [0.0, 0.0]]
+    for _ in range(steps):
+        step_e, step_m = [0.0] * width, [[0.0, 0.0], [0.0, 0.0]]
+        for rows, label in docs:
+            n = len(rows)
+            weights = {}
+            for code in range(2**n):
+                y = [code >> k & 1 for k in range(n)]
+                weights[tuple(y)] = math.exp(sum(sum(e * f for e, f in zip(emit, x, strict=True)) for x, v in zip(rows, y, strict=True) if v) + sum(move[a][b] for a, b in zip(y, y[1:], strict=False)))
+            z = sum(weights.values())
+            for k, x in enumerate(rows):
+                p = sum(w for y, w in weights.items() if y[k]) / z
+                for i, f in enumerate(x):
+                    step_e[i] += f * (label - p) / n
+                if k:
+                    step_m[label][label] += 1 / n
+                    for y, w in weights.items():
+                        step_m[y[k - 1]][y[k]] -= w / z / n
+        total = len(docs)
+        for i in range(width):
+            speed_e[i] = 0.9 * speed_e[i] + step_e[i] / total - decay * emit[i]
+            emit[i] += rate * speed_e[i]
+        for a in (0, 1):
+            for b in (0, 1):
+                speed_m[a][b] = 0.9 * speed_m[a][b] + step_m[a][b] / total - decay * move[a][b]
+                move[a][b] += rate * speed_m[a][b]
+    return emit, move
+
+
+def pipeline(docs, trusted, items, weights=(5, 2, 1)):
+    """Rows (doc_id, text, source, copies) of the pipeline for docs (doc_id, text, source) of different ids."""
+    # quality rules
+    score = dict(gram_scores([d[:2] for d in docs], trusted))
+    docs = [d for d in docs if not base_rules(d[1])[-1] and score[d[0]] >= -0.5]
+    # line dedup
+    docs.sort()
+    seen, kept = [], []
+    for d, t, s in docs:
+        out = []
+        for line in (t or "").split("\n"):
+            words = frozenset(WORD.findall(line))
+            if words and any(9 * len(words & o) >= 4 * (len(words) + len(o)) for o in seen):
+                seen.append(words)
+                continue
+            if words:
+                seen.append(words)
+            out.append(line)
+        kept.append((d, "\n".join(out), s))
+    # near duplicates: the first document of each component
+    roots = component_roots([fingerprint(t) for _, t, _ in kept])
+    docs = [x for k, x in enumerate(kept) if roots[k] == k]
+    # benchmark passages
+    owners = set()
+    for t in items:
+        w = ALNUM.findall((t or "").translate(LOWER))
+        owners |= {tuple(w[j : j + min(10, len(w))]) for j in range(len(w) - min(10, len(w)) + 1) if w}
+    kept = []
+    for d, t, s in docs:
+        places = list(ALNUM.finditer(t.translate(LOWER)))
+        w, hit = [m[0] for m in places], [False] * len(places)
+        for k in {len(x) for x in owners}:
+            for j in range(len(w) - k + 1):
+                if tuple(w[j : j + k]) in owners:
+                    hit[j : j + k] = [True] * k
+        if any(hit) and sum(hit) >= 0.5 * len(w):
+            continue
+        parts, at, j = [], 0, 0
+        while j < len(w):
+            if hit[j]:
+                parts.append(t[at : places[j].start()])
+                while j < len(w) and hit[j]:
+                    at = places[j].end()
+                    j += 1
+            j += 1
+        kept.append((d, "".join([*parts, t[at:]]), s))
+    # copies
+    unit = 1.0 / (1 << 53)
+    of = lambda data, seed: xxhash.xxh64_intdigest(data, seed)
+    seeded = lambda seed: of(seed.to_bytes(4, "little"), 42)
+    size = {d: len(WORD.findall(t)) for d, t, _ in kept}
+    sizes = Counter()
+    for d, _, s in kept:
+        sizes[s] += size[d]
+    targets, out = fill_levels(sizes, weights), []
+    for s in sizes:
+        rate = min(targets[s] / sizes[s], 3.0)
+        whole = math.floor(rate + 1e-12)
+        own = sorted((((of(t.encode(), of(d.to_bytes(8, "little"), seeded(20240229)))) >> 11) * unit, d, t) for d, t, x in kept if x == s)
+        wanted, before, extra = (rate - whole) * sizes[s], 0, set()
+        if rate > whole:
+            chance = (of(s.encode(), seeded(20240230)) >> 11) * unit
+            for _, d, _ in own:
+                if before + size[d] < wanted or chance < (wanted - before) / size[d]:
+                    extra.add(d)
+                before += size[d]
+                if before >= wanted:
+                    break
+        out += [(d, t, s, whole + (d in extra)) for _, d, t in own]
+    return sorted(r for r in out if r[3])
