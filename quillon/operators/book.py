@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import plain
 from .rules import cascade
 
 MONEY, SUM = "decimal(18,2)", "decimal(28,2)"
@@ -156,3 +157,28 @@ def violations(rows: DataFrame, checks: dict[str, Callable[[], Column]]) -> Data
     counts = rows.agg(*[F.count_if(F.coalesce(broken(), F.lit(False))).alias(name) for name, broken in checks.items()])
     pairs = F.explode(F.array(*[F.struct(F.lit(name).alias("check"), F.col(name).alias("n")) for name in checks]))
     return counts.select(pairs.alias("v")).select("v.check", "v.n")
+
+
+#: Phones as a tab prints them, proceedings and words that no call tab may hold.
+DIALABLE = (
+    r"^(\([0-9]{2}\) [0-9]{4,5}-[0-9]{4}|[0-9]{4}-[0-9]{4}( \(no DDD\))?|[0-9]{5}-[0-9]{4} \(no DDD\)|\([0-9]{2}\) [0-9]{4}-[0-9]{3} \[digit missing\]|"
+    r"0[3589]00 [0-9]{3} [0-9]{4}|0[3589]00 [0-9]+|[0-9]+ \[check\])$"
+)
+NOT_CALLED = ("Falência", "RJ extinguished")
+ADMINISTRATORS = r"ADMINISTRACAO JUDICIA|ADVOCACIA|TRUSTEE|PAGINA INICIAL|^ATIVOS$|^BASE$"
+
+
+def shown_checks() -> dict[str, Callable[[], Column]]:
+    """Rules for what a call tab shows of a lead: fund, hold, proceeding, size, flags, phone, backup_phone, debtor, proof and share."""
+    c = F.col
+    text = lambda name: F.coalesce(c(name), F.lit(""))
+    return {
+        "not held but unpriced": lambda: (text("hold") == "") & (c("fund") <= 0),
+        "bankrupt on a call tab": lambda: c("proceeding").isin(*NOT_CALLED),
+        "small creditor unflagged": lambda: F.upper(text("size")).rlike("MICRO|PEQUENO") & ~text("flags").contains("ME/EPP") & ~text("proceeding").startswith("Recuperação extrajudicial"),
+        "phone not dialable": lambda: (text("phone") != "") & ~text("phone").rlike(DIALABLE),
+        "backup repeats a phone": lambda: (text("backup_phone") != "") & (c("backup_phone") == c("phone")),
+        "debtor is an administrator": lambda: F.upper(plain(c("debtor"))).rlike(ADMINISTRATORS),
+        "raw status in proof": lambda: text("proof").startswith("QUARANTINED"),
+        "share out of range": lambda: ~((c("share") > 0) & (c("share") <= 1.0001)),
+    }

@@ -72,11 +72,13 @@ def target_banding(d: Domain):
     return out.select("case_key", "doc_id", "root", "face", "n_claims", F.size("establishments").cast("bigint").alias("n_establishments"), "band", F.array_join("flags", "|").alias("doc_flags"))
 
 
-@query(f"""{oracle_with("claims", "docs")} select c.doc_id, root, value_brl, page from claims c join docs d using (doc_id) where class = 'III' and value_brl >= 60000 and row_index % 10 = 0 and d.status = 'OK'""")
+@query(f"""{oracle_with("claims", "docs")} select c.doc_id, page, row_index, root, value_brl, coalesce(class = 'III' and value_brl >= 60000 and row_index % 10 = 0 and d.status = 'OK', false) as queued from claims c join docs d using (doc_id)""")
 def name_only_queue(d: Domain):
-    good = d.view("docs").filter("status = 'OK'").select("doc_id")
-    rows = d.view("claims").filter("class = 'III' and value_brl >= 60000 and row_index % 10 = 0")
-    return rows.join(good, "doc_id", "left_semi").select("doc_id", "root", "value_brl", "page")
+    """Every claim, and whether it waits for an id: large, of class III, in a good document, its list printing none."""
+    printed = F.when(F.col("row_index") % 10 == 0, "NONE").otherwise("CNPJ")
+    rows = d.view("claims").withColumn("document_type", printed).join(d.view("docs").select("doc_id", "status"), "doc_id")
+    queued = (F.col("class") == "III") & (F.col("value_brl") >= 60000) & (F.col("document_type") == "NONE") & (F.col("status") == "OK")
+    return rows.select("doc_id", "page", "row_index", "root", "value_brl", F.coalesce(queued, F.lit(False)).alias("queued"))
 
 
 @query(f"""{oracle_with("claims")}, n as (select doc_id, root, sum(value_brl) as face, coalesce(sum(case when page % 3 = 0 then value_brl end), 0) as wrong, count(*) as n, count(*) filter (page % 3 = 0) as nw from claims where value_brl is not null group by 1, 2)

@@ -204,3 +204,18 @@ def content_dedupe(d: Domain):
     files = d.table("documents").select(url.alias("url"), F.col("text").cast("binary").alias("content"))
     out = pages.deduplicated(files, "54")
     return out.select("sha1", "url", F.size("aliases").cast("long").alias("n_aliases"), F.col("size").cast("long").alias("size"), "error")
+
+
+_HINTS: Pools = (
+    ("Recuperação Judicial de", "", "RJ da", "Processo 123 -", "Massa Falida", "Empresa", "Falência de"),
+    ("Alfa Indústria Ltda", "Beta S.A.", "Silva Advogados", "0000001-11.2011.8.26.0001", "ab", "Gama Têxtil"),
+    ("", "| Administração Judicial XYZ", "- em Recuperação Judicial", "| Delta Comércio", "- Página inicial"),
+)
+
+
+@query(f"""with t as (select s_suppkey, {combined_sql("s_suppkey", _HINTS)} as x from supplier), p as (select s_suppkey, regexp_split_to_array(trim(regexp_replace(regexp_replace(strip_accents(x), '[^\\x00-\\x7F]', '', 'g'), '\\s+', ' ', 'g')), ' [|-] ') as parts from t),
+  g as (select s_suppkey, upper(coalesce(list_filter(parts, lambda p: p <> '' and not regexp_matches(lower(p), '{resolve.SITE_WORDS}') and not regexp_matches(p, '^{resolve.CASE}$'))[1], '')) as n from p),
+  c as (select s_suppkey, regexp_replace(regexp_replace(regexp_replace(n, '{resolve.PREFIX_WORDS}', '', 'g'), '{resolve.SUFFIX_WORDS}', '', 'g'), '^[\\s\\-:|,]+|[\\s\\-:|,]+$', '', 'g') as n from g)
+  select s_suppkey, case when length(n) >= 4 and regexp_matches(n, '[A-Z]{{3}}') then n else '' end as name from c""")
+def hint_cleaning(d: Domain):
+    return d.table("supplier").select("s_suppkey", resolve.clean_hint(combined(F.col("s_suppkey"), _HINTS)).alias("name"))

@@ -115,14 +115,15 @@ def diff_join(d):
     return tables.diff(snap("page <= 5"), snap("page >= 2 and (row_index % 3 > 0 or page < 5)"), ["root", "class"], "face")
 
 
-@query(f"""{oracle_with("claims")}, {_SNAPS.replace("group by root, class), new", "and root < '00000080' group by root, class), new")}
-  select coalesce(o.root, n.root) as root, coalesce(o.class, n.class) as class, o.face as old_value, n.face as new_value, cast(n.face - o.face as decimal(19,2)) as delta,
+@query(f"""{oracle_with("claims")}, old as (select doc_id, root, cast(sum(value_brl) as {MONEY}) as face from claims where page <= 5 group by 1, 2), new as (select doc_id, root, cast(sum(value_brl) as {MONEY}) as face from claims where page >= 2 and (row_index % 3 > 0 or page < 5) group by 1, 2)
+  select coalesce(o.doc_id, n.doc_id) as doc_id, coalesce(o.root, n.root) as root, o.face as old_value, n.face as new_value, cast(n.face - o.face as decimal(19,2)) as delta,
     case when o.root is null then 'NEW_ONLY' when n.root is null then 'NOT_IN_NEW_RUN' when o.face is not distinct from n.face then 'SAME' else 'CHANGED' end as verdict
-  from old o full outer join new n on n.root = o.root and n.class is not distinct from o.class""")
+  from old o full outer join new n on n.root = o.root and n.doc_id = o.doc_id""")
 def diff_full(d):
+    """Two snapshots by document and company, whole, in both directions."""
     c = d.view("claims")
-    snap = lambda w: c.filter(w).groupBy("root", "class").agg(F.sum("value_brl").cast(MONEY).alias("face"))
-    return tables.diff(snap("page <= 5 and root < '00000080'"), snap("page >= 2 and (row_index % 3 > 0 or page < 5)"), ["root", "class"], "face", new_only=True)
+    snap = lambda w: c.filter(w).groupBy("doc_id", "root").agg(F.sum("value_brl").cast(MONEY).alias("face"))
+    return tables.diff(snap("page <= 5"), snap("page >= 2 and (row_index % 3 > 0 or page < 5)"), ["doc_id", "root"], "face", new_only=True)
 
 
 # --- aggregates ----------------------------------------------------------------------

@@ -23,16 +23,6 @@ def header_resolution(d: Domain):
     return d.view("docs").select("doc_id", h.alias("h")).select("doc_id", "h.*")
 
 
-_HINTS = ["Alfa Indústria Ltda", "Recuperação Judicial de Beta S.A.", "Silva Advogados | Gama Têxtil", "Administração Judicial XYZ", "0000001-11.2011.8.26.0001", "Delta Comércio - em Recuperação Judicial", "ab"]
-_CLEAN = ["ALFA INDUSTRIA LTDA", "BETA S.A.", "GAMA TEXTIL", "", "", "DELTA COMERCIO", ""]
-
-
-@query("select s_suppkey, name from supplier join (values " + ", ".join(f"({k}, '{n}')" for k, n in enumerate(_CLEAN)) + f") t(k, name) on s_suppkey % {len(_HINTS)} = k")
-def hint_cleaning(d: Domain):
-    hint = F.element_at(F.array(*map(F.lit, _HINTS)), (F.col("s_suppkey") % len(_HINTS) + 1).cast("int"))
-    return d.table("supplier").select("s_suppkey", resolve.clean_hint(hint).alias("name"))
-
-
 @query("select c_custkey, case c_custkey % 3 when 0 then 'ALFA ' || c_custkey when 1 then 'BETA S.A' end as name, case c_custkey % 3 when 0 then 'FALENCIA' end as proceeding from customer")
 def slug_names(d: Domain):
     k = F.col("c_custkey") % 3

@@ -198,11 +198,12 @@ def ops_sheet(d: Domain):
 
 
 @query(f"""{_LEADS}, v as (select unnest(['fund above face', 'fund below zero', 'quote above fund', 'parts do not add up', 'held but priced', 'paid within a year', 'unknown band', 'band D in the book', 'recovery out of range', 'no case number',
-    'not a state court', 'filing year out of range', 'unknown proof', 'unknown book', 'root of other length', 'root not digits']) as "check"),
+    'not a state court', 'filing year out of range', 'unknown proof', 'unknown book', 'root of other length', 'root not digits', 'not held but unpriced', 'bankrupt on a call tab', 'small creditor unflagged', 'phone not dialable', 'backup repeats a phone', 'debtor is an administrator', 'raw status in proof', 'share out of range']) as "check"),
   b as (select case "check" when 'fund above face' then fund > face when 'fund below zero' then fund < 0 when 'quote above fund' then quote > fund and fund >= 0 when 'parts do not add up' then abs(quote + premium - fund) > 0.02 when 'held but priced' then hold <> '' and fund <> 0
     when 'paid within a year' then years < 1 when 'unknown band' then band not in ('A', 'B', 'C', 'D', 'U') when 'band D in the book' then band = 'D' when 'recovery out of range' then recovery < 0 or recovery > 1 when 'no case number' then coalesce(case_number, '') = ''
     when 'not a state court' then substr(case_number, 17, 1) <> '8' when 'filing year out of range' then cast(substr(case_number, 12, 4) as int) not between 2005 and 2030 when 'unknown proof' then not regexp_matches(proof, '^(OK|NO TOTALS|PARTIAL|CHECK)')
-    when 'unknown book' then book not in ('TRADE', 'FINANCIAL', 'STATE-OWNED') when 'root of other length' then length(root) <> 8 else not regexp_full_match(root, '[0-9]+') end as broken, "check" from framed, v)
+    when 'unknown book' then book not in ('TRADE', 'FINANCIAL', 'STATE-OWNED') when 'root of other length' then length(root) <> 8 when 'root not digits' then not regexp_full_match(root, '[0-9]+') when 'not held but unpriced' then hold = '' and fund <= 0 when 'bankrupt on a call tab' then cast(root as bigint) % 17 = 0 when 'small creditor unflagged' then cast(root as bigint) % 3 = 0 and cast(root as bigint) % 5 <> 0
+      when 'phone not dialable' then cast(root as bigint) % 6 = 5 when 'backup repeats a phone' then cast(root as bigint) % 8 = 0 when 'debtor is an administrator' then cast(root as bigint) % 10 = 7 when 'raw status in proof' then proof like 'QUARANTINED%' else cast(root as bigint) % 9 > 6 end as broken, "check" from framed, v)
   select "check", count(*) filter (broken) as n from b group by 1""")
 def book_invariants(d: Domain):
     c = F.col
@@ -214,7 +215,15 @@ def book_invariants(d: Domain):
         "unknown proof": lambda: ~c("proof").rlike("^(OK|NO TOTALS|PARTIAL|CHECK)"), "unknown book": lambda: ~c("book").isin("TRADE", "FINANCIAL", "STATE-OWNED"), "root of other length": lambda: F.length("root") != 8,
         "root not digits": lambda: ~c("root").rlike("^[0-9]+$"),
     }
-    return book.violations(book.call_frame(_book_rows(d)), checks)
+    # what else a tab shows of a lead, wrong in a known part of the rows
+    k = F.col("root").cast("bigint")
+    shown = book.call_frame(_book_rows(d)).withColumns({
+        "proceeding": F.when(k % 17 == 0, "Falência").otherwise("Recuperação judicial"), "size": F.when(k % 3 == 0, "MICRO EMPRESA").otherwise("DEMAIS"), "flags": F.when(k % 5 == 0, "ME/EPP creditor").otherwise(""),
+        "phone": F.when(k % 6 == 5, "4463").when(k % 6 == 4, "0800 123 4567").when(k % 6 == 3, "4463-4833 (no DDD)").otherwise("(11) 94463-4833"),
+        "debtor": F.when(k % 10 == 7, "Silva Administração Judicial").otherwise("Alfa Têxtil SA"), "share": F.when(k % 9 < 7, (k % 9 + 1) / 9.0).when(k % 9 == 7, 0.0).otherwise(1.5),
+    })
+    shown = shown.withColumn("backup_phone", F.when(k % 8 == 0, F.col("phone")))
+    return book.violations(shown, checks | book.shown_checks())
 
 
 @query(f"select coalesce(band, '?') as band, count(*) as n from ({ORACLES['debtor_band']}) group by 1")
