@@ -3,7 +3,7 @@
 import pytest
 from oracle import connect, rows
 
-from quillon.plans import business, catalog, classifiers, documents, relational, reports, resolution, scalars, workbook  # noqa: F401
+from quillon.plans import business, catalog, classifiers, documents, probes, relational, reports, resolution, scalars, workbook  # noqa: F401
 
 
 @pytest.fixture(scope="module")
