@@ -176,13 +176,24 @@ def value_header_score(d: Domain):
 _PATHS: Pools = (("credores", "plano", "edital", "ata", "laudo", "decisao", "contato", "qgc"), ("lista", "relatório", "homologação", "art. 7", "aditivo", "mensal", ""), ("2024", "relação de credores", "leilão", "PRJ"))
 
 
-@query(f"""with t as (select page_id, lower({_plain("url || '/' || " + combined_sql("page_id", _PATHS))}) as s from pages), k as (select page_id, case when {_has("s", rules.LINK_HARD_SKIP)} then 'SKIP 0' when {_has("s", rules.LINK_SKIP)} and not {_has("s", rules.LINK_STRONG)} then 'SKIP 0' when {_has("s", rules.LINK_STRONG)} then 'LIST 3'
+_ANCHOR_SQL = """(?is)<a\\b[^>]*?href\\s*=\\s*["'']([^"''#]+)["''][^>]*>(.*?)</a>"""
+
+
+@query(f"""with a as (select page_id, unnest(list_zip(range(len(regexp_extract_all(html, '{_ANCHOR_SQL}', 1))), regexp_extract_all(html, '{_ANCHOR_SQL}', 1), regexp_extract_all(html, '{_ANCHOR_SQL}', 2))) as z from pages),
+  b as (select page_id, z[1] as pos, z[2] as href, trim(regexp_replace(regexp_replace(z[3], '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')) as inside from a),
+  l as (select page_id, -1 as pos, url || '/' || {combined_sql("page_id", _PATHS)} as raw from pages
+    union all select page_id, cast(pos as int), href || ' ' || inside || case when pos % 2 = 0 then ' ' || {combined_sql("(page_id + pos)", _PATHS)} else '' end from b),
+  t as (select page_id, pos, lower({_plain("raw")}) as s from l), k as (select page_id, pos, case when {_has("s", rules.LINK_HARD_SKIP)} then 'SKIP 0' when {_has("s", rules.LINK_SKIP)} and not {_has("s", rules.LINK_STRONG)} then 'SKIP 0' when {_has("s", rules.LINK_STRONG)} then 'LIST 3'
     when {_has("s", rules.LINK_PLAN)} then 'PLAN 2' when {_has("s", rules.LINK_GRANT)} then 'HOMOLOG 2' when {_has("s", rules.LINK_LIST)} then 'LIST 1' else 'OTHER 0' end as k from t)
-  select page_id, split_part(k, ' ', 1) as kind, cast(split_part(k, ' ', 2) as int) as score from k""")
+  select page_id, pos, split_part(k, ' ', 1) as kind, cast(split_part(k, ' ', 2) as int) as score from k""")
 def link_classifier(d: Domain):
-    """Links to and texts of documents, by the real word lists."""
-    links = d.table("pages").select("page_id", F.concat("url", F.lit("/"), combined(F.col("page_id"), _PATHS)).alias("href"), F.lit("").alias("inner"))
-    return pages.classified(links).select("page_id", "kind", "score")
+    """Every link of every page and the page's own address (pos -1), by the real word lists."""
+    p = d.table("pages")
+    own = p.select("page_id", F.lit(-1).alias("pos"), F.concat("url", F.lit("/"), combined(F.col("page_id"), _PATHS)).alias("href"), F.lit("").alias("inner"))
+    links = pages.anchors(p, ["page_id"])
+    # the words come in turn on every second link; the others stay as the page has them
+    words = F.when(F.col("pos") % 2 == 0, F.concat(F.lit(" "), combined(F.col("page_id") + F.col("pos"), _PATHS))).otherwise("")
+    return pages.classified(own.unionByName(links.withColumn("inner", F.concat("inner", words)))).select("page_id", "pos", "kind", "score")
 
 
 _FIRMS: Pools = (("Alfa", "Beta Gama", "Delta", "Épsilon", "Alpha"), ("Comércio", "Comercio de Alimentos", "Têxtil", "Indústria"), ("Ltda", "S.A.", "", "em Recuperação Judicial"))
