@@ -113,3 +113,12 @@ def ranked_contacts(contacts: DataFrame, group: str, priority: Column, tie: Sequ
     two = top_per_group(contacts.withColumn("_p", priority), [group], [F.col("_p"), *map(F.col, tie)], 2)
     pick = lambda k: F.max(F.when(F.col("rank") == k, F.struct(*tie)))
     return two.groupBy(group).agg(pick(1).alias("primary"), pick(2).alias("backup"))
+
+
+def known_left(rows: DataFrame, more: DataFrame, key: str) -> DataFrame:
+    """``rows`` left joined with ``more`` by ``key``, rows without one beside the join.
+
+    A null meets nothing, yet a join sends all rows that have it to one task.
+    """
+    known = rows.filter(F.col(key).isNotNull()).join(more, key, "left")
+    return known.unionByName(rows.filter(F.col(key).isNull()), allowMissingColumns=True)

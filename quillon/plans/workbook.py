@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import ids
-from ..operators import book, grids, layout, rules
+from ..operators import book, grids, layout, rules, tables
 from .business import _CHECKS, _PRICED, _lead
 from .catalog import ORACLES, QUERIES, query
 from .domain import Domain, oracle_with
@@ -23,8 +23,10 @@ def star_join_two_keys(d: Domain):
     printed = d.view("printed").select("doc_id", "section", F.col("class").alias("printed_class"), "total")
     p = d.table("pages")
     raw = p.groupBy(F.col("url").alias("source_url")).agg(F.min("page_id").alias("first_page"))
-    out = t.join(printed, ["doc_id", "section"], "left").join(p.select(F.col("page_id").alias("doc_id"), F.col("url").alias("source_url")), "doc_id", "left").join(raw, "source_url", "left")
-    out = out.join(d.view("docs").select("doc_id", "case_number"), "doc_id", "left").join(d.view("cases").select("case_number", "stage"), "case_number", "left")
+    # what hangs on the page, and on the case, is joined before the claims are: most of these have neither, and their nulls would meet in one task
+    sources = tables.known_left(p.select(F.col("page_id").alias("doc_id"), F.col("url").alias("source_url")), raw, "source_url")
+    staged = tables.known_left(d.view("docs").select("doc_id", "case_number"), d.view("cases").select("case_number", "stage"), "case_number")
+    out = t.join(printed, ["doc_id", "section"], "left").join(sources, "doc_id", "left").join(staged, "doc_id", "left")
     return out.select("doc_id", "section", "face", "n", "printed_class", "total", "source_url", "first_page", "case_number", "stage")
 
 
