@@ -26,13 +26,17 @@ def _bound(x: Column, use) -> Column:
     return F.element_at(F.transform(F.array(x), use), 1)
 
 
+def _weighed(n: Column, weights) -> Column:
+    """Sum of the digits of ``n``, as many as there are weights, times these."""
+    digit = lambda i: F.call_function("div", n, F.lit(10 ** (len(weights) - i))) % 10
+    return sum((digit(i) * w for i, w in enumerate(weights, 1)), F.lit(0))
+
+
 def check_digit(d: Column, weights) -> Column:
     """Modulo-11 digit over the first digits of ``d``, as arithmetic on one number; null if it has fewer."""
     size = len(weights)
-    digit = lambda n, i: F.call_function("div", n, F.lit(10 ** (size - i))) % 10
-    total = lambda n: sum((digit(n, i) * w for i, w in enumerate(weights, 1)), F.lit(0))
     # 11 less the rest; rests of 0 and 1 give 0
-    last = _bound(F.substring(d, 1, size).try_cast("bigint"), lambda n: (11 - total(n) % 11) % 11 % 10)
+    last = _bound(F.substring(d, 1, size).try_cast("bigint"), lambda n: (11 - _weighed(n, weights) % 11) % 11 % 10)
     return F.when(F.length(d) >= size, last.cast("int"))
 
 
@@ -61,9 +65,13 @@ def root(x: Column) -> Column:
 
 def with_check_digits(base12: Column) -> Column:
     """A 12-digit base with its two check digits; '' for a shorter base."""
-    more = lambda weights: lambda d: F.concat(d, check_digit(d, weights).cast("string"))
-    two = _bound(_bound(F.substring(digits(base12), 1, 12), more(COMPANY_WEIGHTS)), more((6, *COMPANY_WEIGHTS)))
-    return F.coalesce(two, F.lit(""))
+    base = F.substring(digits(base12), 1, 12)
+    n = F.when(F.length(base) >= 12, base).try_cast("bigint")
+    last = lambda total: ((11 - total % 11) % 11 % 10).cast("int")
+    # plain arithmetic, which is compiled; inside a function of an array it would be interpreted
+    one = last(_weighed(n, COMPANY_WEIGHTS))
+    two = last(_weighed(n, (6, *COMPANY_WEIGHTS)[:12]) + one * COMPANY_WEIGHTS[-1])
+    return F.coalesce(F.concat(base, one.cast("string"), two.cast("string")), F.lit(""))
 
 
 def head_office(root8: Column) -> Column:
@@ -72,9 +80,7 @@ def head_office(root8: Column) -> Column:
 
 def masked(x: Column) -> Column:
     """12.345.678/0001-95; other lengths pass as digits."""
-    d = digits(x)
-    mask = F.regexp_replace(d, "^([0-9]{2})([0-9]{3})([0-9]{3})([0-9]{4})([0-9]{2})$", "$1.$2.$3/$4-$5")
-    return F.when(F.length(d) == 14, mask).otherwise(d)
+    return F.regexp_replace(digits(x), "^([0-9]{2})([0-9]{3})([0-9]{3})([0-9]{4})([0-9]{2})$", "$1.$2.$3/$4-$5")
 
 
 def classify(x: Column) -> Column:
@@ -93,18 +99,39 @@ def classify(x: Column) -> Column:
 
 
 def single_digit_repairs(x: Column) -> Column:
-    """Sorted valid identifiers that differ from ``x`` in exactly one digit."""
+    """Sorted valid identifiers that differ from ``x`` in exactly one digit.
+
+    Both weighted sums are worked out once; a change of one digit moves each by
+    the difference times the digit's weight.
+    """
     d = digits(x)
+    more = (6, *COMPANY_WEIGHTS)
+    div = lambda a, b: F.call_function("div", a, b)
+    last = lambda total: (11 - total % 11) % 11 % 10
+    # of each place its unit and its weights in the two sums; a sum's own digit and what follows weigh nothing
+    places = [F.struct(F.lit(10 ** (13 - i)).cast("bigint").alias("unit"), *[F.lit((*w, 0, 0)[i]).alias(k) for k, w in (("one", COMPANY_WEIGHTS), ("two", more))]) for i in range(14)]
+
+    def repaired(s):
+        def at(p):
+            was = div(s["n"], p["unit"]) % 10
+
+            def sound(c):
+                by, n = c - was, s["n"] + (c - was) * p["unit"]
+                first, second = last(s["one"] + by * p["one"]) == div(n, F.lit(10)) % 10, last(s["two"] + by * p["two"]) == n % 10
+                return (c != was) & second & first & (n % 11111111111111 != 0)
+
+            return F.transform(F.filter(F.sequence(F.lit(0), F.lit(9)), sound), lambda c: s["n"] + (c - was) * p["unit"])
 
-    def at(i):
-        def put(c):
-            return F.concat(F.substring(d, F.lit(1), i - 1), c.cast("string"), F.substring(d, i + 1, F.lit(14)))
+        return F.flatten(F.transform(F.array(*places), at))
 
-        return F.transform(F.filter(F.sequence(F.lit(0), F.lit(9)), lambda c: c.cast("string") != F.substring(d, i, F.lit(1))), put)
+    def sums(n):
+        two = div(n, F.lit(10))
+        return F.struct(n.alias("n"), _weighed(div(n, F.lit(100)), COMPANY_WEIGHTS).alias("one"), _weighed(two, more).alias("two"))
 
-    every = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(14)), at))
-    good = F.array_sort(F.array_distinct(F.filter(every, lambda n: _valid(n, 14, COMPANY_WEIGHTS, (6, *COMPANY_WEIGHTS)))))
-    return F.when(F.length(d) == 14, good).otherwise(F.array().cast("array<string>"))
+    number = F.when(F.length(d) == 14, d.try_cast("bigint"))
+    found = _bound(_bound(number, sums), repaired)
+    # numbers of one length sort as their texts do; no number has no repairs
+    return F.transform(F.array_sort(found), lambda n: F.lpad(n.cast("string"), 14, "0"))
 
 
 def found(text: Column) -> Column:
