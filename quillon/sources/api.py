@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import json
+import operator
 import os
 import time
 import urllib.request
@@ -96,17 +98,24 @@ class CasesSource(DataSource):
         return CasesReader(dict(self.options))
 
 
+#: Stands between the names of movements, and in no wording.
+_BETWEEN = "\x01"
+
+
 def _any_word(names: Column, words) -> Column:
-    return F.exists(names, lambda n: F.coalesce(*[F.when(n.contains(w), True) for w in words], F.lit(False)))
+    """Whether one of the names, joined, holds one of the wordings."""
+    return functools.reduce(operator.or_, [names.contains(w) for w in words])
 
 
 def flatten(hits: DataFrame, column: str = "source") -> DataFrame:
     """Cases from JSON records: stage, grant signal, dates, last 40 movements."""
     h = hits.select(F.from_json(column, HIT_SCHEMA).alias("h")).select("h.*")
-    moves = F.coalesce("movimentos", F.array().cast("array<struct<codigo:int,nome:string,dataHora:string>>"))
-    names = F.transform(moves, lambda m: F.lower(F.coalesce(m["nome"], F.lit(""))))
+    h = h.withColumn("_moves", F.coalesce("movimentos", F.array().cast("array<struct<codigo:int,nome:string,dataHora:string>>")))
+    # one text of all names, worked out once, is searched by compiled code; functions of arrays are interpreted
+    h = h.withColumn("_names", F.lower(F.array_join("_moves.nome", _BETWEEN)))
+    moves, names = F.col("_moves"), F.col("_names")
     stage = cascade([(_any_word(names, BANKRUPTCY), "CONVERTED_TO_BANKRUPTCY"), (_any_word(names, CLOSED), "CLOSED")], "ACTIVE")
-    last = F.substring(F.array_max(F.filter(F.transform(moves, lambda m: m["dataHora"]), lambda d: d.isNotNull())), 1, 10)
+    last = F.substring(F.array_max("_moves.dataHora"), 1, 10)
     tail = F.slice(moves, F.greatest(F.size(moves) - 39, F.lit(1)), 40)
     filed = F.regexp_replace(F.substring("dataAjuizamento", 1, 8), "^([0-9]{4})([0-9]{2})([0-9]{2})$", "$1-$2-$3")
     return h.select(
