@@ -29,7 +29,9 @@ SMALL_WORDS = ("DE", "DA", "DO", "DAS", "DOS", "E", "EM")
 
 def plain(x: Column) -> Column:
     """Accents dropped; what has no plain letter is left out."""
-    return F.regexp_replace(F.translate(F.coalesce(x, F.lit("")), _FROM, _TO), r"[^\x00-\x7F]", "")
+    t = F.coalesce(x, F.lit(""))
+    # as many bytes as characters: nothing to drop
+    return F.when(F.octet_length(t) == F.length(t), t).otherwise(F.regexp_replace(F.translate(t, _FROM, _TO), r"[^\x00-\x7F]", ""))
 
 
 def unaccented(x: Column) -> Column:
@@ -83,10 +85,12 @@ def initials(x: Column) -> Column:
 
 def dedouble(x: Column) -> Column:
     """Doubled glyphs of a bold print undone where half of the words have them."""
+    # two doubled glyphs in a row are the least that a doubled word has
+    suspect = x.rlike(r"(.)\1(.)\2")
     words = F.split(F.coalesce(x, F.lit("")), " ")
     doubled = lambda w: (F.length(w) >= 4) & w.rlike(r"^(?:(.)\1)+$")
     single = F.transform(words, lambda w: F.when(doubled(w), F.regexp_replace(w, r"(.)\1", "$1")).otherwise(w))
-    return F.when(2 * F.size(F.filter(words, doubled)) >= F.size(words), F.array_join(single, " ")).otherwise(x)
+    return F.when(suspect & (2 * F.size(F.filter(words, doubled)) >= F.size(words)), F.array_join(single, " ")).otherwise(x)
 
 
 def running_key(x: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.ids import digits
 from ..functions.money import currency_of, parse_brl
 from ..functions.text import plain
-from .rules import BOUNDARY
+from .rules import BOUNDARY, may_bound
 
 DOCUMENT = r"[0-9]{2}\.?[0-9]{3}\.?[0-9]{3}/?[0-9]{4}-?[0-9]{2}|[0-9]{3}\.?[0-9]{3}\.?[0-9]{3}-?[0-9]{2}"
 VALUE = r"(?:R\$|US\$|USD\$?|EUR|€)\s*((?:[0-9]{1,3}(?:\.[0-9]{3})+|[0-9]+),[0-9]{2})"
@@ -33,11 +33,11 @@ def headers(text: Column) -> Column:
 
 
 def marked(text: Column) -> Column:
-    """Plain upper case with each header as \\x01 class \\x02, of sections without a class \\x01\\x03 title \\x02."""
+    """Plain text, but for boundary words, with each header as \\x01 class \\x02, of sections without a class \\x01\\x03 title \\x02."""
     t = F.regexp_replace(plain(text), "[\u0001-\u0003]", " ")
-    for pattern, mark in ((HEADER, ""), (BARE, ""), (GENERIC, "\u0003"), (EDGE, "\u0003")):
+    for pattern, mark in ((HEADER, ""), (BARE, ""), (GENERIC, "\u0003")):
         t = F.regexp_replace(t, pattern, f"\u0001{mark}$1\u0002")
-    return F.upper(t)
+    return t
 
 
 def entries(texts: DataFrame, text: str = "text") -> DataFrame:
@@ -47,14 +47,18 @@ def entries(texts: DataFrame, text: str = "text") -> DataFrame:
     count or a boundary word have no class; their entries are flagged SECTION_
     and the title.  Entries without a value in a currency are not claims.
     """
-    parts = texts.select("*", F.posexplode(F.split(marked(F.col(text)), "\u0001")).alias("section", "_part"))
+    # each step in a column of its own, which the next one reads
+    t = texts.withColumn("_flat", marked(F.col(text))).withColumn("_upper", F.upper("_flat"))
+    t = t.withColumn("_marked", F.when(may_bound(F.col("_upper")), F.upper(F.regexp_replace("_flat", EDGE, "\u0001\u0003$1\u0002"))).otherwise(F.col("_upper"))).drop("_flat", "_upper")
+    parts = t.select("*", F.posexplode(F.split("_marked", "\u0001")).alias("section", "_part")).drop("_marked")
     head = F.when(F.col("_part").contains("\u0002"), F.substring_index("_part", "\u0002", 1))
     titled = head.startswith("\u0003")
     title = F.substring(F.regexp_replace(F.trim(F.substring_index(head, "\u0003", -1)), "[^A-Z0-9_]+", "_"), 1, 40)
     parts = parts.withColumns({"class": F.when(~titled, head), "_title": F.when(titled, title), "_body": F.substring_index("_part", "\u0002", -1)})
     rows = parts.select("*", F.posexplode(F.split("_body", ";")).alias("seq", "_entry")).drop("_part", "_body", text)
-    money = F.regexp_extract("_entry", VALUE, 0)
-    documents = F.transform(F.regexp_extract_all("_entry", F.lit(f"({DOCUMENT})"), F.lit(1)), lambda d: digits(d))
+    rows = rows.withColumn("_money", F.regexp_extract("_entry", VALUE, 0)).filter(F.col("_money") != "")
+    rows = rows.withColumn("_documents", F.transform(F.regexp_extract_all("_entry", F.lit(f"({DOCUMENT})"), F.lit(1)), lambda d: digits(d)))
+    money, documents = F.col("_money"), F.col("_documents")
     roots = F.array_distinct(F.transform(documents, lambda d: F.substring(d, 1, 8)))
     flags = F.array_compact(
         F.array(
@@ -65,8 +69,8 @@ def entries(texts: DataFrame, text: str = "text") -> DataFrame:
         )
     )
     name = F.trim(F.regexp_replace(F.regexp_extract("_entry", rf"(?s)^(.*?)(?:CPF|CNPJ|{DOCUMENT}|R\$|US\$|USD|EUR|€)", 1), r"[\s,:\-]+$", ""))
-    out = rows.filter(money != "").select(
-        *[c for c in rows.columns if c not in ("_entry", "_title")],
+    out = rows.select(
+        *[c for c in rows.columns if c not in ("_entry", "_title", "_money", "_documents")],
         name.alias("name"),
         F.try_element_at(documents, F.lit(1)).alias("document"),
         documents.alias("documents"),
